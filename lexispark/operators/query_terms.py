@@ -47,21 +47,27 @@ def re_process_queries(queries: DataFrame, stemming: bool = False) -> DataFrame:
 
 
 def term_counts(terms: DataFrame) -> DataFrame:
-    """Distinct terms per query with their number of occurrences."""
-    return terms.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
+    """Distinct terms per query: (query_id, term, qtf, length = all tokens of the query)."""
+    counts = terms.groupBy("query_id", "term").agg(F.count("*").alias("qtf"))
+    return counts.withColumn("length", F.sum("qtf").over(Window.partitionBy("query_id")))
 
 
-def query_tfidf(terms: DataFrame, term_stats: DataFrame, n_docs: Column | int) -> DataFrame:
-    """(query_id, term, w_q): ``qtf / query length * log10(n_docs / (df + epsilon))``.
+def weigh_query_terms(known: DataFrame, n_docs: Column | int) -> DataFrame:
+    """Add ``w_q = qtf / length * log10(n_docs / (df + epsilon))`` and the query norm.
 
-    The length counts duplicates and unknown words; terms outside the index have no weight.
+    ``known`` are term counts joined with ``df``; the length counts duplicates and unknown
+    words, while terms outside the index have no weight.
     """
-    counts = term_counts(terms)
-    lengths = counts.groupBy("query_id").agg(F.sum("qtf").alias("length"))
     n_docs = n_docs if isinstance(n_docs, Column) else F.lit(n_docs)
     weight = F.col("qtf") / F.col("length") * F.log10(n_docs / (F.col("df") + EPSILON))
-    known = term_stats.select("term", "df").join(broadcast_if_small(counts), "term")
-    return known.join(lengths, "query_id").select("query_id", "term", weight.alias("w_q"))
+    squares = F.sum(F.col("w_q") * F.col("w_q")).over(Window.partitionBy("query_id"))
+    return known.withColumn("w_q", weight).withColumn("query_norm", F.sqrt(squares))
+
+
+def query_tfidf(terms: DataFrame, term_stats: DataFrame, n_docs: Column | int) -> DataFrame:
+    """(query_id, term, w_q) of the query terms that occur in the index."""
+    known = term_stats.select("term", "df").join(term_counts(terms), "term")
+    return weigh_query_terms(known, n_docs).select("query_id", "term", "w_q")
 
 
 def expand_query(terms: DataFrame, word_vectors: DataFrame,
