@@ -59,7 +59,8 @@ def most_similar(queries: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
     def block_of(blocks: int):
         return F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
 
-    left = queries.select("id", "vec", block_of(q_blocks).alias("qb"), every(v_blocks).alias("vb"))
+    left = queries.select(F.col("id").alias("id"), F.col("vec").alias("vec"),
+                          block_of(q_blocks).alias("qb"), every(v_blocks).alias("vb"))
     right = vectors.select("id", "vec", block_of(v_blocks).alias("vb"), every(q_blocks).alias("qb"))
     id_type = vectors.schema["id"].dataType
     schema = T.StructType([
