@@ -19,7 +19,7 @@ from lexispark.plans.search import SearchEngine
 from lexispark.operators.postings import explode_anchors
 from lexispark.settings import work_dir
 from lexispark.sources.index_store import InvertedIndex
-from lexispark.sources.readers import count_page_views
+from lexispark.sources.readers import count_page_views, read_corpus
 
 COVERAGE = 0.5           # share of the query words a document needs to be labelled relevant
 LINK = '<a href="[^"]*">([^<]*)</a>'
@@ -45,7 +45,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return read_corpus(spark, f"{sf_dir}/documents.parquet", "text", "doc_id")
 
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:

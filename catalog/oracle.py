@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from lexispark.functions.text import FUSED_WORDS, STOPWORDS, TOKEN_PATTERN, WORD_PATTERN
+from lexispark.functions.text import FUSED_WORDS, STOPWORDS, TOKEN_PATTERN
 
 from catalog.fixtures import COVERAGE, LINK
 
@@ -25,7 +25,6 @@ WORD_RULES = [
     (r"[:,]$", " "),
     (r"([a-z])n't([^\p{L}]|$)", r"\1 n't\2"),
     (r"([^' ])('s|'m|'d|'ll|'re|'ve)([^\p{L}]|$)", r"\1 \2\3"),
-    *[(rf"(^|\s){a}({b})(\s|$)", rf"\1{a} \2\3") for a, b in FUSED_WORDS],
     (r"(\p{L}{2,})\.(\s|$)", r"\1 . \2"),
     (r"'(\s|$)", r" \1"),
     (r"(^|\s)'", r"\1 "),
@@ -43,8 +42,10 @@ def words(text: str) -> str:
     expression = f"lower({text})"
     for pattern, replacement in WORD_RULES:
         expression = f"regexp_replace({expression}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
-    return (f"list_filter(string_split_regex({expression}, '\\s+'), "
-            f"lambda t: regexp_matches(t, {quoted(WORD_PATTERN)}) AND t NOT IN ({STOP}))")
+    pieces = f"list_filter(string_split_regex({expression}, '\\s+'), lambda t: regexp_matches(t, '^\\p{{L}}+$'))"
+    cases = " ".join(f"WHEN '{a}{b}' THEN ['{a}', '{b}']" for a, b in FUSED_WORDS)
+    return (f"list_filter(flatten(list_transform({pieces}, lambda t: CASE t {cases} ELSE [t] END)), "
+            f"lambda t: t NOT IN ({STOP}))")
 
 
 def bucket(term: str, n: int | str) -> str:
@@ -139,8 +140,9 @@ cte("vectors", "SELECT term, embedding::DOUBLE[] AS vec FROM named_terms JOIN em
 
 def ranked(hits: str, n: int | None, score: str = "score") -> str:
     cut = f" QUALIFY rank <= {n}" if n else ""
+    kind = "INTEGER" if n else "BIGINT"
     return (f"SELECT query_id, doc_id, {score} AS score, row_number() OVER (PARTITION BY query_id "
-            f"ORDER BY {score} DESC, doc_id) AS rank FROM ({hits}){cut}")
+            f"ORDER BY {score} DESC, doc_id)::{kind} AS rank FROM ({hits}){cut}")
 
 
 def tfidf_weights(field: str) -> str:

@@ -29,35 +29,26 @@ thumb including second following many however would became
 
 STOPWORDS = ENGLISH_STOPWORDS + CORPUS_STOPWORDS
 
-# Penn Treebank word splitting, look-around free: (pattern, replacement) in order.
-_PUNCTUATION = [
-    (r"[;@#$%&?!()\[\]{}<>\"“”«»…]|--", " "),
-    (r"([:,])([^0-9])", " $2"),
-    (r"[:,]$", " "),
-]
-_CLITICS = [
-    (r"([a-z])n't([^\p{L}]|$)", "$1 n't$2"),
-    (r"([^' ])('s|'m|'d|'ll|'re|'ve)([^\p{L}]|$)", "$1 $2$3"),
-]
+# Penn Treebank word splitting. What separates words, besides blanks:
+_GAP = r"""[\s;@#$%&?!()\[\]{}<>"“”«»…]"""
+_GAP_OR_END = rf"(?:{_GAP}|\z)"
+_NEGATION = r"n't(?:\P{L}|\z)"
+_CLITIC = rf"'(?:s|m|d|ll|re|ve)(?:\P{{L}}|\z|{_NEGATION})"
+# A word is a run of letters that starts after a gap, with or without an opening quote, and is
+# followed by a gap, a closing quote, a clitic, the n't of a negation (its n is not part of the
+# word) or, with two letters or more, by a full stop.
+WORD_IN_TEXT = (
+    rf"(?:(?<={_GAP})|\A)'?(\p{{L}}+)(?:(?={_GAP_OR_END}|'{_GAP_OR_END}|{_CLITIC})"
+    rf"|(?<=[a-z])(?={_NEGATION})|(?<=\p{{L}}\p{{L}})(?=\.(?:{_GAP_OR_END}|{_CLITIC})))")
+# A colon or comma separates unless a digit follows.
+_COLON_OR_COMMA = r"[:,]([^0-9]|$)"
 FUSED_WORDS = [("can", "not"), ("gon", "na"), ("wan", "na"), ("got", "ta"), ("gim", "me"), ("lem", "me")]
-_SENTENCE_END_AND_QUOTES = [
-    (r"(\p{L}{2,})\.(\s|$)", "$1 . $2"),
-    (r"'(\s|$)", " $1"),
-    (r"(^|\s)'", "$1 "),
-]
-WORD_PATTERN = r"^\p{L}+$"
 
 
 def _as_column(text: Column | str) -> Column:
     return F.col(text) if isinstance(text, str) else text
 
 
-def _rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
-    for pattern, replacement in rules:
-        text = F.regexp_replace(text, pattern, replacement)
-    return text
-
-
 def not_stopword(term: Column | str) -> Column:
     return ~_as_column(term).isin(STOPWORDS)
 
@@ -80,13 +71,20 @@ def regex_tokens(text: Column | str) -> Column:
 def word_tokens(text: Column | str) -> Column:
     """All-letter word tokens used for document lengths and BM25 queries."""
     lowered = F.lower(_as_column(text))
-    plain = _rewrite(lowered, _PUNCTUATION + _CLITICS)
-    fused = [(rf"(^|\s){a}({b})(\s|$)", rf"$1{a} $2$3") for a, b in FUSED_WORDS]
-    # The rules above only insert blanks, so a text without any of these words keeps none.
-    has_fused = lowered.rlike("|".join(a + b for a, b in FUSED_WORDS))
-    split_up = F.when(has_fused, _rewrite(plain, fused)).otherwise(plain)
-    words = F.split(_rewrite(split_up, _SENTENCE_END_AND_QUOTES), r"\s+")
-    return F.filter(words, lambda w: w.rlike(WORD_PATTERN) & not_stopword(w))
+    spaced = F.regexp_replace(F.replace(lowered, F.lit("--"), F.lit(" ")), _COLON_OR_COMMA, " $1")
+    words = F.regexp_extract_all(spaced, F.lit(WORD_IN_TEXT), F.lit(1))
+    # "cannot" and the like are two words; most texts have none of them.
+    fused = [a + b for a, b in FUSED_WORDS]
+    return remove_stopwords(F.when(lowered.rlike("|".join(fused)), _split_fused(words)).otherwise(words))
+
+
+def _split_fused(words: Column) -> Column:
+    def parts(word: Column) -> Column:
+        pieces = F.array(word)
+        for a, b in FUSED_WORDS:
+            pieces = F.when(word == a + b, F.array(F.lit(a), F.lit(b))).otherwise(pieces)
+        return pieces
+    return F.flatten(F.transform(words, parts))
 
 
 def word_count(text: Column | str) -> Column:

@@ -9,11 +9,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexispark import schemas
 
 
+def spread(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Deal a freshly read table to all cores when its files give fewer tasks than cores.
+
+    One row group is one task; a large corpus has far more row groups than cores and is left
+    as it is.
+    """
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs.repartition(cores, key) if docs.rdd.getNumPartitions() < cores else docs
+
+
 def read_corpus(spark: SparkSession, paths: str | Sequence[str], field: str = "text",
                 doc_id: str = "id") -> DataFrame:
     """(doc_id, field) of one or several Parquet paths; other columns are not read."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.parquet(*paths).select(F.col(doc_id).alias("doc_id"), field)
+    return spread(spark.read.parquet(*paths).select(F.col(doc_id).alias("doc_id"), field))
 
 
 def count_documents(corpus: DataFrame) -> DataFrame:
