@@ -110,13 +110,6 @@ def anchor_index(spark: SparkSession, sf_dir: str) -> InvertedIndex:
     return once(spark, sf_dir, "anchor", lambda root: build_anchor_index(anchors(spark, sf_dir), root))
 
 
-def stored_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def write(location: str) -> DataFrame:
-        word_vectors(spark, sf_dir).write.mode("overwrite").parquet(location)
-        return spark.read.parquet(location)
-    return once(spark, sf_dir, "word_vectors", write)
-
-
 def engine(spark: SparkSession, sf_dir: str, *parts: str) -> SearchEngine:
     """A search engine with the named parts."""
     make = {
@@ -133,7 +126,23 @@ def engine(spark: SparkSession, sf_dir: str, *parts: str) -> SearchEngine:
     return SearchEngine(**{part: make[part]() for part in parts})
 
 
+def stored_table(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
+    """Write ``make()`` the first time, then read the written table."""
+    def write(location: str) -> DataFrame:
+        make().write.mode("overwrite").parquet(location)
+        return spark.read.parquet(location)
+    return once(spark, sf_dir, name, write)
+
+
+def stored_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_table(spark, sf_dir, "word_vectors", lambda: word_vectors(spark, sf_dir))
+
+
 def qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_table(spark, sf_dir, "qrels", lambda: make_qrels(spark, sf_dir))
+
+
+def make_qrels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(query_id, doc_id): documents having at least half of the distinct query words."""
     terms = term_counts(re_process_queries(queries(spark, sf_dir)))
     words = terms.groupBy("query_id").agg(F.count("*").alias("n_words"))

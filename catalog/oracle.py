@@ -430,7 +430,8 @@ def statements() -> dict[str, str]:
         "search_title_type_bm25": titled_hits("title_bm25_default_100"),
         "search_body_and_title_bm25": titled_hits("both_bm25"),
         "search_body_tfidf_and_title_bm25": titled_hits("tfidf_and_title"),
-        "search_anchor": titled_hits("(" + ranked("SELECT * FROM link_matches", None) + ")"),
+        "search_anchor": titled_hits("(" + ranked(
+            "SELECT * FROM link_matches WHERE doc_id IN (SELECT doc_id FROM titled)", None) + ")"),
         "ultimate_search_unstemmed": titled_hits("ultimate"),
         "ultimate_search_anchor": titled_hits("ultimate_linked"),
         "drop_empty_queries": "SELECT query_id, query FROM (SELECT conv_id * 1000 + turn AS query_id, "

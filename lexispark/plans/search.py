@@ -166,5 +166,6 @@ class SearchEngine:
 
     def _binary(self, index: InvertedIndex, queries: DataFrame, distinct_terms: bool) -> DataFrame:
         matches = match_terms(index, term_counts(re_process_queries(queries)))
-        hits = fusion.rank_all(scoring.binary_ranking(matches, distinct_terms))
-        return fusion.attach_titles(hits, self.titles).select(*TITLED_HITS)
+        # Targets without a title leave the list before it is numbered.
+        hits = fusion.attach_titles(scoring.binary_ranking(matches, distinct_terms), self.titles)
+        return fusion.rank_all(hits).select(*TITLED_HITS)
