@@ -6,23 +6,41 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A term is hot when it owns more than 1/HOT_SHARE of all postings, hence at most
-# HOT_SHARE terms are hot whatever the size of the corpus.
+# At most this many terms can each own more than 1/FREQUENT_TERMS of all postings; their
+# statistics may be broadcast whatever the size of the corpus.
+FREQUENT_TERMS = 500_000
+# A larger share makes a term hot: it is cut into slices in joins with many rows per term.
 HOT_SHARE = 10_000
-HOT_MIN_POSTINGS = 100_000
+# Below this number of postings a plain join is enough.
+PLAIN_JOIN_POSTINGS = 10_000_000
 
 
-def join_terms(postings: DataFrame, terms: DataFrame, n_postings: int | None = None) -> DataFrame:
-    """Inner join on ``term``; ``terms`` carries ``df``.
+def join_term_stats(postings: DataFrame, stats: DataFrame, n_postings: int | None = None) -> DataFrame:
+    """Postings with the statistics ``stats(term, df, …)`` of their term, one row per term.
 
-    With ``n_postings`` known, the postings of a hot term are spread over
-    ``df / threshold`` slices by doc id and its row in ``terms`` is repeated per slice.
-    The list of hot terms that is broadcast for this has at most HOT_SHARE rows.
-    Without it, AQE's skew-join splitting is left to do the work.
+    Word frequencies are very uneven: the frequent terms, a list of proven size, own most of
+    the postings. Those are joined in place by broadcast; only the postings of rare terms are
+    shuffled, and none of these terms can fill a task.
     """
-    if n_postings is None or n_postings <= HOT_MIN_POSTINGS:
+    if n_postings is None or n_postings <= PLAIN_JOIN_POSTINGS:
+        return postings.join(stats, "term")
+    frequent = F.col("df") > n_postings / FREQUENT_TERMS
+    common, rare = stats.where(frequent), stats.where(~frequent)
+    in_place = postings.join(F.broadcast(common), "term")
+    others = postings.join(F.broadcast(common.select("term")), "term", "left_anti")
+    return in_place.unionByName(others.join(rare, "term"))
+
+
+def join_terms(postings: DataFrame, terms: DataFrame, n_postings: int) -> DataFrame:
+    """Inner join on ``term`` with ``terms`` that hold several rows per term, and ``df``.
+
+    The postings of a hot term are spread over ``df / threshold`` slices by doc id and its rows
+    in ``terms`` are repeated per slice. The broadcast list of hot terms has at most
+    HOT_SHARE rows.
+    """
+    if n_postings <= PLAIN_JOIN_POSTINGS:
         return postings.join(terms, "term")
-    threshold = max(n_postings // HOT_SHARE, HOT_MIN_POSTINGS)
+    threshold = max(n_postings // HOT_SHARE, 1)
     slices = F.ceil(F.col("df") / threshold).cast("int")
     hot = terms.where(F.col("df") > threshold).select("term", slices.alias("slices")).distinct()
     sliced_postings = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexispark.functions.text import word_count
-from lexispark.operators.skew import join_terms
+from lexispark.operators.skew import join_term_stats
 
 LOGARITHMS = {"e": F.ln, "10": F.log10}
 
@@ -41,7 +41,7 @@ def term_statistics(postings: DataFrame, n_docs: Column | int, base: str = "e")
 
 def tfidf_postings(postings: DataFrame, term_stats: DataFrame, n_postings: int | None = None) -> DataFrame:
     """``tf * idf`` per posting, no length normalisation."""
-    joined = join_terms(postings, term_stats.select("term", "df", "idf"), n_postings)
+    joined = join_term_stats(postings, term_stats.select("term", "df", "idf"), n_postings)
     return joined.select("term", "doc_id", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
@@ -65,6 +65,6 @@ def doc_norms(postings: DataFrame, term_stats: DataFrame, n_postings: int | None
 
     ``postings`` carries ``dl``, so no document table has to be joined.
     """
-    joined = join_terms(postings, term_stats.select("term", "df", "idf"), n_postings)
+    joined = join_term_stats(postings, term_stats.select("term", "df", "idf"), n_postings)
     weights = joined.select("doc_id", length_weight().alias("w")).where(F.col("w").isNotNull())
     return weights.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))

@@ -16,6 +16,7 @@ from lexispark.operators.matching import inspect_batch, lookup_postings, lookup_
 from lexispark.operators.query_terms import (
     process_queries, re_process_queries, term_counts, weigh_query_terms)
 from lexispark.operators.statistics import length_weight
+from lexispark.settings import materialize
 from lexispark.sources.index_store import InvertedIndex
 
 HITS = ["query_id", "rank", "doc_id", "score"]
@@ -124,6 +125,16 @@ class SearchEngine:
             views.withColumnRenamed("views", "score"), w_body, w_title, w_page_rank, w_page_views, n)
         return self._titled(Hits(merged, max_ids))
 
+    # ---- signals of given documents -------------------------------------------------
+
+    def page_rank_of(self, ids: DataFrame) -> DataFrame:
+        """``ids(doc_id, …)`` with their page rank, 0 where unknown; a position column keeps the order."""
+        return fusion.page_rank_lookup(ids, self.page_rank)
+
+    def page_views_of(self, ids: DataFrame) -> DataFrame:
+        """``ids(doc_id, …)`` with their page views, 0 where unknown."""
+        return fusion.page_views_lookup(ids, self.page_views)
+
     # ---- shared steps ---------------------------------------------------------------
 
     def _titled(self, hits: Hits) -> DataFrame:
@@ -153,6 +164,9 @@ class SearchEngine:
               similarity: float = 0.7, add_anchor: bool = False) -> Hits:
         tokens = process_queries(queries, stemming, expand, similar_words, similarity, self.word_vectors)
         terms = tokens.select("query_id", "term").distinct()
+        if expand:
+            # The neighbour search is the costly part; the size check must not repeat it.
+            terms = materialize(terms)
         batch = inspect_batch(terms, index.n_buckets)
         known = lookup_statistics(index, terms, batch)
         matches = lookup_postings(index, known, batch)

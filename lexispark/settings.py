@@ -32,3 +32,12 @@ def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint behind a checked size; otherwise the plain table (shuffle join)."""
     return F.broadcast(df) if small_enough(df, max_rows) else df
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a table that several plans read to the shared checkpoint folder, once."""
+    spark = df.sparkSession
+    work_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+    return df.checkpoint()

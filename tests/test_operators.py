@@ -61,14 +61,22 @@ def test_buckets_are_stable(spark):
 
 # ---- skew -------------------------------------------------------------------------------
 
-def test_sliced_join_equals_the_plain_join(spark, rows, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_MIN_POSTINGS", 50)
+def test_joins_for_hot_terms_equal_the_plain_join(spark, rows, monkeypatch):
+    monkeypatch.setattr(skew, "PLAIN_JOIN_POSTINGS", 10)
+    monkeypatch.setattr(skew, "HOT_SHARE", 10)
+    monkeypatch.setattr(skew, "FREQUENT_TERMS", 10)
     data = [("hot", d) for d in range(400)] + [("warm", d) for d in range(60)] + [(f"t{d}", d) for d in range(40)]
     postings = spark.createDataFrame(data, "term string, doc_id bigint")
-    terms = postings.groupBy("term").agg(F.count("*").alias("df")).unionByName(
+    stats = postings.groupBy("term").agg(F.count("*").alias("df")).unionByName(
         spark.createDataFrame([("unused", 900)], "term string, df bigint"))
+    columns = ["term", "doc_id", "df"]
+    want = rows(postings.join(stats, "term"), *columns)
+    by_size = skew.join_term_stats(postings, stats, len(data))
+    assert rows(by_size, *columns) == want
+    assert "Union" in by_size._jdf.queryExecution().optimizedPlan().toString()
+    terms = stats.crossJoin(spark.range(3).withColumnRenamed("id", "query_id"))
     sliced = skew.join_terms(postings, terms, len(data))
-    assert rows(sliced, "term", "doc_id", "df") == rows(postings.join(terms, "term"), "term", "doc_id", "df")
+    assert rows(sliced, *columns, "query_id") == rows(postings.join(terms, "term"), *columns, "query_id")
     assert "slice" in sliced._jdf.queryExecution().optimizedPlan().toString()
 
 
