@@ -58,14 +58,10 @@ def remove_stopwords(tokens: Column | str) -> Column:
     return F.filter(_as_column(tokens), not_stopword)
 
 
-def raw_regex_tokens(text: Column | str) -> Column:
-    """All pattern matches of the lowered text, stopwords included."""
-    return F.regexp_extract_all(F.lower(_as_column(text)), F.lit(TOKEN_PATTERN), F.lit(0))
-
-
 def regex_tokens(text: Column | str) -> Column:
     """Tokens used for postings and for TF-IDF and binary queries."""
-    return remove_stopwords(raw_regex_tokens(text))
+    lowered = F.lower(_as_column(text))
+    return remove_stopwords(F.regexp_extract_all(lowered, F.lit(TOKEN_PATTERN), F.lit(0)))
 
 
 def word_tokens(text: Column | str) -> Column:

@@ -24,7 +24,11 @@ def top_n(hits: DataFrame, n: int = 100) -> DataFrame:
 
 
 def rank_all(hits: DataFrame, block_docs: int = RANK_BLOCK_DOCS) -> DataFrame:
-    """Rank of every hit of lists with whole-number scores, however long the list is."""
+    """Rank of every hit of lists with whole-number scores, however long the list is.
+
+    ``block_docs`` should cut the id range into some ten thousand blocks, as the default does
+    for 32-bit ids.
+    """
     return number_rows(hits, ["query_id"], [-F.col("score"), F.floor(F.col("doc_id") / block_docs)],
                        [F.col("doc_id")])
 

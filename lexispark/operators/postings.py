@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexispark.functions.stemming import stem_tokens
-from lexispark.functions.text import not_stopword, raw_regex_tokens, regex_tokens
+from lexispark.functions.text import regex_tokens
 
 N_BUCKETS = 124          # fixed value: number of hash buckets of an index
-BLOCK_DOCS = 65_536      # doc-id width of one posting-list block
+# Doc-id width of one posting-list block; 32-bit ids give at most 65,536 blocks per term.
+BLOCK_DOCS = 65_536
 
 
 def term_bucket(term: Column | str, n_buckets: int = N_BUCKETS) -> Column:
@@ -20,24 +21,30 @@ def term_bucket(term: Column | str, n_buckets: int = N_BUCKETS) -> Column:
     return F.pmod(prefix, F.lit(n_buckets)).cast("int")
 
 
-def explode_terms(docs: DataFrame, text: str = "text", stemming: bool = False) -> DataFrame:
-    """One row per token occurrence: all columns but the text, plus ``term``."""
-    rest = [c for c in docs.columns if c != text]
-    if stemming:
-        return docs.select(*rest, F.explode(stem_tokens(regex_tokens(text))).alias("term"))
-    # Filtering after the explode keeps the stopword test inside generated code.
-    tokens = docs.select(*rest, F.explode(raw_regex_tokens(text)).alias("term"))
-    return tokens.where(not_stopword("term"))
+def count_tokens(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """(all other columns, term, tf) of a token array column, counted inside each row.
 
+    Sorting the array puts equal tokens next to each other; the distance between the starts of
+    two runs is a frequency. Nothing is shuffled, as a document is one row already.
+    """
+    rest = [c for c in docs.columns if c != tokens]
+    ordered = docs.select(*rest, F.sort_array(tokens).alias("__sorted"))
+    starts = F.array_compact(F.transform("__sorted", lambda token, i: F.when(
+        (i == 0) | (F.get("__sorted", i - 1) != token), i)))
+    runs = ordered.select(*rest, "__sorted", starts.alias("__starts"))
+    # Kept inside the generator: as a column of its own it would be inferred to be non-empty,
+    # and that filter would repeat the whole expression further down.
+    counts = F.transform("__starts", lambda start, j: F.struct(
+        F.get("__sorted", start).alias("term"),
+        (F.coalesce(F.get("__starts", j + 1), F.size("__sorted")) - start).cast("bigint").alias("tf")))
+    return runs.select(*rest, F.inline(counts))
 
-def count_words(docs: DataFrame, text: str = "text", stemming: bool = False) -> DataFrame:
-    """Term frequency per row identity (all columns but the text, usually ``doc_id``).
 
-    Every document is counted completely on the map side; the shuffle carries one row
-    per (term, document) and spreads frequent terms over all partitions.
-    """
-    terms = explode_terms(docs, text, stemming)
-    return terms.groupBy(*terms.columns).agg(F.count("*").alias("tf"))
+def count_words(docs: DataFrame, text: str = "text", stemming: bool = False) -> DataFrame:
+    """Term frequency per row: all columns but the text (usually ``doc_id``), term and tf."""
+    rest = [c for c in docs.columns if c != text]
+    tokens = stem_tokens(regex_tokens(text)) if stemming else regex_tokens(text)
+    return count_tokens(docs.select(*rest, tokens.alias("tokens")))
 
 
 def explode_anchors(corpus: DataFrame, column: str = "anchor_text", source: str = "doc_id") -> DataFrame:
@@ -51,8 +58,7 @@ def anchor_postings(anchors: DataFrame, stemming: bool = False) -> DataFrame:
 
     One document may keep several rows for a term when the frequencies differ.
     """
-    counts = count_words(anchors.select("source_id", "pos", "doc_id", "text"), stemming=stemming)
-    return counts.select("term", "doc_id", "tf").distinct()
+    return count_words(anchors.select("doc_id", "text"), stemming=stemming).select("term", "doc_id", "tf").distinct()
 
 
 def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark.functions.stemming import stem_tokens
 from lexispark.functions.text import regex_tokens, word_count
-from lexispark.operators.postings import N_BUCKETS, anchor_postings
+from lexispark.operators.postings import N_BUCKETS, anchor_postings, count_tokens
 from lexispark.operators.statistics import doc_norms, inverse_document_frequency
+from lexispark.settings import small_enough
 from lexispark.sources.index_store import (
     InvertedIndex, read_index, read_table, write_doc_stats, write_postings, write_term_stats)
 
@@ -59,16 +60,14 @@ def publish_tokens(spark: SparkSession, root: str, tokens: DataFrame, previous:
     if previous:
         gen = previous.gen + 1
         n_buckets, idf_base, stemming = previous.n_buckets, previous.idf_base, previous.stemming
-        tokens = tokens.join(previous.doc_stats.select("doc_id"), "doc_id", "left_anti")
+        tokens = tokens.join(_known_ids(tokens, previous), "doc_id", "left_anti")
     tokens.write.mode("overwrite").parquet(f"{root}/tokens/gen={gen}")
     tokens = _generation(spark, root, "tokens", gen)
     added = tokens.agg(F.count("*").alias("docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("dl")).first()
     if previous and added.docs == 0:
         return previous
 
-    terms = tokens.select("doc_id", "dl", F.explode("tokens").alias("term"))
-    counts = terms.groupBy("doc_id", "dl", "term").agg(F.count("*").alias("tf"))
-    write_postings(counts, f"{root}/postings/gen={gen}", n_buckets)
+    write_postings(count_tokens(tokens), f"{root}/postings/gen={gen}", n_buckets)
     postings = _generation(spark, root, "postings", gen)
 
     n_docs = added.docs + (previous.n_docs if previous else 0)
@@ -84,6 +83,14 @@ def publish_tokens(spark: SparkSession, root: str, tokens: DataFrame, previous:
     return _commit(spark, root, gen, n_docs, sum_dl, n_postings, n_buckets, idf_base, stemming)
 
 
+def _known_ids(tokens: DataFrame, index: InvertedIndex) -> DataFrame:
+    """Ids that are indexed already; for a small addition only those among its own ids."""
+    indexed, added = index.doc_stats.select("doc_id"), tokens.select("doc_id")
+    if small_enough(added):
+        return F.broadcast(indexed.join(F.broadcast(added), "doc_id", "left_semi"))
+    return indexed
+
+
 def _generation(spark: SparkSession, root: str, table: str, gen: int) -> DataFrame:
     return read_table(spark, root, table).where(F.col("gen") == gen).drop("gen")
 

@@ -11,17 +11,23 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def work_dir(spark: SparkSession) -> str:
-    """Shared folder for written tables, private to this application.
+_temporary: dict[str, str] = {}
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``; where unset (tests, one machine) a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    application = spark.sparkContext.applicationId
+    if application not in _temporary:
+        _temporary[application] = tempfile.mkdtemp(prefix="lexispark-")
+    return _temporary[application]
 
-    The cluster names the folder in ``spark.checkpoint.dir``. Only where that is
-    unset (tests, one machine) a temporary folder is created and remembered.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lexispark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/lexispark-{spark.sparkContext.applicationId}"
+
+def work_dir(spark: SparkSession) -> str:
+    """Shared folder for written tables, private to this application."""
+    return f"{_shared_folder(spark)}/lexispark-{spark.sparkContext.applicationId}"
 
 
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
@@ -37,7 +43,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 def materialize(df: DataFrame) -> DataFrame:
     """Write a table that several plans read to the shared checkpoint folder, once."""
     spark = df.sparkSession
-    work_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
+        spark.sparkContext.setCheckpointDir(_shared_folder(spark))
     return df.checkpoint()

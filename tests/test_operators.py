@@ -29,6 +29,7 @@ def test_counts_add_up(spark, rows):
     docs = spark.createDataFrame([(1, "cat cat dog"), (2, ""), (3, "dog 12 dog")], "doc_id bigint, text string")
     counts = count_words(docs)
     assert rows(counts, "term", "doc_id", "tf") == [("12", 3, 1), ("cat", 1, 2), ("dog", 1, 1), ("dog", 3, 2)]
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
     stats = statistics.term_statistics(counts, 3)
     assert stats.where("df > term_total").count() == 0
     assert rows(stats, "term", "df", "term_total") == [("12", 1, 1), ("cat", 1, 2), ("dog", 2, 3)]

@@ -1,5 +1,6 @@
 import gzip
 import json
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -61,6 +62,8 @@ def test_readers(spark, tmp_path, rows):
 
 def test_work_folder_comes_from_the_session(spark):
     assert work_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=spark.sparkContext)
+    assert work_dir(unset) == work_dir(unset) != work_dir(spark)
     assert small_enough(spark.range(10), 10) and not small_enough(spark.range(11), 10)
 
 
