@@ -11,12 +11,11 @@ from hashlib import md5
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark.operators.matching import match_terms
-from lexispark.operators.postings import count_words
+from lexispark.operators.postings import count_words, explode_anchors
 from lexispark.operators.query_terms import re_process_queries, term_counts
 from lexispark.operators.statistics import document_frequency
 from lexispark.plans.build import build_anchor_index, build_index
 from lexispark.plans.search import SearchEngine
-from lexispark.operators.postings import explode_anchors
 from lexispark.settings import work_dir
 from lexispark.sources.index_store import InvertedIndex
 from lexispark.sources.readers import count_page_views, read_corpus

@@ -12,8 +12,7 @@ from lexispark.functions.text import regex_tokens, remove_stopwords, word_tokens
 from lexispark.operators import fusion, metrics, query_terms, scoring, selection, statistics
 from lexispark.operators.matching import inspect_batch, lookup_postings, lookup_statistics, match_terms
 from lexispark.operators.postings import (
-    anchor_postings, count_words, explode_anchors, merge_posting_lists, posting_lists, term_bucket,
-    unnest_posting_lists)
+    anchor_postings, count_words, explode_anchors, merge_posting_lists, posting_lists, term_bucket)
 from lexispark.operators.similarity import most_similar
 from lexispark.plans.build import add_documents, build_index
 from lexispark.sources import readers
@@ -224,7 +223,7 @@ def term_bucket_query(spark, sf_dir):
 
 @registered
 def merge_index_shards(spark, sf_dir):
-    """One shard per language, merged."""
+    """One shard with the English documents and one with the others, merged."""
     docs = fx.table(spark, sf_dir, "documents")
     english = F.col("lang") == "en"
     shards = [posting_lists(count_words(docs.where(part).select("doc_id", "text")))
