@@ -6,17 +6,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from lexispark.settings import broadcast_if_small
 
 from .graph import components
 from .hashing import joined, mix, shingle_sets
 from .segments import pieces, text_of
 from .tables import stored
 
-#: A sketch word with more nodes than this that are not yet connected is joined by pairs of words.
-WORD_NODES = 64
-#: Agreeing sketch words that a link is sure of.
-AGREE = 2
+#: A sketch word with more components than this is common.
+WORD_NODES = 16
+#: Agreeing sketch words that a link is sure of, by the size of its larger set.
+AGREE = ((8, 2), (32, 4), (None, 8))
+
+
+def agreeing(size: int) -> int:
+    return next(n for below, n in AGREE if below is None or size < below)
 
 
 def sketch_words(tokens: np.ndarray, percent: int) -> np.ndarray:
@@ -26,8 +32,8 @@ def sketch_words(tokens: np.ndarray, percent: int) -> np.ndarray:
     each token flips one bit, so equal tokens cancel in the XOR of two sketches and the Hamming
     distance is at most the size of the symmetric difference. Sets a, b with a Jaccard index of
     at least ``percent`` differ in at most k = (|a| + |b|) (100 - percent) / (100 + percent)
-    tokens, hence in at most k words. Of the first k + AGREE words that are not zero in a,
-    AGREE agree with b; these are its keys, in its own band and, where a partner can be larger
+    tokens, hence in at most k words. Of the first k + m words that are not zero in a, m
+    agree with b (m: ``agreeing``); these are its keys, in its own band and, where a partner can be larger
     than that, also in the next. A set that has too few such words gives all words of the
     sketch, zero ones too, which has the same guarantee. A word is held as the XOR of hashes of
     its set bits.
@@ -48,13 +54,14 @@ def sketch_words(tokens: np.ndarray, percent: int) -> np.ndarray:
         partner = min(largest, upper - 1)
         differ = (n + partner) * (100 - percent) // (100 + percent)
         most = 2 * (upper - 1) * (100 - percent) // (100 + percent)
-        words = 64 * upper if upper <= 32 else most + most // 16 + AGREE + 8
+        more = agreeing(upper - 1)
+        words = 64 * upper if upper <= 64 else most + most // 8 + 2 * more + 8
         place = (high * np.uint64(words)) >> np.uint64(32)
         begin = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         value, at = np.bitwise_xor.reduceat(bits, begin), place[begin]
         held = value != 0
-        value, at = value[held][:differ + AGREE], at[held][:differ + AGREE]
-        if len(value) < differ + AGREE:
+        value, at = value[held][:differ + more], at[held][:differ + more]
+        if len(value) < differ + more:
             full = np.zeros(words, np.uint64)
             full[at] = value
             value, at = full, np.arange(words, dtype=np.uint64)
@@ -115,6 +122,9 @@ def _linked(percent: int):
 
 
 def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked. Only texts of documents in a pair move, each side once."""
+    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    texts = texts.join(broadcast_if_small(ids), "doc_id", "left_semi")
     left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
     return both.select("a", "b", "left", "right").mapInArrow(_linked(percent), "a bigint, b bigint")
@@ -131,9 +141,9 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
        that occur once are dropped.
     2. Stars: each document is compared with the first document of the words it shares, the one it
        shares most words with. This connects groups of near copies with one pair each.
-    3. The rest: all pairs of documents that share a word and are not connected yet. A word with
-       more than WORD_NODES such documents is replaced by pairs of such words, since linked
-       documents agree in two words at least.
+    3. The rest: all pairs of documents that share a word and are not connected yet, but for pairs
+       that share too few words for a link. Words of more than WORD_NODES components are common:
+       only documents with many of them need them, and then in pairs (see ``_common_pairs``).
     4. Every pair is verified on the whole texts; the links give the components.
 
     Defined cases: no words, or a null text: no shingles, linked with nothing; rows that share a doc_id
@@ -155,23 +165,51 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     roots = components(links)
 
     rest = near.select("word", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "word", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    apart = rest.groupBy("word").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where(
-        "lo < hi").select("word", "n")
+        "word", "doc_id", F.coalesce("root", "doc_id").alias("root")).distinct()
+    apart = rest.groupBy("word", "root").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("one").alias("n")).where("n > 1")
     rest = stored(rest.join(apart, "word"))
-    few = rest.where(F.col("n") <= WORD_NODES)
-    many = rest.where(F.col("n") > WORD_NODES).select("word", "doc_id", "root")
-    twice = many.withColumnRenamed("word", "word1").join(
-        many.select(F.col("word").alias("word2"), "doc_id"), "doc_id").where("word1 < word2").select(
-        F.xxhash64("word1", "word2").alias("word"), "doc_id", "root")
-    pairs = _pairs(few.select("word", "doc_id", "root")).unionByName(_pairs(twice)).distinct()
+    size = sizes.groupBy("doc_id").agg(F.max("n_shingles").alias("size"))
+    common = rest.where(F.col("n") > WORD_NODES)
+    held = stored(common.groupBy("doc_id").agg(F.count(F.lit(1)).alias("held")).join(size, "doc_id"))
+    few = _pairs(rest.where(F.col("n") <= WORD_NODES))
+    for side in "ab":
+        few = few.join(size.select(F.col("doc_id").alias(side), F.col("size").alias(f"size_{side}")), side).join(
+            held.select(F.col("doc_id").alias(side), F.col("held").alias(f"held_{side}")), side, "left")
+    most = F.col("n") + F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0)))
+    pairs = few.where(most >= _need(F.greatest("size_a", "size_b"))).select("a", "b").unionByName(
+        _pairs(_common_pairs(common, held)).select("a", "b")).distinct()
     links = links.unionByName(_verified(texts, stored(pairs), percent))
     roots = components(stored(links)).withColumnRenamed("node", "doc_id")
     return sizes.join(roots, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
+def _need(size: Column) -> Column:
+    """``agreeing`` as a column."""
+    need = F.lit(AGREE[-1][1])
+    for below, n in reversed(AGREE[:-1]):
+        need = F.when(size < below, n).otherwise(need)
+    return need
+
+
+def _common_pairs(common: DataFrame, held: DataFrame) -> DataFrame:
+    """(word, doc_id, root) with pairs of common words as words, for documents that need them.
+
+    A link shares m words (``agreeing``). If one side holds fewer than m common words, some shared word
+    is not common and finds the link. If both sides hold m or more, and share only common ones,
+    then in any order of all words the first two that they share are among the first h - m + 2 of
+    the h that each holds; the rarest go first.
+    """
+    rare = Window.partitionBy("doc_id").orderBy("n", "word")
+    first = common.join(held.withColumn("need", _need(F.col("size"))).where("held >= need"), "doc_id").withColumn(
+        "at", F.row_number().over(rare)).where("at <= held - need + 2")
+    first = stored(first.select("word", "doc_id", "root"))
+    other = first.select(F.col("word").alias("second"), "doc_id")
+    return first.join(other, "doc_id").where("word < second").select(F.xxhash64("word", "second").alias("word"), "doc_id", "root")
+
+
 def _pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a < b) of documents that share a word and have different roots."""
+    """(a, b, n): pairs a < b of documents with different roots, and how many words they share."""
     other = rows.select("word", F.col("doc_id").alias("b"), F.col("root").alias("other"))
-    return rows.withColumnRenamed("doc_id", "a").join(other, "word").where("a < b and root <> other").select("a", "b").distinct()
+    return rows.select("word", F.col("doc_id").alias("a"), "root").join(other, "word").where(
+        "a < b and root <> other").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
