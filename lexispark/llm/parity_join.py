@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lexispark.settings import broadcast_if_small
 
@@ -17,56 +17,45 @@ from .tables import stored
 
 #: A sketch word with more components than this is common.
 WORD_NODES = 16
-#: Agreeing sketch words that a link is sure of, by the size of its larger set.
-AGREE = ((8, 2), (32, 4), (None, 8))
-
-
-def agreeing(size: int) -> int:
-    return next(n for below, n in AGREE if below is None or size < below)
-
-
-def sketch_words(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of the sketch words by which a set (sorted distinct 64-bit hashes) is found.
+def sketch_words(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of the sketch words of a set (sorted distinct 64-bit hashes), and how many a link shares.
 
     Size bands are powers of two. In a band, a sketch is a row of bits, 2^32 for each of its words;
     each token flips one bit, so equal tokens cancel in the XOR of two sketches and the Hamming
     distance is at most the size of the symmetric difference. Sets a, b with a Jaccard index of
     at least ``percent`` differ in at most k = (|a| + |b|) (100 - percent) / (100 + percent)
-    tokens, hence in at most k words. Of the first k + m words that are not zero in a, m
-    agree with b (m: ``agreeing``); these are its keys, in its own band and, where a partner can be larger
-    than that, also in the next. A set that has too few such words gives all words of the
-    sketch, zero ones too, which has the same guarantee. A word is held as the XOR of hashes of
-    its set bits.
+    tokens, hence in at most k words: of the words of a that are not zero, all but k agree with b.
+    The keys are these words, of its own band and, where a partner can be larger than that, of
+    the next. If all but k are too few, the keys are all words, zero ones too, which has the same
+    guarantee. A word is held as the XOR of hashes of its set bits.
     """
     n = len(tokens)
     if not n:
-        return np.empty(0, np.int64)
-    if n * 100 // percent == n:  # only equal sets can be linked
-        return mix(np.array([np.bitwise_xor.reduce(mix(tokens)) + np.uint64(n)], np.uint64)).view(np.int64) >> 16
-    high = (tokens >> np.uint64(32)).astype(np.uint64)
-    bits = mix(tokens & np.uint64(0xFFFFFFFF))
+        return np.empty(0, np.int64), 0
     largest = n * 100 // percent
-    out = []
+    if largest == n:  # only equal sets can be linked
+        return mix(np.array([np.bitwise_xor.reduce(mix(tokens)) + np.uint64(n)], np.uint64)).view(np.int64) >> 16, 1
+    high = tokens >> np.uint64(32)
+    bits = mix(tokens & np.uint64(0xFFFFFFFF))
+    out, sure = [], n
     band = n.bit_length() - 1
     for upper in (2 << band, 4 << band):
         if upper > 2 << band and largest < upper // 2:
             break
-        partner = min(largest, upper - 1)
-        differ = (n + partner) * (100 - percent) // (100 + percent)
+        differ = (n + min(largest, upper - 1)) * (100 - percent) // (100 + percent)
         most = 2 * (upper - 1) * (100 - percent) // (100 + percent)
-        more = agreeing(upper - 1)
-        words = 64 * upper if upper <= 64 else most + most // 8 + 2 * more + 8
+        words = 64 * upper if upper <= 64 else most + most // 8 + 16
         place = (high * np.uint64(words)) >> np.uint64(32)
         begin = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         value, at = np.bitwise_xor.reduceat(bits, begin), place[begin]
-        held = value != 0
-        value, at = value[held][:differ + more], at[held][:differ + more]
-        if len(value) < differ + more:
+        value, at = value[value != 0], at[value != 0]
+        sure = min(sure, max(len(value) - differ, 2))
+        if len(value) - differ < 2:
             full = np.zeros(words, np.uint64)
             full[at] = value
             value, at = full, np.arange(words, dtype=np.uint64)
         out.append(mix(value ^ mix(at + np.uint64(upper << 32))))
-    return np.concatenate(out).view(np.int64) >> 16
+    return np.concatenate(out).view(np.int64) >> 16, sure
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -90,17 +79,21 @@ def _first_copies(batches: Iterator[pa.RecordBatch]):
         yield ids, sets, first
 
 
-def _sizes(batches):
-    for ids, sets, first in _first_copies(batches):
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                                          pa.array(first, pa.int64())], names=["doc_id", "n_shingles", "copy_of"])
+def _sizes(percent: int):
+    def measure(batches):
+        for ids, sets, first in _first_copies(batches):
+            need = [sketch_words(s, percent)[1] for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.int64()),
+                 pa.array(need, pa.int64())], names=["doc_id", "n_shingles", "copy_of", "need"])
+    return measure
 
 
 def _words(percent: int):
     def emit(batches):
         for ids, sets, first in _first_copies(batches):
             rows = [i for i, d in enumerate(ids) if d is not None and d == first[i] and len(sets[i])]
-            keys = [sketch_words(sets[i], percent) for i in rows]
+            keys = [sketch_words(sets[i], percent)[0] for i in rows]
             if keys:
                 docs = np.repeat(np.array([ids[i] for i in rows], np.int64), [len(k) for k in keys])
                 yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.concatenate(keys))], names=["doc_id", "word"])
@@ -151,15 +144,19 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     null; other columns are ignored; an empty table gives no rows.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sizes = stored(texts.mapInArrow(_sizes, "doc_id bigint, n_shingles bigint, copy_of bigint"))
+    sizes = stored(texts.mapInArrow(_sizes(percent), "doc_id bigint, n_shingles bigint, copy_of bigint, need bigint"))
     words = texts.mapInArrow(_words(percent), "doc_id bigint, word bigint")
     shared = words.groupBy("word").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
-        "first < last").select("word", "first")
+        "first < last").select("word")
     near = stored(words.join(shared, "word"))
 
-    counted = near.where("doc_id > first").groupBy("doc_id", "first").agg(F.count(F.lit(1)).alias("n"))
+    # the first document of a word is the one with most shared words, the centre of its near copies
+    degree = near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree"))
+    near = stored(near.join(degree, "doc_id"))
+    centre = near.groupBy("word").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("first"))
+    counted = near.join(centre, "word").where("doc_id <> first").groupBy("doc_id", "first").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("doc_id").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("first"))
-    stars = _verified(texts, best.select(F.col("first").alias("a"), F.col("doc_id").alias("b")), percent)
+    stars = _verified(texts, best.select(F.least("first", "doc_id").alias("a"), F.greatest("first", "doc_id").alias("b")).distinct(), percent)
     copies = sizes.where("copy_of <> doc_id").select(F.col("copy_of").alias("a"), F.col("doc_id").alias("b"))
     links = stored(stars.unionByName(copies))
     roots = components(links)
@@ -168,15 +165,15 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         "word", "doc_id", F.coalesce("root", "doc_id").alias("root")).distinct()
     apart = rest.groupBy("word", "root").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("one").alias("n")).where("n > 1")
     rest = stored(rest.join(apart, "word"))
-    size = sizes.groupBy("doc_id").agg(F.max("n_shingles").alias("size"))
+    need = sizes.where("doc_id is not null").groupBy("doc_id").agg(F.min("need").alias("need"))
     common = rest.where(F.col("n") > WORD_NODES)
-    held = stored(common.groupBy("doc_id").agg(F.count(F.lit(1)).alias("held")).join(size, "doc_id"))
+    held = stored(common.groupBy("doc_id").agg(F.count(F.lit(1)).alias("held")).join(need, "doc_id"))
     few = _pairs(rest.where(F.col("n") <= WORD_NODES))
     for side in "ab":
-        few = few.join(size.select(F.col("doc_id").alias(side), F.col("size").alias(f"size_{side}")), side).join(
+        few = few.join(need.select(F.col("doc_id").alias(side), F.col("need").alias(f"need_{side}")), side).join(
             held.select(F.col("doc_id").alias(side), F.col("held").alias(f"held_{side}")), side, "left")
     most = F.col("n") + F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0)))
-    pairs = few.where(most >= _need(F.greatest("size_a", "size_b"))).select("a", "b").unionByName(
+    pairs = few.where(most >= F.greatest("need_a", "need_b")).select("a", "b").unionByName(
         _pairs(_common_pairs(common, held)).select("a", "b")).distinct()
     links = links.unionByName(_verified(texts, stored(pairs), percent))
     roots = components(stored(links)).withColumnRenamed("node", "doc_id")
@@ -184,24 +181,16 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
-def _need(size: Column) -> Column:
-    """``agreeing`` as a column."""
-    need = F.lit(AGREE[-1][1])
-    for below, n in reversed(AGREE[:-1]):
-        need = F.when(size < below, n).otherwise(need)
-    return need
-
-
 def _common_pairs(common: DataFrame, held: DataFrame) -> DataFrame:
     """(word, doc_id, root) with pairs of common words as words, for documents that need them.
 
-    A link shares m words (``agreeing``). If one side holds fewer than m common words, some shared word
+    A link shares the ``need`` m of both sides (``sketch_words``). If one side holds fewer than m common words, some shared word
     is not common and finds the link. If both sides hold m or more, and share only common ones,
     then in any order of all words the first two that they share are among the first h - m + 2 of
     the h that each holds; the rarest go first.
     """
     rare = Window.partitionBy("doc_id").orderBy("n", "word")
-    first = common.join(held.withColumn("need", _need(F.col("size"))).where("held >= need"), "doc_id").withColumn(
+    first = common.join(held.where("held >= need"), "doc_id").withColumn(
         "at", F.row_number().over(rare)).where("at <= held - need + 2")
     first = stored(first.select("word", "doc_id", "root"))
     other = first.select(F.col("word").alias("second"), "doc_id")

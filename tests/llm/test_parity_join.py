@@ -79,5 +79,6 @@ def test_sketch_guarantee():
             a, b = np.unique(a), np.unique(b)
             both = len(np.intersect1d(a, b))
             if len(b) and 100 * both >= 80 * (len(a) + len(b) - both):
-                same = len(np.intersect1d(sketch_words(a, 80), sketch_words(b, 80)))
-                assert same >= (1 if len(a) == len(b) <= 3 else parity_join.agreeing(max(len(a), len(b)))), (n, len(a), len(b))
+                (x, need_a), (y, need_b) = sketch_words(a, 80), sketch_words(b, 80)
+                same = len(np.intersect1d(x, y))
+                assert same >= max(need_a, need_b) >= 1, (n, len(a), len(b))
