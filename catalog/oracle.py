@@ -463,7 +463,8 @@ def statements() -> dict[str, str]:
                                "6.0::DOUBLE AS similar_words, 0.7::DOUBLE AS min_similarity, 0.0::DOUBLE AS stemming "
                                "FROM grid_results WHERE train_map > 0",
     }
-    sql["add_documents_stream"] = sql["add_documents"]
+    for name in ("add_documents_stream", "rebuild_index", "add_documents_repeated"):
+        sql[name] = sql["add_documents"]
     return {name: with_ctes(text) for name, text in sql.items()}
 
 

@@ -248,6 +248,27 @@ def add_documents_query(spark, sf_dir):
     return _index_rows(fx.once(spark, sf_dir, "grown", write))
 
 
+@registered
+def rebuild_index(spark, sf_dir):
+    """Build and grow an index, then build anew in the same folder."""
+    def write(location):
+        docs = fx.table(spark, sf_dir, "documents")
+        build_index(docs.where("lang <> 'en'").select(F.col("doc_id") + 1_000_000_000_000, "text").toDF("doc_id", "text"), location)
+        add_documents(docs.where("lang = 'en'").select("doc_id", "text"), location)
+        return build_index(docs.select("doc_id", "text"), location)
+    return _index_rows(fx.once(spark, sf_dir, "rebuilt", write))
+
+
+@registered
+def add_documents_repeated(spark, sf_dir):
+    """Every document arrives twice in the addition, and some are indexed already."""
+    def write(location):
+        docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+        build_index(docs.where("lang = 'en'").select("doc_id", "text"), location)
+        return add_documents(docs.unionByName(docs).select("doc_id", "text"), location)
+    return _index_rows(fx.once(spark, sf_dir, "repeated", write))
+
+
 
 @registered
 def add_documents_stream(spark, sf_dir):

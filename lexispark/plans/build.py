@@ -8,9 +8,9 @@ from lexispark.functions.stemming import stem_tokens
 from lexispark.functions.text import regex_tokens, word_count
 from lexispark.operators.postings import N_BUCKETS, anchor_postings, count_tokens
 from lexispark.operators.statistics import doc_norms, inverse_document_frequency
-from lexispark.settings import small_enough
+from lexispark.settings import broadcast_if_small, materialize, small_enough
 from lexispark.sources.index_store import (
-    InvertedIndex, read_index, read_table, write_doc_stats, write_postings, write_term_stats)
+    InvertedIndex, next_generation, read_index, read_table, write_doc_stats, write_postings, write_term_stats)
 
 
 def tokenize_documents(docs: DataFrame, stemming: bool = False) -> DataFrame:
@@ -22,8 +22,13 @@ def tokenize_documents(docs: DataFrame, stemming: bool = False) -> DataFrame:
 
 def build_index(docs: DataFrame, root: str, stemming: bool = False,
                 n_buckets: int = N_BUCKETS, idf_base: str = "e") -> InvertedIndex:
-    """Write generation 0 of an index over ``docs(doc_id, text)`` and open it."""
-    return publish_tokens(docs.sparkSession, root, tokenize_documents(docs, stemming), None,
+    """Write a new index over ``docs(doc_id, text)`` to ``root`` and open it.
+
+    Below ``root`` it is the next free generation and the first of its own: an index that was
+    there before is not touched, and stays the visible one until this is complete. Of rows that
+    share a doc_id one is indexed (see ``one_per_id``).
+    """
+    return publish_tokens(docs.sparkSession, root, one_per_id(tokenize_documents(docs, stemming)), None,
                           stemming, n_buckets, idf_base)
 
 
@@ -31,21 +36,35 @@ def add_documents(docs: DataFrame, root: str) -> InvertedIndex:
     """Add ``docs(doc_id, text)`` to a stored index; ids already indexed are skipped."""
     spark = docs.sparkSession
     index = read_index(spark, root)
-    return publish_tokens(spark, root, tokenize_documents(docs, index.stemming), index)
+    return publish_tokens(spark, root, one_per_id(tokenize_documents(docs, index.stemming)), index)
+
+
+def one_per_id(tokens: DataFrame) -> DataFrame:
+    """One row per doc_id of tokenised documents: that with most words, of several the last by its words.
+
+    Only the ids are counted; rows whose id occurs once are not shuffled.
+    """
+    repeated = materialize(tokens.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return tokens
+    few = broadcast_if_small(repeated)
+    best = tokens.join(few, "doc_id", "left_semi").groupBy("doc_id").agg(F.max(F.struct("dl", "tokens")).alias("best"))
+    return tokens.join(few, "doc_id", "left_anti").unionByName(best.select("doc_id", "best.dl", "best.tokens"))
 
 
 def build_anchor_index(anchors: DataFrame, root: str, stemming: bool = False,
                        n_buckets: int = N_BUCKETS, idf_base: str = "e") -> InvertedIndex:
     """Index of link texts ``anchors(source_id, pos, doc_id, text)``; documents have no length."""
     spark = anchors.sparkSession
-    write_postings(anchor_postings(anchors, stemming), f"{root}/postings/gen=0", n_buckets)
-    postings = _generation(spark, root, "postings", 0)
+    gen = next_generation(spark, root)
+    write_postings(anchor_postings(anchors, stemming), f"{root}/postings/gen={gen}", n_buckets)
+    postings = _generation(spark, root, "postings", gen)
     no_lengths = [F.lit(None).cast("bigint").alias("dl"), F.lit(None).cast("double").alias("norm")]
     write_doc_stats(postings.select("doc_id").distinct().select("doc_id", *no_lengths),
-                    f"{root}/doc_stats/gen=0")
-    n_docs = _generation(spark, root, "doc_stats", 0).count()
-    _write_term_stats(postings, None, n_docs, f"{root}/term_stats/gen=0", n_buckets, idf_base)
-    return _commit(spark, root, 0, n_docs, 0, postings.count(), n_buckets, idf_base, stemming)
+                    f"{root}/doc_stats/gen={gen}")
+    n_docs = _generation(spark, root, "doc_stats", gen).count()
+    _write_term_stats(postings, None, n_docs, f"{root}/term_stats/gen={gen}", n_buckets, idf_base)
+    return _commit(spark, root, gen, gen, n_docs, 0, postings.count(), n_buckets, idf_base, stemming)
 
 
 def publish_tokens(spark: SparkSession, root: str, tokens: DataFrame, previous: InvertedIndex | None,
@@ -56,9 +75,9 @@ def publish_tokens(spark: SparkSession, root: str, tokens: DataFrame, previous:
     columns they need, and a lost executor costs no second tokenisation. A ``previous``
     generation keeps its files and its settings.
     """
-    gen = 0
+    gen = next_generation(spark, root)
+    base = previous.base_gen if previous else gen
     if previous:
-        gen = previous.gen + 1
         n_buckets, idf_base, stemming = previous.n_buckets, previous.idf_base, previous.stemming
         tokens = tokens.join(_known_ids(tokens, previous), "doc_id", "left_anti")
     tokens.write.mode("overwrite").parquet(f"{root}/tokens/gen={gen}")
@@ -76,11 +95,11 @@ def publish_tokens(spark: SparkSession, root: str, tokens: DataFrame, previous:
     _write_term_stats(postings, previous, n_docs, f"{root}/term_stats/gen={gen}", n_buckets, idf_base)
 
     # The idf of every term moves with the corpus size, so norms are taken over all postings.
-    norms = doc_norms(read_table(spark, root, "postings").where(F.col("gen") <= gen),
+    norms = doc_norms(read_table(spark, root, "postings").where(F.col("gen").between(base, gen)),
                       _generation(spark, root, "term_stats", gen), n_postings)
-    lengths = read_table(spark, root, "tokens").where(F.col("gen") <= gen).select("doc_id", "dl")
+    lengths = read_table(spark, root, "tokens").where(F.col("gen").between(base, gen)).select("doc_id", "dl")
     write_doc_stats(lengths.join(norms, "doc_id", "left"), f"{root}/doc_stats/gen={gen}")
-    return _commit(spark, root, gen, n_docs, sum_dl, n_postings, n_buckets, idf_base, stemming)
+    return _commit(spark, root, base, gen, n_docs, sum_dl, n_postings, n_buckets, idf_base, stemming)
 
 
 def _known_ids(tokens: DataFrame, index: InvertedIndex) -> DataFrame:
@@ -104,11 +123,12 @@ def _write_term_stats(postings: DataFrame, previous: InvertedIndex | None, n_doc
     write_term_stats(inverse_document_frequency(sums, n_docs, idf_base), path, n_buckets)
 
 
-def _commit(spark: SparkSession, root: str, gen: int, n_docs: int, sum_dl: int, n_postings: int,
+def _commit(spark: SparkSession, root: str, base: int, gen: int, n_docs: int, sum_dl: int, n_postings: int,
             n_buckets: int, idf_base: str, stemming: bool) -> InvertedIndex:
     row = spark.range(1).select(
         F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(sum_dl).cast("bigint").alias("sum_dl"),
         F.lit(n_postings).cast("bigint").alias("n_postings"), F.lit(n_buckets).alias("n_buckets"),
-        F.lit(idf_base).alias("idf_base"), F.lit(stemming).alias("stemming"))
+        F.lit(idf_base).alias("idf_base"), F.lit(stemming).alias("stemming"),
+        F.lit(base).cast("int").alias("base_gen"))
     row.write.mode("overwrite").parquet(f"{root}/corpus_stats/gen={gen}")
     return read_index(spark, root)

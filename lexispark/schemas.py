@@ -34,4 +34,4 @@ POSTINGS = "term string, doc_id bigint, tf bigint, dl bigint, gen int, bucket in
 TERM_STATS = "bucket int, term string, df bigint, term_total bigint, idf double, gen int"
 DOC_STATS = "doc_id bigint, dl bigint, norm double, gen int"
 CORPUS_STATS = ("n_docs bigint, sum_dl bigint, n_postings bigint, n_buckets int, "
-                "idf_base string, stemming boolean, gen int")
+                "idf_base string, stemming boolean, base_gen int, gen int")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A table may be broadcast while it stays below both bounds.
@@ -11,18 +9,15 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-_temporary: dict[str, str] = {}
-
-
 def _shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where unset (tests, one machine) a temporary one."""
+    """The checkpoint folder of the session; where none is set, one in the warehouse, which is shared too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    application = spark.sparkContext.applicationId
-    if application not in _temporary:
-        _temporary[application] = tempfile.mkdtemp(prefix="lexispark-")
-    return _temporary[application]
+    current = spark.sparkContext.getCheckpointDir()  # ends with a folder of the application
+    if current:
+        return current.rstrip("/").rpartition("/")[0]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/lexispark-work"
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -1,9 +1,10 @@
 """The stored index: bucketed posting files and their statistics tables.
 
-``root/{tokens,postings,term_stats,doc_stats,corpus_stats}/gen=K``. A build writes
-generation 0; adding documents writes the next one. The one-row corpus statistics are
-written last and make a generation visible, so a job that dies half-way leaves the
-previous generation intact and is simply run again.
+``root/{tokens,postings,term_stats,doc_stats,corpus_stats}/gen=K``. A build and an addition
+both write the next free generation; the corpus statistics name the generation that the index
+starts with, so a rebuild reads nothing of the index before it. That one row is
+written last and makes a generation visible: no visible file is ever overwritten, and a job
+that dies half-way leaves the previous index intact and is simply run again.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark import schemas
@@ -28,6 +30,7 @@ class InvertedIndex:
     postings: DataFrame      # bucket, term, doc_id, tf, dl
     term_stats: DataFrame    # bucket, term, df, term_total, idf
     doc_stats: DataFrame     # doc_id, dl, norm
+    base_gen: int
     gen: int
     n_docs: int
     sum_dl: int
@@ -69,17 +72,28 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.schema(TABLES[table]).parquet(f"{root}/{table}")
 
 
+def next_generation(spark: SparkSession, root: str) -> int:
+    """The generation after the newest visible one; 0 where there is no index."""
+    try:
+        newest = read_table(spark, root, "corpus_stats").agg(F.max("gen")).first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        newest = None
+    return 0 if newest is None else newest + 1
+
+
 def read_index(spark: SparkSession, root: str) -> InvertedIndex:
     """Open the newest complete generation below ``root``."""
     corpus = read_table(spark, root, "corpus_stats").orderBy(F.desc("gen")).first()
     gen = corpus["gen"]
     return InvertedIndex(
         root=root,
-        postings=read_table(spark, root, "postings").where(F.col("gen") <= gen).drop("gen"),
+        postings=read_table(spark, root, "postings").where(F.col("gen").between(corpus["base_gen"], gen)).drop("gen"),
         term_stats=read_table(spark, root, "term_stats").where(F.col("gen") == gen).drop("gen"),
         doc_stats=read_table(spark, root, "doc_stats").where(F.col("gen") == gen).drop("gen"),
         **{name: corpus[name] for name in
-           ("gen", "n_docs", "sum_dl", "n_postings", "n_buckets", "idf_base", "stemming")})
+           ("base_gen", "gen", "n_docs", "sum_dl", "n_postings", "n_buckets", "idf_base", "stemming")})
 
 
 def scan_posting_lists(index: InvertedIndex, block_docs: int | None = None) -> DataFrame:

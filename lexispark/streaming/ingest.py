@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lexispark import schemas
-from lexispark.plans.build import publish_tokens, tokenize_documents
+from lexispark.plans.build import one_per_id, publish_tokens, tokenize_documents
 from lexispark.sources.index_store import InvertedIndex, read_index
 
 
@@ -28,6 +28,6 @@ def ingest_tokens(docs: DataFrame, inbox: str, checkpoint: str, stemming: bool =
 
 
 def publish_inbox(spark: SparkSession, inbox: str, root: str, first: bool = False, **settings) -> InvertedIndex:
-    """Index the arrived documents that are not indexed yet; ``first`` creates the index."""
-    tokens = spark.read.parquet(inbox)
+    """Index the arrived documents that are not indexed yet; ``first`` starts a new index."""
+    tokens = one_per_id(spark.read.parquet(inbox))
     return publish_tokens(spark, root, tokens, None if first else read_index(spark, root), **settings)
