@@ -17,6 +17,8 @@ from .tables import stored
 
 #: A sketch word with more components than this is common.
 WORD_NODES = 16
+
+
 def sketch_words(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """Keys of the sketch words of a set (sorted distinct 64-bit hashes), and how many a link shares.
 
@@ -100,6 +102,15 @@ def _words(percent: int):
     return emit
 
 
+def _tokens(batches):
+    """(doc_id, token): the distinct shingles of each document."""
+    for piece, sets in _sets(batches):
+        ids = np.repeat(np.array(piece.column(0).to_pylist(), np.int64), [len(s) for s in sets])
+        if len(ids):
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))],
+                                             names=["doc_id", "token"])
+
+
 def _linked(percent: int):
     """Verify pairs on whole texts: distinct shingles of both, compared exactly."""
     def verify(batches):
@@ -135,7 +146,8 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     2. Stars: each document is compared with the first document of the words it shares, the one it
        shares most words with. This connects groups of near copies with one pair each.
     3. The rest: all pairs of documents that share a word and are not connected yet, but for pairs
-       that share too few words for a link. Words of more than WORD_NODES components are common:
+       that share too few words for a link, or have too few shingles that occur outside of their own
+       component (see ``_able``). Words of more than WORD_NODES components are common:
        only documents with many of them need them, and then in pairs (see ``_common_pairs``).
     4. Every pair is verified on the whole texts; the links give the components.
 
@@ -165,24 +177,40 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         "word", "doc_id", F.coalesce("root", "doc_id").alias("root")).distinct()
     apart = rest.groupBy("word", "root").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("one").alias("n")).where("n > 1")
     rest = stored(rest.join(apart, "word"))
-    need = sizes.where("doc_id is not null").groupBy("doc_id").agg(F.min("need").alias("need"))
+    rest = stored(rest.drop("root").join(_able(texts, rest, sizes, percent), "doc_id"))
     common = rest.where(F.col("n") > WORD_NODES)
-    held = stored(common.groupBy("doc_id").agg(F.count(F.lit(1)).alias("held")).join(need, "doc_id"))
-    few = _pairs(rest.where(F.col("n") <= WORD_NODES))
-    for side in "ab":
-        few = few.join(need.select(F.col("doc_id").alias(side), F.col("need").alias(f"need_{side}")), side).join(
-            held.select(F.col("doc_id").alias(side), F.col("held").alias(f"held_{side}")), side, "left")
-    most = F.col("n") + F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0)))
-    pairs = few.where(most >= F.greatest("need_a", "need_b")).select("a", "b").unionByName(
-        _pairs(_common_pairs(common, held)).select("a", "b")).distinct()
+    most = F.col("n") + F.col("held")
+    pairs = _pairs(rest.where(F.col("n") <= WORD_NODES), percent).where(most >= F.col("need")).select("a", "b").unionByName(
+        _pairs(_common_pairs(common), percent).select("a", "b")).distinct()
     links = links.unionByName(_verified(texts, stored(pairs), percent))
     roots = components(stored(links)).withColumnRenamed("node", "doc_id")
     return sizes.join(roots, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
-def _common_pairs(common: DataFrame, held: DataFrame) -> DataFrame:
-    """(word, doc_id, root) with pairs of common words as words, for documents that need them.
+def _able(texts: DataFrame, rest: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, root, need, size, held, overlap) of the documents of ``rest`` that can still have a link.
+
+    ``held`` counts their common words. ``overlap`` counts their shingles that a document of another root
+    has too: no intersection is larger, so one below ``percent`` of the own size rules out every link.
+    """
+    facts = sizes.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("need").alias("need"), F.min("n_shingles").alias("size"))
+    docs = stored(rest.groupBy("doc_id", "root").agg(
+        F.count(F.lit(1)).alias("words"), F.count(F.when(F.col("n") > WORD_NODES, 1)).alias("held")).join(
+        facts, "doc_id").where("words >= need"))
+    few = broadcast_if_small(docs.select("doc_id", "root"))
+    tokens = texts.join(few.select("doc_id"), "doc_id", "left_semi").mapInArrow(
+        _tokens, "doc_id bigint, token bigint").join(few, "doc_id")
+    apart = tokens.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(
+        "low < high").select("token")
+    overlap = tokens.join(apart, "token").groupBy("doc_id").agg(F.count(F.lit(1)).alias("overlap"))
+    return stored(docs.join(overlap, "doc_id").where(100 * F.col("overlap") >= percent * F.col("size")).select(
+        "doc_id", "root", "need", "size", "held", "overlap"))
+
+
+def _common_pairs(common: DataFrame) -> DataFrame:
+    """Rows of common words with pairs of words as words, for documents that need them.
 
     A link shares the ``need`` m of both sides (``sketch_words``). If one side holds fewer than m common words, some shared word
     is not common and finds the link. If both sides hold m or more, and share only common ones,
@@ -190,15 +218,20 @@ def _common_pairs(common: DataFrame, held: DataFrame) -> DataFrame:
     the h that each holds; the rarest go first.
     """
     rare = Window.partitionBy("doc_id").orderBy("n", "word")
-    first = common.join(held.where("held >= need"), "doc_id").withColumn(
-        "at", F.row_number().over(rare)).where("at <= held - need + 2")
-    first = stored(first.select("word", "doc_id", "root"))
+    first = common.where("held >= need").withColumn(
+        "at", F.row_number().over(rare)).where("at <= held - need + 2").drop("at")
+    first = stored(first)
     other = first.select(F.col("word").alias("second"), "doc_id")
-    return first.join(other, "doc_id").where("word < second").select(F.xxhash64("word", "second").alias("word"), "doc_id", "root")
+    return first.join(other, "doc_id").where("word < second").withColumn("word", F.xxhash64("word", "second")).drop("second")
 
 
-def _pairs(rows: DataFrame) -> DataFrame:
-    """(a, b, n): pairs a < b of documents with different roots, and how many words they share."""
-    other = rows.select("word", F.col("doc_id").alias("b"), F.col("root").alias("other"))
-    return rows.select("word", F.col("doc_id").alias("a"), "root").join(other, "word").where(
-        "a < b and root <> other").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+def _pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, need, held, n): pairs a < b of documents with different roots, and how many words they share.
+
+    Pairs whose overlaps (see ``_able``) are too small for their sizes are no candidates.
+    """
+    other = rows.select("word", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "root", "need", "size", "held", "overlap")])
+    enough = F.least("overlap", "overlap_b") * (100 + percent) >= percent * (F.col("size") + F.col("size_b"))
+    return rows.join(other, "word").where(F.expr("doc_id < doc_id_b and root <> root_b") & enough).groupBy(
+        F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"), F.greatest("need", "need_b").alias("need"),
+        F.least("held", "held_b").alias("held")).agg(F.count(F.lit(1)).alias("n"))
