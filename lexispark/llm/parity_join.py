@@ -17,6 +17,8 @@ from .tables import stored
 
 #: A sketch word with more components than this is common.
 WORD_NODES = 16
+#: Centres that a document is compared with before its other candidates; it changes the work, not the links.
+CENTRES = 4
 
 
 def sketch_words(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
@@ -144,7 +146,8 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     1. Sketch words (see ``sketch_words``) of every set, but one of equal sets in a task; words
        that occur once are dropped.
     2. Stars: each document is compared with the first document of the words it shares, the one it
-       shares most words with. This connects groups of near copies with one pair each.
+       shares most words with. This connects groups of near copies with one pair each. A second
+       round compares what can still have a link with the centres of larger components.
     3. The rest: all pairs of documents that share a word and are not connected yet, but for pairs
        that share too few words for a link, or have too few shingles that occur outside of their own
        component (see ``_able``). Words of more than WORD_NODES components are common:
@@ -173,11 +176,10 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     links = stored(stars.unionByName(copies))
     roots = components(links)
 
-    rest = near.select("word", "doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "word", "doc_id", F.coalesce("root", "doc_id").alias("root")).distinct()
-    apart = rest.groupBy("word", "root").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("one").alias("n")).where("n > 1")
-    rest = stored(rest.join(apart, "word"))
-    rest = stored(rest.drop("root").join(_able(texts, rest, sizes, percent), "doc_id"))
+    near = near.select("word", "doc_id")
+    rest = _rest(near, roots, texts, sizes, percent)
+    links = stored(links.unionByName(_verified(texts, stored(_to_centres(rest)), percent)))
+    rest = _rest(rest.select("word", "doc_id"), components(links), texts, sizes, percent)
     common = rest.where(F.col("n") > WORD_NODES)
     most = F.col("n") + F.col("held")
     pairs = _pairs(rest.where(F.col("n") <= WORD_NODES), percent).where(most >= F.col("need")).select("a", "b").unionByName(
@@ -188,6 +190,31 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
+def _rest(near: DataFrame, roots: DataFrame, texts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``near`` (word, doc_id) whose word occurs under several roots (n), of documents that can have a link."""
+    rest = near.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "word", "doc_id", F.coalesce("root", "doc_id").alias("root")).distinct()
+    apart = rest.groupBy("word", "root").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("one").alias("n")).where("n > 1")
+    rest = stored(rest.join(apart, "word"))
+    return stored(rest.drop("root").join(_able(texts, rest, sizes, percent), "doc_id"))
+
+
+def _to_centres(rest: DataFrame) -> DataFrame:
+    """(a, b): each document with the CENTRES documents of other, larger components that it shares most words with.
+
+    Of each word, the centre is the document nearest to the others of the largest component, by its overlap.
+    """
+    members = rest.select("doc_id", "root").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("members"))
+    sized = stored(rest.join(members, "root"))
+    order = F.struct("members", -F.col("root"), F.col("overlap") / F.col("size"), -F.col("doc_id"))
+    centre = sized.groupBy("word").agg(F.max_by(F.struct(F.col("doc_id").alias("centre"), F.col("root").alias("other")), order).alias("c"))
+    shared = sized.join(centre.select("word", "c.centre", "c.other"), "word").where("root <> other").groupBy(
+        "doc_id", "centre").agg(F.count(F.lit(1)).alias("shared"))
+    most = Window.partitionBy("doc_id").orderBy(F.desc("shared"), "centre")
+    best = shared.withColumn("at", F.row_number().over(most)).where(F.col("at") <= CENTRES)
+    return best.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
+
+
 def _able(texts: DataFrame, rest: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(doc_id, root, need, size, held, overlap) of the documents of ``rest`` that can still have a link.
 
