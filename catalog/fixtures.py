@@ -117,9 +117,9 @@ def engine(spark: SparkSession, sf_dir: str, *parts: str) -> SearchEngine:
         "title": lambda: title_index(spark, sf_dir),
         "title_stemmed": lambda: title_index(spark, sf_dir, True),
         "anchor": lambda: anchor_index(spark, sf_dir),
-        "titles": lambda: titles(spark, sf_dir),
+        "titles": lambda: stored_table(spark, sf_dir, "titles", lambda: titles(spark, sf_dir)),
         "page_rank": lambda: page_rank(spark, sf_dir),
-        "page_views": lambda: page_views(spark, sf_dir),
+        "page_views": lambda: stored_table(spark, sf_dir, "page_views", lambda: page_views(spark, sf_dir)),
         "word_vectors": lambda: stored_word_vectors(spark, sf_dir),
     }
     return SearchEngine(**{part: make[part]() for part in parts})

@@ -439,6 +439,7 @@ def statements() -> dict[str, str]:
                               "WHERE length(query) > 0",
         "hits_at_k": "SELECT query_id, n_hits FROM measures",
         "intersect": "SELECT query_id, n_common FROM measures",
+        "intersect_ids": "SELECT DISTINCT query_id, doc_id FROM judged WHERE hit",
         "recall_at_k": f"SELECT query_id, {RECALL} AS recall FROM measures",
         "precision_at_k": f"SELECT query_id, {PRECISION} AS precision FROM measures",
         "r_precision": f"SELECT query_id, {places('n_r_hits / n_true')} AS r_precision FROM measures",

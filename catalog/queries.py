@@ -10,7 +10,7 @@ from catalog import fixtures as fx
 from lexispark.functions.stemming import stem_word
 from lexispark.functions.text import regex_tokens, remove_stopwords, word_tokens
 from lexispark.operators import fusion, metrics, query_terms, scoring, selection, statistics
-from lexispark.operators.matching import inspect_batch, lookup_postings, lookup_statistics, match_terms
+from lexispark.operators.matching import inspect_batch, lookup_linked, lookup_postings, lookup_statistics, match_terms
 from lexispark.operators.postings import (
     anchor_postings, count_words, explode_anchors, merge_posting_lists, posting_lists, term_bucket)
 from lexispark.operators.similarity import most_similar
@@ -405,7 +405,7 @@ def term_candidates_anchor(spark, sf_dir):
     batch = inspect_batch(terms, index.n_buckets)
     known = lookup_statistics(index, terms, batch)
     candidates = scoring.term_candidates(
-        lookup_postings(index, known, batch), lookup_postings(anchor, known, batch), index.doc_stats)
+        lookup_postings(index, known, batch), lookup_linked(anchor, known, batch), index.doc_stats)
     return candidates.select("query_id", "term", "doc_id", "tf")
 
 
@@ -540,6 +540,7 @@ def fallout_rate(spark, sf_dir):
 QUERIES |= {
     "hits_at_k": _metric("n_hits"),
     "intersect": _metric("n_common"),
+    "intersect_ids": lambda spark, sf_dir: metrics.intersect(*_run(spark, sf_dir)),
     "recall_at_k": _metric(recall=metrics.recall),
     "precision_at_k": _metric(precision=metrics.precision),
     "r_precision": _metric(r_precision=metrics.r_precision),

@@ -56,6 +56,16 @@ def lookup_postings(index: InvertedIndex, known_terms: DataFrame, batch: Batch)
     return join_terms(postings, known_terms, index.n_postings)
 
 
+def lookup_linked(index: InvertedIndex, known_terms: DataFrame, batch: Batch) -> DataFrame:
+    """Postings of terms whose ``df`` is that of another index; hot terms are cut by their list in this one."""
+    if batch.small:
+        return lookup_postings(index, known_terms, batch)
+    in_buckets = batch.in_buckets(index.n_buckets)
+    lengths = index.term_stats.where(in_buckets).select("term", F.col("df").alias("list_df"))
+    postings = index.postings.where(in_buckets).drop("bucket")
+    return join_terms(postings, known_terms.join(lengths, "term"), index.n_postings, "list_df").drop("list_df")
+
+
 def match_terms(index: InvertedIndex, terms: DataFrame, batch: Batch | None = None) -> DataFrame:
     """Postings of the query terms that occur in the index, statistics attached."""
     batch = batch or inspect_batch(terms, index.n_buckets)

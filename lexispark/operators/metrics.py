@@ -28,17 +28,18 @@ def count_hits(hits: DataFrame, qrels: DataFrame, k: int = K, run: Sequence[str]
     """The counts behind all metrics, one row per labelled query (and ``run`` key).
 
     Rankings are first reduced per document, joined to the labels on (query, document) and then
-    reduced per query, so no task sees a whole ranking; arrays hold at most ``k`` ranks.
+    reduced per query, so no task sees a whole ranking; arrays hold at most ``k`` ranks. What is
+    known of a query travels with its labels.
     """
     doc_key, query_key = [*run, "query_id", "doc_id"], [*run, "query_id"]
     labels = qrels.select("query_id", "doc_id")
     sizes = labels.groupBy("query_id").agg(F.count("*").alias("n_true"))
-    truth = labels.distinct().withColumn("hit", F.lit(True))
+    truth = labels.distinct().join(sizes, "query_id").withColumn("hit", F.lit(True))
 
     rank = F.col("rank")
     docs = hits.groupBy(*doc_key).agg(
         F.min("rank").alias("first_rank"), F.collect_list(F.when(rank <= k, rank)).alias("ranks"))
-    marked = docs.join(truth, ["query_id", "doc_id"], "left").join(sizes, "query_id")
+    marked = docs.join(truth, ["query_id", "doc_id"], "left")
     hit, first = F.col("hit"), F.col("first_rank")
     counts = marked.groupBy(*query_key).agg(
         F.sum(F.size("ranks")).alias("n_predicted"),
@@ -57,6 +58,11 @@ def count_hits(hits: DataFrame, qrels: DataFrame, k: int = K, run: Sequence[str]
         F.col("n_predicted").isNotNull().alias("answered"))
 
 
+def intersect(hits: DataFrame, qrels: DataFrame) -> DataFrame:
+    """(query_id, doc_id): the labelled documents that a ranking holds, each once."""
+    return hits.select("query_id", "doc_id").intersect(qrels.select("query_id", "doc_id"))
+
+
 def recall() -> Column:
     return _places(F.col("n_hits") / F.col("n_true"))
 

@@ -60,16 +60,19 @@ def term_candidates(matches: DataFrame, anchor_matches: DataFrame | None = None,
     """Documents with ``tf > 0`` per distinct query term.
 
     With ``anchor_matches`` the link texts add documents the term does not have in the
-    index itself, with the (largest) link-text frequency and the length from ``doc_stats``.
+    index itself, with the (largest) link-text frequency and the length from ``doc_stats``; own
+    postings have their length with them.
     """
     own = matches.where(F.col("tf") > 0)
     if anchor_matches is None:
         return own
     keys = ["query_id", "term", "doc_id", "df"]
-    both = own.select(*keys, F.col("tf").alias("own"), F.lit(None).cast("bigint").alias("linked")).unionByName(
-        anchor_matches.select(*keys, F.lit(None).cast("bigint").alias("own"), F.col("tf").alias("linked")))
-    merged = both.groupBy(*keys).agg(F.coalesce(F.max("own"), F.max("linked")).alias("tf"))
-    return merged.join(doc_stats.select("doc_id", "dl"), "doc_id")
+    none = F.lit(None).cast("bigint")
+    both = own.select(*keys, F.col("tf").alias("own"), none.alias("linked"), "dl").unionByName(
+        anchor_matches.select(*keys, none.alias("own"), F.col("tf").alias("linked"), none.alias("dl")))
+    merged = both.groupBy(*keys).agg(F.coalesce(F.max("own"), F.max("linked")).alias("tf"), F.max("dl").alias("dl"))
+    linked = merged.where("dl is null").drop("dl").join(doc_stats.select("doc_id", "dl"), "doc_id")
+    return merged.where("dl is not null").unionByName(linked)
 
 
 def bm25_score(candidates: DataFrame, n_docs: Column | int, avgdl: Column | float,

@@ -31,18 +31,18 @@ def join_term_stats(postings: DataFrame, stats: DataFrame, n_postings: int | Non
     return in_place.unionByName(others.join(rare, "term"))
 
 
-def join_terms(postings: DataFrame, terms: DataFrame, n_postings: int) -> DataFrame:
-    """Inner join on ``term`` with ``terms`` that hold several rows per term, and ``df``.
+def join_terms(postings: DataFrame, terms: DataFrame, n_postings: int, df: str = "df") -> DataFrame:
+    """Inner join on ``term`` with ``terms`` that hold several rows per term.
 
-    The postings of a hot term are spread over ``df / threshold`` slices by doc id and its rows
-    in ``terms`` are repeated per slice. The broadcast list of hot terms has at most
-    HOT_SHARE rows.
+    Column ``df`` of ``terms`` is the length of the term's list in ``postings``. The postings of a hot
+    term are spread over ``df / threshold`` slices by doc id and its rows in ``terms`` are repeated
+    per slice. The broadcast list of hot terms has at most HOT_SHARE rows.
     """
     if n_postings <= PLAIN_JOIN_POSTINGS:
         return postings.join(terms, "term")
     threshold = max(n_postings // HOT_SHARE, 1)
-    slices = F.ceil(F.col("df") / threshold).cast("int")
-    hot = terms.where(F.col("df") > threshold).select("term", slices.alias("slices")).distinct()
+    slices = F.ceil(F.col(df) / threshold).cast("int")
+    hot = terms.where(F.col(df) > threshold).select("term", slices.alias("slices")).distinct()
     sliced_postings = (
         postings.join(F.broadcast(hot), "term", "left")
         .withColumn("slice", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("slices")), F.lit(0)).cast("int"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from lexispark.operators import fusion, scoring
-from lexispark.operators.matching import inspect_batch, lookup_postings, lookup_statistics, match_terms
+from lexispark.operators.matching import inspect_batch, lookup_linked, lookup_postings, lookup_statistics, match_terms
 from lexispark.operators.query_terms import (
     process_queries, re_process_queries, term_counts, weigh_query_terms)
 from lexispark.operators.statistics import length_weight
@@ -171,7 +171,7 @@ class SearchEngine:
         known = lookup_statistics(index, terms, batch)
         matches = lookup_postings(index, known, batch)
         if add_anchor:
-            linked = lookup_postings(self.anchor, known, batch)
+            linked = lookup_linked(self.anchor, known, batch)
             candidates = scoring.term_candidates(matches, linked, index.doc_stats)
         else:
             candidates = scoring.term_candidates(matches)
