@@ -19,10 +19,12 @@ from .tables import stored
 WORD_NODES = 16
 #: Centres that a document is compared with before its other candidates; it changes the work, not the links.
 CENTRES = 4
+#: Bits of a sketch for each token; it changes how many pairs are read in full, not the links.
+SKETCH_BITS = 4
 
 
-def sketch_words(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """Keys of the sketch words of a set (sorted distinct 64-bit hashes), and how many a link shares.
+def bands(tokens: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
+    """For each size band of a set (sorted distinct 64-bit hashes): keys of its sketch words, and how many a link shares.
 
     Size bands are powers of two. In a band, a sketch is a row of bits, 2^32 for each of its words;
     each token flips one bit, so equal tokens cancel in the XOR of two sketches and the Hamming
@@ -35,13 +37,13 @@ def sketch_words(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
     """
     n = len(tokens)
     if not n:
-        return np.empty(0, np.int64), 0
+        return []
     largest = n * 100 // percent
     if largest == n:  # only equal sets can be linked
-        return mix(np.array([np.bitwise_xor.reduce(mix(tokens)) + np.uint64(n)], np.uint64)).view(np.int64) >> 16, 1
+        return [(mix(np.array([np.bitwise_xor.reduce(mix(tokens)) + np.uint64(n)], np.uint64)).view(np.int64) >> 16, 1)]
     high = tokens >> np.uint64(32)
     bits = mix(tokens & np.uint64(0xFFFFFFFF))
-    out, sure = [], n
+    out = []
     band = n.bit_length() - 1
     for upper in (2 << band, 4 << band):
         if upper > 2 << band and largest < upper // 2:
@@ -53,13 +55,45 @@ def sketch_words(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
         begin = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         value, at = np.bitwise_xor.reduceat(bits, begin), place[begin]
         value, at = value[value != 0], at[value != 0]
-        sure = min(sure, max(len(value) - differ, 2))
+        need = max(len(value) - differ, 2)
         if len(value) - differ < 2:
             full = np.zeros(words, np.uint64)
             full[at] = value
             value, at = full, np.arange(words, dtype=np.uint64)
-        out.append(mix(value ^ mix(at + np.uint64(upper << 32))))
-    return np.concatenate(out).view(np.int64) >> 16, sure
+        out.append((mix(value ^ mix(at + np.uint64(upper << 32))).view(np.int64) >> 16, need))
+    return out
+
+
+def sketch_words(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """Keys of all sketch words of a set (see ``bands``), and how many of them a link shares."""
+    found = bands(tokens, percent)
+    if not found:
+        return np.empty(0, np.int64), 0
+    return np.concatenate([keys for keys, _ in found]), min(len(tokens), *(need for _, need in found))
+
+
+def head_words(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """The smallest h - m + 1 of the h keys of each band, of which a link shares m: linked sets share one of these."""
+    found = [np.sort(keys)[:max(len(keys) - need, 0) + 1] for keys, need in bands(tokens, percent)]
+    return np.concatenate(found) if found else np.empty(0, np.int64)
+
+
+def bit_sketch(tokens: np.ndarray) -> bytes:
+    """Parity bits of a set, SKETCH_BITS for each token its band has room for; each token flips one bit."""
+    size = SKETCH_BITS << max(len(tokens).bit_length(), 3)
+    flips = np.bincount((mix(tokens) & np.uint64(size - 1)).astype(np.int64), minlength=size)
+    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """Hamming distance of two bit sketches, at most the size of the symmetric difference of their sets.
+
+    The longer one is folded: the XOR of its halves is the sketch of half the size.
+    """
+    x, y = sorted((np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -68,38 +102,32 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
             yield piece, shingle_sets(*joined(text_of(piece)))
 
 
-def _first_copies(batches: Iterator[pa.RecordBatch]):
-    """Sets of a task, with the first document of the task that has the same set."""
-    seen: dict[tuple[int, int], int] = {}
-    for piece, sets in _sets(batches):
-        ids = piece.column(0).to_pylist()
-        first = []
-        for doc, tokens in zip(ids, sets):
-            if doc is None or not len(tokens):
-                first.append(doc)
-                continue
-            mixed = mix(tokens)
-            first.append(seen.setdefault((int(np.bitwise_xor.reduce(mixed)), int(mixed.sum())), doc))
-        yield ids, sets, first
-
-
-def _sizes(percent: int):
+FACTS = ("doc_id bigint, n_shingles bigint, need bigint, key_a bigint, key_b bigint, sketch binary, heads array<bigint>")
+
+
+def _facts(percent: int):
+    """Of each row: size of the set, shared words of a link, 128 bits that equal sets share, bit sketch, head words."""
     def measure(batches):
-        for ids, sets, first in _first_copies(batches):
-            need = [sketch_words(s, percent)[1] for s in sets]
+        for piece, sets in _sets(batches):
+            mixed = [mix(s) for s in sets]
+            ints = ([len(s) for s in sets], [sketch_words(s, percent)[1] for s in sets],
+                    np.array([np.bitwise_xor.reduce(m) for m in mixed], np.uint64).view(np.int64),
+                    np.array([m.sum(dtype=np.uint64) for m in mixed], np.uint64).view(np.int64))
+            heads = [head_words(s, percent) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.int64()),
-                 pa.array(need, pa.int64())], names=["doc_id", "n_shingles", "copy_of", "need"])
+                [piece.column(0), *(pa.array(x, pa.int64()) for x in ints), pa.array([bit_sketch(s) for s in sets], pa.binary()),
+                 pa.array(heads, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "need", "key_a", "key_b", "sketch", "heads"])
     return measure
 
 
 def _words(percent: int):
+    """(doc_id, word): all sketch words of each document."""
     def emit(batches):
-        for ids, sets, first in _first_copies(batches):
-            rows = [i for i, d in enumerate(ids) if d is not None and d == first[i] and len(sets[i])]
-            keys = [sketch_words(sets[i], percent)[0] for i in rows]
-            if keys:
-                docs = np.repeat(np.array([ids[i] for i in rows], np.int64), [len(k) for k in keys])
+        for piece, sets in _sets(batches):
+            keys = [sketch_words(s, percent)[0] for s in sets]
+            docs = np.repeat(np.array(piece.column(0).to_pylist(), np.int64), [len(k) for k in keys])
+            if len(docs):
                 yield pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.concatenate(keys))], names=["doc_id", "word"])
     return emit
 
@@ -127,11 +155,25 @@ def _linked(percent: int):
     return verify
 
 
-def _verified(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked. Only texts of documents in a pair move, each side once."""
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+def _close(percent: int):
+    """Pairs whose bit sketches do not rule out a link."""
+    def look(batches):
+        for batch in batches:
+            a, b, n, m, x, y = (batch.column(i).to_pylist() for i in range(6))
+            good = [least_difference(s, t) * (100 + percent) <= (k + j) * (100 - percent) for k, j, s, t in zip(n, m, x, y)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+    return look
+
+
+def _verified(texts: DataFrame, facts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that are linked. Bit sketches are compared first; texts move only for pairs that these leave."""
+    left, right = (facts.select(F.col("doc_id").alias(d), F.col("n_shingles").alias(f"n_{d}"), F.col("sketch").alias(f"s_{d}"))
+                   for d in "ab")
+    close = stored(pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(
+        _close(percent), "a bigint, b bigint").distinct())
+    ids = stored(close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     texts = texts.join(broadcast_if_small(ids), "doc_id", "left_semi")
-    left = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
+    left = close.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
     both = left.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b")
     return both.select("a", "b", "left", "right").mapInArrow(_linked(percent), "a bigint, b bigint")
 
@@ -143,8 +185,9 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     (with fewer words, all of them as one). Two documents are linked if 100 * intersection >= percent *
     union; ``component_id`` is the smallest doc_id that links lead to, its own included.
 
-    1. Sketch words (see ``sketch_words``) of every set, but one of equal sets in a task; words
-       that occur once are dropped.
+    1. Equal sets are merged. Linked documents share a head word (see ``head_words``); those that
+       share one with nobody are done. Of the others, all sketch words (see ``bands``) are taken;
+       words that occur once are dropped, and documents that are left with fewer words than a link needs.
     2. Stars: each document is compared with the first document of the words it shares, the one it
        shares most words with. This connects groups of near copies with one pair each. A second
        round compares what can still have a link with the centres of larger components.
@@ -159,32 +202,42 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     null; other columns are ignored; an empty table gives no rows.
     """
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sizes = stored(texts.mapInArrow(_sizes(percent), "doc_id bigint, n_shingles bigint, copy_of bigint, need bigint"))
-    words = texts.mapInArrow(_words(percent), "doc_id bigint, word bigint")
+    facts = stored(texts.mapInArrow(_facts(percent), FACTS))
+    sizes = facts.select("doc_id", "n_shingles", "need")
+    rows = facts.where("doc_id is not null and n_shingles > 0")
+    same = broadcast_if_small(stored(rows.groupBy("key_a", "key_b").agg(
+        F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")))
+    copies = rows.join(same, ["key_a", "key_b"]).where("doc_id <> first").select(F.col("first").alias("a"), F.col("doc_id").alias("b"))
+
+    heads = rows.join(same, ["key_a", "key_b"], "left").where("first is null or first = doc_id").select(
+        "doc_id", F.explode("heads").alias("word"))
+    repeated = stored(heads.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word"))
+    alive = stored(heads.join(broadcast_if_small(repeated), "word").select("doc_id").distinct())
+    words = stored(texts.join(broadcast_if_small(alive), "doc_id", "left_semi").mapInArrow(_words(percent), "doc_id bigint, word bigint"))
     shared = words.groupBy("word").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
         "first < last").select("word")
-    near = stored(words.join(shared, "word"))
+    near = stored(words.join(broadcast_if_small(stored(shared)), "word"))
 
     # the first document of a word is the one with most shared words, the centre of its near copies
-    degree = near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree"))
-    near = stored(near.join(degree, "doc_id"))
+    degree = stored(near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree")).join(
+        sizes.groupBy("doc_id").agg(F.min("need").alias("need")), "doc_id").where("degree >= need").drop("need"))
+    near = stored(near.join(broadcast_if_small(degree), "doc_id"))
     centre = near.groupBy("word").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("first"))
     counted = near.join(centre, "word").where("doc_id <> first").groupBy("doc_id", "first").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("doc_id").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("first"))
-    stars = _verified(texts, best.select(F.least("first", "doc_id").alias("a"), F.greatest("first", "doc_id").alias("b")).distinct(), percent)
-    copies = sizes.where("copy_of <> doc_id").select(F.col("copy_of").alias("a"), F.col("doc_id").alias("b"))
+    stars = _verified(texts, facts, best.select(F.least("first", "doc_id").alias("a"), F.greatest("first", "doc_id").alias("b")).distinct(), percent)
     links = stored(stars.unionByName(copies))
     roots = components(links)
 
     near = near.select("word", "doc_id")
     rest = _rest(near, roots, texts, sizes, percent)
-    links = stored(links.unionByName(_verified(texts, stored(_to_centres(rest)), percent)))
+    links = stored(links.unionByName(_verified(texts, facts, stored(_to_centres(rest)), percent)))
     rest = _rest(rest.select("word", "doc_id"), components(links), texts, sizes, percent)
     common = rest.where(F.col("n") > WORD_NODES)
     most = F.col("n") + F.col("held")
     pairs = _pairs(rest.where(F.col("n") <= WORD_NODES), percent).where(most >= F.col("need")).select("a", "b").unionByName(
         _pairs(_common_pairs(common), percent).select("a", "b")).distinct()
-    links = links.unionByName(_verified(texts, stored(pairs), percent))
+    links = links.unionByName(_verified(texts, facts, stored(pairs), percent))
     roots = components(stored(links)).withColumnRenamed("node", "doc_id")
     return sizes.join(roots, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
