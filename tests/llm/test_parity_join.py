@@ -82,3 +82,20 @@ def test_sketch_guarantee():
                 (x, need_a), (y, need_b) = sketch_words(a, 80), sketch_words(b, 80)
                 same = len(np.intersect1d(x, y))
                 assert same >= max(need_a, need_b) >= 1, (n, len(a), len(b))
+
+
+@pytest.mark.parametrize("size", [1, 4, 7, 9, 20, 63, 64, 102, 128, 250, 1000, 1020])
+def test_head_words_and_bit_sketches(size):
+    rng = np.random.default_rng(size)
+    for other in sorted({size, size * 9 // 10, size * 100 // 81}):
+        for _ in range(20):
+            both = -(-80 * (size + other) // 180)  # the smallest intersection of a link
+            tokens = rng.integers(0, 1 << 64, size + other, dtype=np.uint64)
+            if both > min(size, other):
+                continue
+            a, b = np.unique(tokens[:size]), np.unique(tokens[size - both:size - both + other])
+            assert set(parity_join.head_words(a, 80).tolist()) & set(parity_join.head_words(b, 80).tolist())
+            x, y = parity_join.bit_sketch(a), parity_join.bit_sketch(b)
+            assert parity_join.least_difference(x, y) == parity_join.least_difference(y, x) <= len(np.setxor1d(a, b))
+    assert len(parity_join.head_words(np.empty(0, np.uint64), 80)) == 0
+    assert parity_join.least_difference(parity_join.bit_sketch(a), parity_join.bit_sketch(a)) == 0
