@@ -81,8 +81,9 @@ def head_words(tokens: np.ndarray, percent: int) -> np.ndarray:
 def bit_sketch(tokens: np.ndarray) -> bytes:
     """Parity bits of a set, SKETCH_BITS for each token its band has room for; each token flips one bit."""
     size = SKETCH_BITS << max(len(tokens).bit_length(), 3)
-    flips = np.bincount((mix(tokens) & np.uint64(size - 1)).astype(np.int64), minlength=size)
-    return np.packbits((flips & 1).astype(np.uint8)).tobytes()
+    flips = np.zeros(size, np.uint8)  # wraps at 256, which keeps the parity
+    np.add.at(flips, (mix(tokens) & np.uint64(size - 1)).astype(np.int64), np.uint8(1))
+    return np.packbits(flips & 1).tobytes()
 
 
 def least_difference(a: bytes, b: bytes) -> int:
@@ -159,9 +160,12 @@ def _close(percent: int):
     """Pairs whose bit sketches do not rule out a link."""
     def look(batches):
         for batch in batches:
-            a, b, n, m, x, y = (batch.column(i).to_pylist() for i in range(6))
-            good = [least_difference(s, t) * (100 + percent) <= (k + j) * (100 - percent) for k, j, s, t in zip(n, m, x, y)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+            for at in range(0, batch.num_rows, 256):
+                piece = batch.slice(at, 256)
+                n, m, x, y = (piece.column(i).to_pylist() for i in range(2, 6))
+                good = [least_difference(s, t) * (100 + percent) <= (k + j) * (100 - percent) for k, j, s, t in zip(n, m, x, y)]
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1)], names=["a", "b"]).filter(
+                    pa.array(good, pa.bool_()))
     return look
 
 
