@@ -9,18 +9,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexispark.llm import decontaminate, language_id, mixing, parity_join, suffix_dedup
 from lexispark.llm.tables import row_key, stored
 
-#: A document is rejected if no language is found, or with a weaker answer than this.
-LEAST_SCORE = 0.2
-
 #: SQL cannot express the classifier of the first stage; ``tests/llm`` has a brute-force version.
 ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; a missing ``lang`` becomes the one found."""
+    """Documents in one of the languages of ``docs`` (see ``language_id.recognised``); a missing ``lang`` becomes the one found."""
     model = language_id.fit(docs)
-    found = docs.withColumn("__found", language_id.language(F.col("text"), model))
-    kept = found.where((F.col("__found.lang") != language_id.UNDETERMINED) & (F.col("__found.score") >= LEAST_SCORE))
+    found = docs.withColumn("__found", language_id.recognised(F.col("text"), model))
+    kept = found.where("__found.clear")
     return kept.withColumn("lang", F.coalesce("lang", "__found.lang")).select(*docs.columns)
 
 

@@ -20,8 +20,12 @@ LANDMARKS_PER_LANGUAGE = 40
 #: Character n-grams of 1 to this length are blended.
 LONGEST_GRAM = 3
 RIDGE = 1e-3
+#: A text is in no known language if less of it is known than LEEWAY times what all training texts but this share
+#: of them reach.
+CLEAN_QUANTILE, LEEWAY = 0.01, 0.6
 _BUCKET_BITS = 18
 _LETTER = re.compile(r"[^\W\d_]")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _BATCH = 64
 
 
@@ -38,6 +42,11 @@ def gram_buckets(text: str) -> list[np.ndarray]:
     return out
 
 
+def letter_buckets(text: str) -> np.ndarray:
+    """Buckets of the longest grams of the words of letters of a text, with one blank between words."""
+    return gram_buckets(" ".join(_LETTERS.findall(text)))[-1]
+
+
 @dataclass
 class LanguageModel:
     """Kernel ridge regression on Nyström landmarks, folded to one weight vector per language.
@@ -46,12 +55,18 @@ class LanguageModel:
     two texts is the number of grams that both have, over the root of the product of their numbers of
     grams, grams of the landmarks only. ``weights`` are the landmarks' presence rows times
     the regression coefficients, so a batch of texts is scored by one matrix product.
+
+    The answers of a text sum to 1, and one that shares nothing with the landmarks gets the bias, so neither the
+    best answer nor its margin says whether any language fits. ``recognised`` asks for something that can
+    fail: the share of a text's letter grams that are ``common``, those of the landmarks.
     """
 
     languages: list[str]
     column: np.ndarray
     weights: np.ndarray
     bias: np.ndarray
+    common: np.ndarray | None = None
+    least: float = 0.0
 
     def presence(self, texts: list[str]) -> np.ndarray:
         rows = np.zeros((len(texts), len(self.weights)), np.float32)
@@ -61,6 +76,13 @@ class LanguageModel:
         rows[:, 0] = 0
         return rows / np.sqrt(np.maximum(rows.sum(1, keepdims=True), 1))
 
+    def recognised(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Labels, scores, and whether a text is in one of the languages at all."""
+        labels, scores = self.predict(texts)
+        clear = np.array([label != UNDETERMINED and self.common[letter_buckets(text)].mean() >= self.least
+                          for label, text in zip(labels, texts)], bool)
+        return labels, scores, clear
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         known = [i for i, t in enumerate(texts) if t is not None and _LETTER.search(t)]
         labels, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
@@ -98,9 +120,22 @@ def train(texts: list[str], labels: list[str], landmarks: np.ndarray) -> Languag
     coefficients = np.linalg.lstsq(gram, features.T @ (target * weight), rcond=None)[0]
     model.weights = (marks.T @ (whiten @ coefficients[:-1])).astype(np.float32)
     model.bias = coefficients[-1].astype(np.float32)
+    _set_least(model, texts, landmarks)
     return model
 
 
+def _set_least(model: LanguageModel, texts: list[str], landmarks: np.ndarray) -> None:
+    """Set what ``recognised`` asks for from the training texts, each judged as if it were no landmark."""
+    grams = [letter_buckets(t) for t in texts]
+    holders = np.zeros(1 << _BUCKET_BITS, np.int32)
+    for i in landmarks:
+        holders[np.unique(grams[i])] += 1
+    model.common = holders > 0
+    own = np.zeros(len(texts), np.int32)
+    own[landmarks] = 1
+    model.least = LEEWAY * float(np.quantile([(holders[g] > o).mean() for g, o in zip(grams, own)], CLEAN_QUANTILE))
+
+
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks: int = LANDMARKS_PER_LANGUAGE) -> LanguageModel:
     """Train on the rows of ``docs`` (doc_id, text, lang) whose text and lang are not null.
 
@@ -137,3 +172,16 @@ def language(text: Column, model: LanguageModel) -> Column:
 
     return predict(text)
 
+
+def recognised(text: Column, model: LanguageModel) -> Column:
+    """Column struct<lang, score, clear>: as ``language``, and whether the text is in one of the languages at all."""
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
+
+    @F.pandas_udf(StructType().add("lang", "string").add("score", "double").add("clear", "boolean"))
+    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        for batch in batches:
+            labels, scores, clear = own.recognised(batch.tolist())
+            yield pd.DataFrame({"lang": labels, "score": scores, "clear": clear})
+
+    return predict(text)

@@ -20,3 +20,14 @@ def test_stages(spark):
     items = [r[0] for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("text").collect()]
     kept = [r[0] for r in docs.select("text").collect()]
     assert not any(i in t for i in items for t in kept if t)
+
+
+def test_unlearned_language(spark):
+    clean = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    strange = ["Съешь же ещё этих мягких французских булок, да выпей чаю.", "今日は天気がいいですね", "zzqxj kkwqz xxvq jjqz wwx",
+               "Minden emberi lény szabadon születik és egyenlő méltósága és joga van.",
+               "Γνώθι σεαυτόν και μηδέν άγαν " * 2_000, "12 34", "", None]
+    more = spark.createDataFrame([(10_000 + i, t, None) for i, t in enumerate(strange)], clean.schema)
+    kept = corpus_pipeline.identify(spark, clean.unionByName(more), SF).collect()
+    assert {r["doc_id"] for r in kept} == {r["doc_id"] for r in clean.collect()}
+    assert all(r["lang"] in ("en", "fr", "de", "es") for r in kept)
