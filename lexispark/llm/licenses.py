@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Where sentences end, and what is not part of a word; the same patterns work in DuckDB.
-SENTENCE_END = r"[.!?;:]+[ \t]+|[\r\n]+"
+#: Where sentences end: at punctuation before a blank or the end of a line, and at a line without words.
+SENTENCE_END = r"(?<![.!?;:])[.!?;:]++(?=[ \t\r\n]|$)|(?>\r\n|[\r\n])[^a-z0-9\r\n]*(?=[\r\n])"
+#: Stands for the end of a sentence in a normalised text.
+_END = "\x01"
+#: What is not part of a word; the same pattern works in DuckDB.
 NOT_WORD = "[^a-z0-9]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,27 +67,47 @@ RULES = (
     ("Unlicense", "permissive", ("unlicense_notice",)),
     ("Proprietary", "reserved", ("rights",)),
 )
+# The comma form of the GPL headers, one sentence. The SQL does not have them.
+COMMA_SENTENCES = {
+    f"you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version {n} of the license or at your option any later version": f"gpl_terms_version{n}"
+    for n in (2, 3)
+}
+COMMA_RULES = tuple(
+    (f"GPL-{n}.0-or-later", "copyleft", ids)
+    for n in (2, 3) for ids in (("gpl_free", f"gpl_terms_version{n}", "gpl_hope"), (f"gpl_terms_version{n}",)))
 CATEGORIES = ("reserved", "noncommercial", "copyleft", "permissive")
 
 
-def rule_pattern() -> str:
+def rule_pattern(rules: tuple[tuple[str, str, tuple[str, ...]], ...] = RULES) -> str:
     """A pattern over identifier sequences (each identifier ends with a blank), longest rules first."""
-    ordered = sorted(RULES, key=lambda r: -len(r[2]))
+    ordered = sorted(rules, key=lambda r: -len(r[2]))
     return "|".join("".join(f"{i} " for i in ids) for _, _, ids in ordered)
 
 
 def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order; unknown sentences are left out."""
-    known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    normal = F.transform(F.split(text, SENTENCE_END), lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), NOT_WORD, " ")))
-    return F.filter(F.transform(normal, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    """Identifiers of the known sentences of a text, in order; unknown sentences are left out.
+
+    A sentence may be wrapped: from one line start or sentence end on, the longest known sentence that ends at a
+    line or sentence end is taken. So a title or notice also counts if it is only one line of a longer sentence.
+    """
+    sentences = {**SENTENCES, **COMMA_SENTENCES}
+    known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
+    normal = F.translate(text, UPPER + _END, LOWER + " ")
+    for pattern, to in ((SENTENCE_END, _END), (f"[^a-z0-9\r\n{_END}]+", " ")):
+        normal = F.regexp_replace(normal, pattern, to)
+    normal = F.concat(F.lit(_END), normal, F.lit(_END))
+    for pattern, to in ((f"[ \r\n]*+{_END}[ \r\n{_END}]*+", _END), ("[ ]*+[\r\n][ \r\n]*+", "\n")):
+        normal = F.regexp_replace(normal, pattern, to)
+    wrapped = "|".join(s.replace(" ", "[ \n]") for s in sorted(sentences, key=len, reverse=True))
+    found = F.regexp_extract_all(normal, F.lit(f"(?<=[\n{_END}])({wrapped})(?=[\n{_END}])"), F.lit(1))
+    return F.transform(found, lambda s: F.element_at(known, F.translate(s, "\n", " ")))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
     """(doc_id, n_sentences, licenses, category) of every document.
 
     Whole texts are cut into sentences, each normalised to lower-case ASCII words; known ones become
-    identifiers. Going left to right over the identifiers, the longest rule that starts
+    identifiers, also where they are wrapped over several lines. Going left to right over the identifiers, the longest rule that starts
     there is taken. ``licenses`` lists the licences found, each once and by name, with commas between;
     ``category`` is the most restrictive one of them, or ``none``; ``n_sentences`` counts the
     identifiers, recognised by a rule or not.
@@ -92,13 +115,14 @@ def scanned(docs: DataFrame) -> DataFrame:
     Defined cases: null and empty texts have none; repeated rows give repeated rows; a null doc_id
     is kept; other columns are ignored.
     """
-    name = F.create_map(*[F.lit(x) for n, _, ids in RULES for x in ("".join(f"{i} " for i in ids), n)])
+    rules = (*RULES, *COMMA_RULES)
+    name = F.create_map(*[F.lit(x) for n, _, ids in rules for x in ("".join(f"{i} " for i in ids), n)])
     kind = F.create_map(*[F.lit(x) for n, c in {n: c for n, c, _ in RULES}.items() for x in (n, c)])
     ids = F.coalesce(sentence_ids(F.col("text")), F.array().cast("array<string>"))
     found = docs.select(F.col("doc_id"), ids.alias("ids")).select(
         "doc_id", F.size("ids").cast("bigint").alias("n_sentences"),
         F.sort_array(F.array_distinct(F.transform(F.regexp_extract_all(
-            F.concat(F.array_join("ids", " "), F.lit(" ")), F.lit(f"({rule_pattern()})"), F.lit(1)), lambda m: name[m]))).alias("names"))
+            F.concat(F.array_join("ids", " "), F.lit(" ")), F.lit(f"({rule_pattern(rules)})"), F.lit(1)), lambda m: name[m]))).alias("names"))
     category = F.lit("none")
     for c in reversed(CATEGORIES):
         category = F.when(F.array_contains(F.transform("names", lambda n: kind[n]), c), c).otherwise(category)

@@ -76,6 +76,68 @@ def test_licenses(spark):
                           (4, "", "none"), (5, "Apache-2.0,CC-BY-NC-4.0", "noncommercial"), (6, "Proprietary", "reserved")], key=str)
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY."""
+BSD2 = """Copyright (c) 2020, A Person
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+"""
+GPL3 = """    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+"""
+GPL2 = GPL3.replace("Foundation, either version 3", "Foundation; either version 2").replace("software: you", "software; you")
+
+
+def test_wrapped_licenses(spark):
+    comment = "\n".join(f" * {line}".rstrip() for line in MIT.split("\n"))
+    rows = [("MIT", 4, t) for t in (MIT, MIT.replace("\n", "\r\n"), f"/*\n{comment}\n */\nint main;", f"Some text\n{MIT}\nmore")]
+    rows += [("BSD-2-Clause", 3, BSD2), ("BSD-3-Clause", 4, BSD3), ("GPL-3.0-or-later", 3, GPL3), ("GPL-2.0-or-later", 4, GPL2),
+             ("GPL-3.0-or-later", 3, " ".join(GPL3.split())), ("MIT,Proprietary", 2, "Copyright A\nAll rights reserved\nReleased under the\nMIT License"),
+             ("", 0, "Permission is hereby granted\n\nfree of charge"), ("", 0, "the\n\nreleased under the. mit license x"),
+             ("Proprietary", 1, "\x01жж " + "ж" * 300_000 + "." * 300_000 + "x" + "\n" * 300_000 + "All rights\nreserved")]
+    got = licenses.scanned(docs(spark, [(i, t, None, None, None) for i, (_, _, t) in enumerate(rows)])).collect()
+    assert [(r["licenses"], r["n_sentences"]) for r in sorted(got, key=lambda r: r["doc_id"])] == [(n, k) for n, k, _ in rows]
+
+
 def test_mixing(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(["w"] * rng.randint(0, 40)), None, rng.choice(["b", "a", "a", "a", "c", None, "é"]), 1) for i in range(600)]
