@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lexispark.llm import decontaminate, language_id, mixing, parity_join, suffix_dedup
 from lexispark.llm.tables import row_key, stored
 
+#: Characters of a benchmark passage that rejects a document: suffix dedup may have cut 200 bytes and more of an item before.
+LEAK_CHARS = 100
+
 #: SQL cannot express the classifier of the first stage; ``tests/llm`` has a brute-force version.
 ORACLE_SQL = None
 
@@ -40,8 +43,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
-    leaks = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that hold no item of the benchmark and no passage of LEAK_CHARS characters."""
+    leaks = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), LEAK_CHARS)
     return docs.withColumn("__rid", row_key()).join(
         leaks.select(F.col("rid").alias("__rid")).distinct(), "__rid", "left_anti").select(*docs.columns)
 

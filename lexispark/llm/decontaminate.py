@@ -15,8 +15,12 @@ from .tables import keyed
 
 #: Characters of a gram, and edits per character that a copy of an item may have.
 GRAM, EDIT_RATE = 10, 0.08
+#: Characters of the segments of an item that are searched by themselves, and of the step from one to the next.
+SEGMENT, STEP = 200, 25
 #: Characters of benchmark items that one pass holds in memory.
 BLOCK_CHARS = 2_000_000
+#: Hits that are dealt to regions at once, besides those of one text and item.
+HITS = 50_000
 _FILTER_BITS = 22
 
 
@@ -83,10 +87,16 @@ def fitting_distance(item: np.ndarray, text: np.ndarray, low: int, high: int) ->
 
 @dataclass
 class GramIndex:
-    """Grams of a block of benchmark items: sorted hashes with their items and places."""
+    """Grams of a block of benchmark items: sorted hashes with their items and places.
+
+    An item has regions: the whole item is region 0, and one that is longer than ``segment`` has a segment at every
+    STEP characters, and one at its end. ``edits`` and ``need`` have two columns: of the whole item, of a segment.
+    """
 
     ids: list[int]
     items: list[np.ndarray]
+    segment: int
+    lengths: np.ndarray
     edits: np.ndarray
     need: np.ndarray
     grams: np.ndarray
@@ -95,7 +105,7 @@ class GramIndex:
     present: np.ndarray
 
     @classmethod
-    def build(cls, rows: list[tuple[int, str]]) -> GramIndex:
+    def build(cls, rows: list[tuple[int, str]], segment: int = SEGMENT) -> GramIndex:
         line, starts = normalised([t or "" for _, t in rows])
         whole = [line[a:b - 1] for a, b in zip(starts[:-1], starts[1:])]
         whole = [c[:-1] if len(c) and c[-1] == 32 else c for c in whole]
@@ -109,9 +119,28 @@ class GramIndex:
         order = np.argsort(grams, kind="stable")
         present = np.zeros(1 << _FILTER_BITS, bool)
         present[grams >> np.uint64(64 - _FILTER_BITS)] = True
-        edits = np.array([edit_budget(len(c)) for c in items], np.int64)
-        need = np.array([shared_grams(len(c), k) for c, k in zip(items, edits)], np.int64)
-        return cls([i for i, _ in kept], items, edits, need, grams[order], item_of[order], place_of[order], present)
+        lengths = np.array([len(c) for c in items], np.int64)
+        edits = np.array([[edit_budget(n), edit_budget(min(n, segment))] for n in lengths], np.int64).reshape(-1, 2)
+        need = shared_grams(np.stack([lengths, np.minimum(lengths, segment)], 1), edits)
+        return cls([i for i, _ in kept], items, segment, lengths, edits, need, grams[order], item_of[order], place_of[order], present)
+
+    def regions(self, item: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The regions that hold each gram, given by item and place: number of the gram, and region."""
+        length = self.lengths[item]
+        last = -(-(length - self.segment) // STEP)  # steps to the segment at the end; below 1: no segments
+        first = np.maximum(-((self.segment - GRAM - place) // STEP), 0)
+        within = np.minimum(place // STEP, last - 1)
+        count = np.where(last > 0, np.maximum(within - first + 1, 0), 0)
+        gram = np.repeat(np.arange(len(item)), count)
+        inner = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + first[gram] + 1
+        end = np.flatnonzero((last > 0) & (place >= length - self.segment))
+        return (np.concatenate([np.arange(len(item)), gram, end]),
+                np.concatenate([np.zeros(len(item), np.int64), inner, last[end] + 1]))
+
+    def region(self, item: int, number: int) -> tuple[int, int]:
+        """Start and length of a region."""
+        size = len(self.items[item])
+        return (0, size) if number == 0 else (min((number - 1) * STEP, size - self.segment), self.segment)
 
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text number, item id, edits, start in the normalised text) of every text and item it holds."""
@@ -127,26 +156,47 @@ class GramIndex:
         place = np.repeat(hit, count)
         item = self.item_of[entry]
         text = np.searchsorted(starts, place, "right") - 1
-        # bands of width 2 (k + 1) overlap by half, so that all diagonals within k of each other share one
-        diagonal = place - self.place_of[entry] - starts[text] + len(line)
-        half = self.edits[item] + 1
+        # a pair with too few grams for its smallest region has no match
+        _, pair, hits = np.unique(text * len(self.items) + item, return_inverse=True, return_counts=True)
+        near = np.flatnonzero(hits[pair] >= self.need.min(1)[item])
+        near = near[np.argsort(pair[near], kind="stable")]
+        ends = np.flatnonzero(np.diff(pair[near])) + 1
+        ends = ends[np.unique(ends // HITS, return_index=True)[1]]
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for some in np.split(near, ends):
+            self._align(line, starts, text[some], item[some], place[some], self.place_of[entry[some]], best)
+        return [(t, self.ids[i], edits, max(low, 0)) for (t, i), (edits, low) in sorted(best.items())]
+
+    def _align(self, line: np.ndarray, starts: np.ndarray, text: np.ndarray, item: np.ndarray, place: np.ndarray,
+               at: np.ndarray, best: dict[tuple[int, int], tuple[int, int]]) -> None:
+        """Add to ``best`` the edits and start of all pairs of text and item among the hits that match."""
         n_items, n_bands = len(self.items), 2 * len(line) + 2
-        band = diagonal // half
-        own = (text * n_items + item) * n_bands + band
+        gram, number = self.regions(item, at)
+        place, item, text, at = place[gram], item[gram], text[gram], at[gram]
+        # bands of width 2 (k + 1) overlap by half, so that all diagonals within k of each other share one
+        diagonal = place - at - starts[text] + len(line)
+        part = (number > 0).astype(np.int64)
+        band = diagonal // (self.edits[item, part] + 1)
+        n_regions = int(number.max(initial=0)) + 1
+        of, pair = np.unique(text * n_items + item, return_inverse=True)
+        own = (pair * n_regions + number) * n_bands + band
         keys, counts = np.unique(np.concatenate([own, own - 1]), return_counts=True)
         pair, band = np.divmod(keys, n_bands)
-        text, item = np.divmod(pair, n_items)
-        good = counts >= self.need[item]
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for t, i, b in zip(text[good].tolist(), item[good].tolist(), band[good].tolist()):
-            if best.get((t, i), (1, 0))[0] == 0:
+        pair, number = np.divmod(pair, n_regions)
+        text, item = np.divmod(of[pair], n_items)
+        good = np.flatnonzero(counts >= self.need[item, (number > 0).astype(np.int64)])
+        whole: set[tuple[int, int]] = set()
+        for t, i, n, b in zip(text[good].tolist(), item[good].tolist(), number[good].tolist(), band[good].tolist()):
+            if best.get((t, i), (1, 0))[0] == 0 or n > 0 and (t, i) in whole:  # a pair's whole item comes first
                 continue
-            k = int(self.edits[i])
-            low = b * (k + 1) - len(line)
-            found = fitting_distance(self.items[i], line[starts[t]:starts[t + 1]], low - k, low + 2 * (k + 1) + k)
+            start, size = self.region(i, n)
+            k = int(self.edits[i, min(n, 1)])
+            low = b * (k + 1) - len(line) + start
+            found = fitting_distance(self.items[i][start:start + size], line[starts[t]:starts[t + 1]], low - k, low + 2 * (k + 1) + k)
             if found <= k:
                 best[t, i] = min(best.get((t, i), (found, low)), (found, low))
-        return [(t, self.ids[i], edits, max(low, 0)) for (t, i), (edits, low) in sorted(best.items())]
+                if n == 0:
+                    whole.add((t, i))
 
 
 def gram_hashes(chars: np.ndarray) -> np.ndarray:
@@ -165,11 +215,14 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield [tuple(r) for r in rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).collect()]
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(rid, doc_id, item_id, edits, start): documents that hold a benchmark item.
+def leaks(docs: DataFrame, benchmark: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """(rid, doc_id, item_id, edits, start): documents that hold a benchmark item or a long passage of one.
 
     Texts and items are normalised to lower-case letters and digits. A document holds an item if some
-    part of it is at most ``edit_budget`` edits away (0.08 edits per character). By the q-gram
+    part of it is at most ``edit_budget`` edits away (0.08 edits per character) from the item, or from one
+    of its segments of ``segment`` characters, one at every STEP: a passage copied word for word
+    is found from ``segment + STEP - 1`` characters on. An item of up to ``segment`` characters is found
+    whole only. ``edits`` and ``start`` are those of the whole item where it is held, else of the best segment. By the q-gram
     lemma such a part shares at least ``shared_grams`` grams with the item, on diagonals no more
     than the budget apart, so only items and bands of diagonals with that many hits are
     aligned. The benchmark is a stated query set: it passes over the documents in blocks of bounded
@@ -183,7 +236,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = keyed(docs)
     found = None
     for rows in _blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(GramIndex.build(rows))
+        shared = docs.sparkSession.sparkContext.broadcast(GramIndex.build(rows, segment))
 
         def search(batches, shared=shared):
             for batch in batches:
@@ -203,7 +256,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def judged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, contaminated, item_ids, edits) of every document.
 
-    ``item_ids`` are the items that it holds, ascending; ``edits`` is the least distance, null without any.
+    ``item_ids`` are the items that it holds, or long passages of, ascending; ``edits`` is the least distance, null without any.
     """
     held = leaks(docs, benchmark).groupBy("rid").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"), F.min("edits").alias("edits"))

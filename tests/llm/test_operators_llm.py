@@ -224,6 +224,23 @@ def test_leaks(spark):
     assert decontaminate.leaks(df, benchmark.where("false")).count() == 0
 
 
+def test_partial_leaks(spark):
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    item, short = words(67), words(20)
+    edited = list(item[:330])
+    for at in range(7, 330, 30):
+        edited[at] = "z"
+    rows = [(0, words(40) + " " + item[:350] + " " + words(50)), (1, words(300) + " " + item[:230]), (2, item[170:] + " " + words(9)),
+            (3, words(9) + " " + item[61:290] + " " + words(9)), (4, "".join(edited) + " " + words(9)), (5, item), (6, words(400)),
+            (7, item[:100] + " " + words(90) + " " + item[300:]), (8, item[37:162])]
+    df = docs(spark, [(i, t, None, None, None) for i, t in rows])
+    benchmark = spark.createDataFrame([(1, item), (2, short)], "item_id bigint, text string")
+    found = {r["doc_id"]: r["edits"] for r in decontaminate.leaks(df, benchmark).collect()}
+    assert found.keys() == {0, 1, 2, 3, 4, 5} and all(found[i] == 0 for i in (0, 1, 2, 3, 5))
+    assert {r["doc_id"] for r in decontaminate.leaks(df, benchmark, 100).collect()} == {0, 1, 2, 3, 4, 5, 7, 8}
+
+
 def test_alignment_against_full_table():
     rng = random.Random(8)
     for _ in range(60):
