@@ -127,10 +127,10 @@ def engine(spark: SparkSession, sf_dir: str, *parts: str) -> SearchEngine:
 
 def stored_table(spark: SparkSession, sf_dir: str, name: str, make) -> DataFrame:
     """Write ``make()`` the first time, then read the written table."""
-    def write(location: str) -> DataFrame:
+    def write(location: str) -> str:
         make().write.mode("overwrite").parquet(location)
-        return spark.read.parquet(location)
-    return once(spark, sf_dir, name, write)
+        return location
+    return spark.read.parquet(once(spark, sf_dir, f"table_{name}", write))
 
 
 def stored_word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

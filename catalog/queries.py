@@ -68,7 +68,7 @@ def read_page_views(spark, sf_dir):
     def write(location):
         fx.page_views(spark, sf_dir).write.mode("overwrite").parquet(location)
         return location
-    return readers.read_page_views(spark, fx.once(spark, sf_dir, "page_views", write))
+    return readers.read_page_views(spark, fx.once(spark, sf_dir, "page_views_source", write))
 
 
 @registered
@@ -76,7 +76,7 @@ def read_titles(spark, sf_dir):
     def write(location):
         fx.titles(spark, sf_dir).withColumnRenamed("doc_id", "id").write.mode("overwrite").parquet(location)
         return location
-    return readers.read_titles(spark, fx.once(spark, sf_dir, "titles", write))
+    return readers.read_titles(spark, fx.once(spark, sf_dir, "titles_source", write))
 
 
 @registered
