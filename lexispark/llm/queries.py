@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (decontaminate, hamming_index, language_id, licenses, mixing, parity_join, quality, substring_dedup,
-               suffix_dedup, url_filter)
+               suffix_dedup, url_filter, vector_codes)
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -68,6 +68,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.encoded(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_group_error(codes).select(
+        "vec_id", vector_codes.hex_code(F.col("entry_ids")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1, "op2_language_id": op2, "op3_suffix_dedup": op3, "op4_substring_dedup": op4,
     "op5_quality": op5, "op6_url_filter": op6, "op7_nearest": op7, "op8_mixing": op8, "op9_licenses": op9,
-    "op10_jaccard_join": op10, "pipeline": pipeline,
+    "op10_jaccard_join": op10, "op12_vector_codes": op12, "pipeline": pipeline,
 }
 
 
@@ -135,4 +142,5 @@ FROM words LEFT JOIN gone USING (doc_id)"""
 def oracle_sql() -> dict[str, str]:
     """SQL for the same rows; the other operators are tested against brute force in ``tests/llm``."""
     return {"op4_substring_dedup": _SUBSTRING_SQL, "op6_url_filter": _url_sql(), "op8_mixing": mixing.mix_sql(),
-            "op9_licenses": licenses.scan_sql(), "op10_jaccard_join": _JACCARD_SQL}
+            "op9_licenses": licenses.scan_sql(), "op10_jaccard_join": _JACCARD_SQL,
+            "op12_vector_codes": vector_codes.codes_sql()}
