@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from . import (decontaminate, hamming_index, language_id, licenses, mixing, parity_join, quality, substring_dedup,
-               suffix_dedup, url_filter, vector_codes)
+               suffix_dedup, url_filter, vector_codes, whitening)
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -75,6 +75,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +88,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1, "op2_language_id": op2, "op3_suffix_dedup": op3, "op4_substring_dedup": op4,
     "op5_quality": op5, "op6_url_filter": op6, "op7_nearest": op7, "op8_mixing": op8, "op9_licenses": op9,
-    "op10_jaccard_join": op10, "op12_vector_codes": op12, "pipeline": pipeline,
+    "op10_jaccard_join": op10, "op12_vector_codes": op12, "op13_whitening": op13, "pipeline": pipeline,
 }
 
 
