@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import (decontaminate, hamming_index, language_id, licenses, mixing, parity_join, quality, substring_dedup,
-               suffix_dedup, url_filter, vector_codes, whitening)
+from . import (chunked_bpe, decontaminate, hamming_index, language_id, licenses, mixing, parity_join, quality,
+               substring_dedup, suffix_dedup, url_filter, vector_codes, whitening)
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
@@ -68,6 +68,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    coded = chunked_bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, books = vector_codes.encoded(table(spark, sf_dir, "embeddings"))
     return vector_codes.with_group_error(codes).select(
@@ -88,7 +97,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1, "op2_language_id": op2, "op3_suffix_dedup": op3, "op4_substring_dedup": op4,
     "op5_quality": op5, "op6_url_filter": op6, "op7_nearest": op7, "op8_mixing": op8, "op9_licenses": op9,
-    "op10_jaccard_join": op10, "op12_vector_codes": op12, "op13_whitening": op13, "pipeline": pipeline,
+    "op10_jaccard_join": op10, "op11_bpe": op11, "op12_vector_codes": op12, "op13_whitening": op13, "pipeline": pipeline,
 }
 
 
