@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import blake2b
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +16,7 @@ from tokenizers import Tokenizer
 
 from lexispark.settings import broadcast_if_small
 
+from .hamming_index import ranges
 from .hashing import joined
 from .segments import pieces, text_of
 from .tables import row_key, stored, tasks_for
@@ -26,11 +26,15 @@ WINDOW, CUT_BITS, LEAST = 16, 10, 256
 #: Bytes of text of one partition, and of one slice of a bin that many documents fall into.
 TASK_BYTES, SLICE_BYTES = 256 << 20, 32 << 20
 #: Tokens of remembered chunks, remembered words, and their bytes.
-CHUNK_TOKENS, WORDS, WORD_BYTES = 1 << 22, 1 << 17, 1 << 22
+CHUNK_TOKENS, WORDS, WORD_BYTES = 1 << 22, 1 << 19, 1 << 23
 _VALUES = np.random.default_rng(1111).integers(0, 1 << 32, 256, dtype=np.uint32)
 _BASE = 0x9E3779B1
 _SPACES = (0x20, *range(0x09, 0x0E))
 _IS_SPACE = np.isin(np.arange(256), _SPACES)
+#: Signs that end a word of letters before them.
+STOPS = b",.;:!?"
+_IS_STOP = np.isin(np.arange(256), list(STOPS))
+_IS_LETTER = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 
 
 # ---- chunks -----------------------------------------------------------------------------
@@ -81,11 +85,18 @@ def loaded(vocabulary: str) -> Tokenizer:
     return tokenizer
 
 
-def drops_space(tokenizer: Tokenizer) -> bool:
-    """True if white space only separates: no token of the tokenizer depends on what lies beyond it."""
+def separable(tokenizer: Tokenizer) -> bool:
+    """True if no token of the tokenizer depends on what lies beyond white space or the end of a word.
+
+    Shown by probes for its pattern; special tokens, which are searched in the raw text, must hold no such place.
+    """
     ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     words = ("ab", "'s", "7", "--", "Été", "語", "x'll")
-    return all(ids(f"{a}{chr(s)}{b}") == ids(a) + ids(b) for a in words for b in words for s in _SPACES)
+    special = "|".join(t.content for t in tokenizer.get_added_tokens_decoder().values()).encode()
+    whole = not any(_IS_SPACE[c] for c in special) and not any(
+        _IS_LETTER[a] and _IS_STOP[b] for a, b in zip(special, special[1:]))
+    return (whole and all(ids(f"{a}{chr(s)}{b}") == ids(a) + ids(b) for a in words for b in words for s in _SPACES)
+            and all(ids(f"ab{chr(s)}{b}") == ids("ab") + ids(f"{chr(s)}{b}") for b in ("", *words) for s in STOPS))
 
 
 @dataclass
@@ -107,96 +118,155 @@ class Chunk:
     open: bool = False
 
 
+class Words:
+    """Tokens of words, each encoded when it is first met; what is remembered is bounded.
+
+    A word ends at white space, and after a letter a-z before one of STOPS: no token reaches over these.
+    """
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer = tokenizer
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.bytes, self.ids, self.starts, self.counts = 0, np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encode words that are not known, all in one call."""
+        made = self.tokenizer.encode([w.decode() for w in words], is_pretokenized=True, add_special_tokens=False)
+        counts = np.bincount(np.array(made.word_ids, np.int64), minlength=len(words))
+        self.places.update(zip(words, range(len(self.places), len(self.places) + len(words))))
+        self.starts = np.append(self.starts, len(self.ids) + np.cumsum(counts) - counts)
+        self.counts = np.append(self.counts, counts)
+        self.ids = np.append(self.ids, np.array(made.ids, np.int32))
+        self.bytes += sum(map(len, words))
+
+    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """Tokens of each of several texts that white space or their ends bound."""
+        data = np.frombuffer(b" ".join(texts), np.uint8)
+        bounds = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        at = np.flatnonzero(~_IS_SPACE[data])
+        solid = data[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (_IS_LETTER[solid[:-1]] & _IS_STOP[solid[1:]])
+        start = np.flatnonzero(new)
+        ends = pa.py_buffer(np.append(start, len(solid)).astype(np.int64))
+        coded = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(start), [None, ends, pa.py_buffer(solid)]).dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        unknown = [w for w in words if w not in self.places]
+        if unknown:
+            if len(self.places) + len(unknown) > WORDS or self.bytes > WORD_BYTES:
+                self.forget()
+                unknown = words
+            self.learn(unknown)
+        place = np.array([self.places[w] for w in words], np.int64)[coded.indices.to_numpy(zero_copy_only=False)]
+        counts = self.counts[place]
+        ids = self.ids[ranges(self.starts[place], self.starts[place] + counts)]
+        sums = np.append(0, np.cumsum(counts))[np.searchsorted(at[start], bounds)]
+        return [ids[a:b] for a, b in zip(sums, sums[1:])]
+
+
 class Encoder:
     """Encodes the documents of one task, every chunk once; what it remembers is bounded."""
 
     def __init__(self, tokenizer: Tokenizer):
-        self.tokenizer = tokenizer
-        self.words: dict[bytes, list[int]] = {}
+        self.tokenizer, self.words = tokenizer, Words(tokenizer)
         self.chunks: OrderedDict[bytes, Chunk] = OrderedDict()
-        self.word_bytes = self.held = 0
-
-    def encode(self, text: bytes) -> list[int]:
-        """Tokens of a text that white space or its ends bound; words not known yet are encoded together."""
-        words = text.split()
-        unknown = [w for w in dict.fromkeys(words) if w not in self.words]
-        if unknown:
-            if len(self.words) + len(unknown) > WORDS or self.word_bytes > WORD_BYTES:
-                self.words, self.word_bytes = {}, 0
-                unknown = list(dict.fromkeys(words))
-            made = self.tokenizer.encode_batch_fast([w.decode() for w in unknown], add_special_tokens=False)
-            self.words.update(zip(unknown, (m.ids for m in made)))
-            self.word_bytes += sum(map(len, unknown))
-        return list(chain.from_iterable(map(self.words.__getitem__, words)))
-
-    def made(self, chunk: bytes) -> Chunk:
-        spaces = np.flatnonzero(_IS_SPACE[np.frombuffer(chunk, np.uint8)])
-        if not len(spaces):
-            return Chunk(chunk, np.empty(0, np.int32), b"", open=True)
-        start, end = int(spaces[0]) + 1, int(spaces[-1]) + 1
-        inside = chunk[start:end]
-        ids = np.array(self.encode(inside), np.int32)
-        words = inside.split()
-        first, last = (words[0], words[-1]) if words else (b"", b"")
-        return Chunk(chunk[:start], ids, chunk[end:], first, last, len(self.encode(first)), len(self.encode(last)))
-
-    def chunk(self, chunk: bytes) -> Chunk:
-        """The encoded chunk: remembered, or encoded now."""
-        key = chunk_key(chunk)
-        known = self.chunks.get(key)
-        if known is not None:
+        self.held = 0
+
+    def made(self, chunks: list[bytes]) -> list[Chunk]:
+        """Encode chunks that are not remembered."""
+        bounds = []
+        for chunk in chunks:
+            spaces = np.flatnonzero(_IS_SPACE[np.frombuffer(chunk, np.uint8)])
+            bounds.append((int(spaces[0]) + 1, int(spaces[-1]) + 1) if len(spaces) else None)
+        insides = [c[at[0]:at[1]] if at else b"" for c, at in zip(chunks, bounds)]
+        first = [(i.split(maxsplit=1) or [b""])[0] for i in insides]
+        last = [(i.rsplit(maxsplit=1) or [b""])[-1] for i in insides]
+        ids = self.words.encode(insides)
+        ends = [len(i) for i in self.words.encode(first + last)]
+        return [Chunk(c[:at[0]], i.copy(), c[at[1]:], a, b, m, n) if at else Chunk(c, i.copy(), b"", open=True)
+                for c, at, i, a, b, m, n in zip(chunks, bounds, ids, first, last, ends, ends[len(chunks):])]
+
+    def remember(self, chunks: Iterable[bytes]) -> dict[bytes, Chunk]:
+        """All given chunks, encoded: those met before from memory."""
+        keys = {c: chunk_key(c) for c in chunks}
+        new = [c for c, key in keys.items() if key not in self.chunks]
+        for chunk, made in zip(new, self.made(new)):
+            self.chunks[keys[chunk]] = made
+            self.held += len(made.ids) + len(made.head) + 16
+        found = {}
+        for chunk, key in keys.items():
             self.chunks.move_to_end(key)
-            return known
-        known = self.chunks[key] = self.made(chunk)
-        self.held += len(known.ids) + len(known.head) + 16
-        while self.held > CHUNK_TOKENS and len(self.chunks) > 1:
+            found[chunk] = self.chunks[key]
+        while self.held > CHUNK_TOKENS and self.chunks:
             _, old = self.chunks.popitem(last=False)
             self.held -= len(old.ids) + len(old.head) + 16
-        return known
-
-    def seam(self, left: Chunk | None, middle: bytes, right: Chunk | None) -> np.ndarray | None:
-        """Tokens where chunks meet, encoded anew from the last word inside ``left`` to the first inside ``right``.
+        return found
 
-        ``middle`` is the text between these two. The tokens of both words have to come out as the
-        chunks have them; None if they do not.
-        """
-        text = (left.last + b" " if left else b"") + middle + (right.first if right else b"")
-        n_left, n_right = left.n_last if left else 0, right.n_first if right else 0
-        ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
-        found = np.array(ids, np.int32)
-        end = len(found) - n_right
-        agreed = end >= n_left and (
-            left is None or np.array_equal(found[:n_left], left.ids[len(left.ids) - n_left:])) and (
-            right is None or np.array_equal(found[end:], right.ids[:n_right]))
-        return found[n_left:end] if agreed else None
-
-    def document(self, chunks: list[bytes]) -> np.ndarray:
-        """Tokens of a text from its chunks: their insides, and between two of them the repaired seam.
+    def documents(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """Tokens of each text from its chunks: their insides, and between two of them the repaired seam.
 
         A chunk without white space belongs to the seam as a whole, which then reaches to the next chunk.
         Where a seam does not agree with its neighbours it grows to the whole text.
         """
-        parts: list[np.ndarray] = []
-        left, middle = None, b""
-        for raw in chunks:
-            made = self.chunk(raw)
-            if made.open:
-                middle += made.head
-                continue
-            ids = self.seam(left, middle + made.head, made)
+        known = self.remember(c for chunks in texts for c in chunks)
+        seams: list[Seam] = []
+        for number, chunks in enumerate(texts):
+            left, middle = None, b""
+            for chunk in map(known.__getitem__, chunks):
+                middle += chunk.head
+                if not chunk.open:
+                    seams.append(Seam(number, left, middle, chunk))
+                    left, middle = chunk, chunk.tail
+            seams.append(Seam(number, left, middle, None))
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
+        broken = set()
+        for seam, made in zip(seams, self.tokenizer.encode_batch_fast([s.text() for s in seams], add_special_tokens=False)):
+            ids = seam.repaired(np.array(made.ids, np.int32))
             if ids is None:
-                return self.whole(chunks)
-            parts += [ids, made.ids]
-            left, middle = made, made.tail
-        if left is None and not middle:
-            return np.empty(0, np.int32)
-        ids = self.seam(left, middle, None)
-        return self.whole(chunks) if ids is None else np.concatenate([*parts, ids])
+                broken.add(seam.number)
+            else:
+                parts[seam.number] += [ids, seam.right.ids] if seam.right else [ids]
+        return [self.whole(chunks) if k in broken else np.concatenate(own) for k, (chunks, own) in enumerate(zip(texts, parts))]
 
     def whole(self, chunks: list[bytes]) -> np.ndarray:
         return np.array(self.tokenizer.encode(b"".join(chunks).decode(), add_special_tokens=False).ids, np.int32)
 
 
+@dataclass
+class Seam:
+    """The text from the last white space of one chunk to the first of another; None at an end of the document."""
+
+    number: int
+    left: Chunk | None
+    middle: bytes
+    right: Chunk | None
+
+    def text(self) -> str:
+        """What is encoded anew: the seam, and the whole words on both sides of it."""
+        return ((self.left.last + b" " if self.left else b"") + self.middle + (self.right.first if self.right else b"")).decode()
+
+    def repaired(self, ids: np.ndarray) -> np.ndarray | None:
+        """The seam's own tokens, if the words beside it got the tokens that the chunks have for them; else None."""
+        left = self.left.ids[len(self.left.ids) - self.left.n_last:] if self.left else ids[:0]
+        right = self.right.ids[:self.right.n_first] if self.right else ids[:0]
+        end = len(ids) - len(right)
+        agreed = end >= len(left) and np.array_equal(ids[:len(left)], left) and np.array_equal(ids[end:], right)
+        return ids[len(left):end] if agreed else None
+
+
+def decoded(tokenizer: Tokenizer, ids: list[np.ndarray], tokens: pa.Array) -> pa.Array:
+    """Texts of lists of tokens; without a decoder the library joins ``tokens`` by spaces."""
+    if tokenizer.decoder is not None:
+        return pa.array(tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=False), pa.string())
+    bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    strings = tokens.take(pa.array(np.concatenate(ids)))
+    return pc.binary_join(pa.ListArray.from_arrays(bounds, strings), " ")
+
+
 # ---- documents --------------------------------------------------------------------------
 
 def _chunks(piece: pa.RecordBatch) -> list[list[bytes]]:
@@ -223,13 +293,14 @@ def _encoded(vocabulary):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = loaded(vocabulary.value)
         encoder = Encoder(tokenizer)
+        names = tokenizer.get_vocab(with_added_tokens=True)
+        tokens = pa.array(sorted(names, key=names.get), pa.string())
         for batch in batches:
             for piece in pieces(batch):
-                ids = [encoder.document(chunks) for chunks in _chunks(piece)]
-                texts = tokenizer.decode_batch(ids, skip_special_tokens=False)
-                bounds = np.cumsum([0, *map(len, ids)]).astype(np.int64)
-                lists = pa.LargeListArray.from_arrays(bounds, np.concatenate(ids) if ids else np.empty(0, np.int32))
-                yield pa.RecordBatch.from_arrays([piece.column(0), lists.cast(pa.list_(pa.int32())), pa.array(texts, pa.string())],
+                ids = encoder.documents(_chunks(piece))
+                bounds = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(bounds, np.concatenate(ids))
+                yield pa.RecordBatch.from_arrays([piece.column(0), lists, decoded(tokenizer, ids, tokens)],
                                                  names=["doc_id", "ids", "decoded"])
     return encode
 
@@ -253,7 +324,7 @@ def encoded(docs: DataFrame, vocabulary_file: str) -> DataFrame:
     spark = docs.sparkSession
     with open(vocabulary_file, encoding="utf-8") as file:
         vocabulary = file.read()
-    if not drops_space(loaded(vocabulary)):
+    if not separable(loaded(vocabulary)):
         raise ValueError(f"white space is part of tokens of {vocabulary_file}")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     binned = texts.mapInArrow(_binned, "doc_id bigint, text string, bin bigint")
