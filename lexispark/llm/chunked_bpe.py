@@ -14,8 +14,6 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
-from lexispark.settings import broadcast_if_small
-
 from .hamming_index import ranges
 from .hashing import joined
 from .segments import pieces, text_of
@@ -23,8 +21,8 @@ from .tables import row_key, stored, tasks_for
 
 #: A chunk ends where the low bits of the rolling hash of the last WINDOW bytes are zero: about 2^CUT_BITS bytes apart, LEAST at the least.
 WINDOW, CUT_BITS, LEAST = 16, 10, 256
-#: Bytes of text of one partition, and of one slice of a bin that many documents fall into.
-TASK_BYTES, SLICE_BYTES = 256 << 20, 32 << 20
+#: Bytes of text of one partition. A bin of more than an even share of a partition is cut in slices, but not below SLICE_BYTES.
+TASK_BYTES, SLICE_BYTES = 256 << 20, 256 << 10
 #: Tokens of remembered chunks, remembered words, and their bytes.
 CHUNK_TOKENS, WORDS, WORD_BYTES = 1 << 22, 1 << 19, 1 << 23
 _VALUES = np.random.default_rng(1111).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -315,7 +313,7 @@ def encoded(docs: DataFrame, vocabulary_file: str) -> DataFrame:
     text moves once: documents go to the bin of their smallest chunk key, so that those which share
     chunks meet in a task, and each chunk is encoded there once. Where chunks meet, the broken words are
     encoded anew together with the nearest whole words; their tokens have to agree with the
-    chunks' own (``Encoder.seam``). Bins of many documents are dealt out in slices of SLICE_BYTES.
+    chunks' own (``Encoder.seam``). Bins of many documents are dealt out in slices.
 
     Defined cases: a null or empty text has no tokens and decodes to an empty one; texts without white
     space are one seam; repeated rows and null ids are rows of their own; other columns are ignored; an
@@ -329,11 +327,10 @@ def encoded(docs: DataFrame, vocabulary_file: str) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     binned = texts.mapInArrow(_binned, "doc_id bigint, text string, bin bigint")
     weights = texts.mapInArrow(_weighed, "bin bigint, weight bigint").groupBy("bin").agg(F.sum("weight").alias("weight"))
-    total, hot = split_bins(weights)
-    own = binned.join(broadcast_if_small(hot), "bin", "left")
+    n, hot = split_bins(weights)
+    own = binned.join(F.broadcast(hot), "bin", "left")
     part = F.pmod(row_key(), F.coalesce("slices", F.lit(1)))
     empty = F.when(F.col("bin").isNull(), row_key())
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks_for(total, TASK_BYTES))
     dealt = own.select("doc_id", "text", F.coalesce("bin", empty).alias("bin"), part.alias("part")).repartition(n, "bin", "part")
     return dealt.sortWithinPartitions("bin").select("doc_id", "text").mapInArrow(
         _encoded(spark.sparkContext.broadcast(vocabulary)), "doc_id bigint, ids array<int>, decoded string")
@@ -347,8 +344,9 @@ def _weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def split_bins(weights: DataFrame) -> tuple[int, DataFrame]:
-    """Bytes in all, and the slices of each bin that holds more than SLICE_BYTES: at most one such bin for each SLICE_BYTES of text."""
+    """Partitions to deal the text to, and the slices of each bin above a partition's share: fewer such bins than partitions."""
     weights = stored(weights)
     total = weights.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
-    return total, weights.where(F.col("weight") > SLICE_BYTES).select(
-        "bin", F.ceil(F.col("weight") / SLICE_BYTES).alias("slices"))
+    n = max(int(weights.sparkSession.conf.get("spark.sql.shuffle.partitions")), tasks_for(total, TASK_BYTES))
+    share = max(total // n, SLICE_BYTES)
+    return n, weights.where(F.col("weight") > share).select("bin", F.ceil(F.col("weight") / share).alias("slices"))

@@ -99,7 +99,7 @@ def test_tokenizers_with_space_in_tokens_are_refused(spark):
 
 def test_documents(spark, monkeypatch):
     """Null, empty and long texts, repeated rows, null ids, hot bins, clashing columns, an empty table."""
-    monkeypatch.setattr(chunked_bpe, "SLICE_BYTES", 20_000)
+    monkeypatch.setattr(chunked_bpe, "SLICE_BYTES", 100)
     texts = odd_texts(5, 40)
     rows = [(i, t, "x", "y", 1) for i, t in enumerate(texts)] + [(100 + i, texts[0], "x", "y", 1) for i in range(60)]
     rows += [(300, None, None, None, None), (301, "", None, None, None), (None, "a b", None, None, None), rows[3], rows[3],
