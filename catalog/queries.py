@@ -365,7 +365,7 @@ def _cosines(spark, sf_dir):
     batch = inspect_batch(counts, index.n_buckets)
     known = query_terms.weigh_query_terms(lookup_statistics(index, counts, batch), index.n_docs)
     weighted = lookup_postings(index, known, batch).withColumn("w_d", statistics.length_weight())
-    return scoring.cosine_similarity(weighted.where(F.col("w_d").isNotNull()), index.doc_stats)
+    return scoring.cosine_similarity(weighted.where(F.col("w_d").isNotNull()), index.norms)
 
 
 QUERIES["cosine_similarity"] = _cosines
@@ -405,7 +405,7 @@ def term_candidates_anchor(spark, sf_dir):
     batch = inspect_batch(terms, index.n_buckets)
     known = lookup_statistics(index, terms, batch)
     candidates = scoring.term_candidates(
-        lookup_postings(index, known, batch), lookup_linked(anchor, known, batch), index.doc_stats)
+        lookup_postings(index, known, batch), lookup_linked(anchor, known, batch), index.lengths)
     return candidates.select("query_id", "term", "doc_id", "tf")
 
 

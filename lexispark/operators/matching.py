@@ -1,16 +1,25 @@
-"""Query terms against a stored index."""
+"""Query terms against a stored index.
+
+A batch of up to LITERAL_TERMS distinct terms is turned into filters: groups of terms that are next to
+each other in the order of the files, each read by a scan of its own with the buckets and the terms as
+literals. Buckets prune folders and terms skip pages, also where a batch touches every bucket.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexispark.operators.postings import term_bucket
 from lexispark.operators.skew import join_terms
-from lexispark.settings import BROADCAST_BYTES, BROADCAST_ROWS
+from lexispark.settings import BROADCAST_BYTES, BROADCAST_ROWS, PUSHED_LITERALS
 from lexispark.sources.index_store import InvertedIndex
 
+# Distinct terms of a batch that become literals of its plan, and the bytes they may take.
+LITERAL_TERMS, LITERAL_BYTES = 4096, 1 << 20
+
 
 @dataclass(frozen=True)
 class Batch:
@@ -20,6 +29,7 @@ class Batch:
     small: bool
     n_buckets: int
     buckets: tuple[int, ...]
+    terms: tuple[tuple[int, str], ...] | None = None    # (bucket, term), sorted; None: too many
 
     def in_buckets(self, n_buckets: int) -> Column:
         """Literal partition filter; none when every bucket is needed or they are cut differently."""
@@ -27,20 +37,36 @@ class Batch:
             return F.lit(True)
         return F.col("bucket").isin(list(self.buckets))
 
+    def rows_of(self, table: DataFrame, n_buckets: int) -> DataFrame:
+        """The rows of ``table(bucket, term, …)`` that the terms of the batch need, and few others."""
+        if self.terms is None or n_buckets != self.n_buckets:
+            return table.where(self.in_buckets(n_buckets)).drop("bucket")
+        groups = [self.terms[i:i + PUSHED_LITERALS] for i in range(0, len(self.terms), PUSHED_LITERALS)]
+        scans = [table.where(F.col("bucket").isin(sorted({b for b, _ in group})) & F.col("term").isin([t for _, t in group]))
+                 for group in groups]
+        return (reduce(DataFrame.unionByName, scans) if scans else table.where(F.lit(False))).drop("bucket")
+
 
 def inspect_batch(terms: DataFrame, n_buckets: int) -> Batch:
-    """Rows, bytes and touched buckets of ``terms(query_id, term)``: one aggregate row."""
+    """Rows, bytes, touched buckets and, if they are few, distinct terms of ``terms(query_id, term)``."""
     row = terms.agg(
         F.count("*").alias("rows"), F.count_distinct("query_id").alias("queries"),
+        F.approx_count_distinct("term").alias("terms"),
         F.coalesce(F.sum(F.octet_length("term") + 32), F.lit(0)).alias("bytes"),
         F.array_sort(F.collect_set(term_bucket("term", n_buckets))).alias("buckets")).first()
-    return Batch(row.queries, row.rows <= BROADCAST_ROWS and row.bytes <= BROADCAST_BYTES,
-                 n_buckets, tuple(row.buckets))
+    small = row.rows <= BROADCAST_ROWS and row.bytes <= BROADCAST_BYTES
+    known = None
+    if small and row.terms <= 2 * LITERAL_TERMS:
+        found = terms.where("term is not null").select(term_bucket("term", n_buckets).alias("bucket"), "term").distinct().limit(
+            LITERAL_TERMS + 1).collect()
+        if len(found) <= LITERAL_TERMS and sum(len(r.term) for r in found) <= LITERAL_BYTES:
+            known = tuple(sorted((r.bucket, r.term) for r in found))
+    return Batch(row.queries, small, n_buckets, tuple(row.buckets), known)
 
 
 def lookup_statistics(index: InvertedIndex, terms: DataFrame, batch: Batch) -> DataFrame:
     """``terms`` found in the index with df, term_total and idf."""
-    stats = index.term_stats.where(batch.in_buckets(index.n_buckets)).drop("bucket")
+    stats = batch.rows_of(index.term_stats, index.n_buckets)
     return stats.join(F.broadcast(terms) if batch.small else terms, "term")
 
 
@@ -50,7 +76,7 @@ def lookup_postings(index: InvertedIndex, known_terms: DataFrame, batch: Batch)
     A small batch is broadcast, so the pruned postings are read in place. A larger one is
     joined by term with the hot terms cut into slices.
     """
-    postings = index.postings.where(batch.in_buckets(index.n_buckets)).drop("bucket")
+    postings = batch.rows_of(index.postings, index.n_buckets)
     if batch.small:
         return postings.join(F.broadcast(known_terms), "term")
     return join_terms(postings, known_terms, index.n_postings)
@@ -60,9 +86,8 @@ def lookup_linked(index: InvertedIndex, known_terms: DataFrame, batch: Batch) ->
     """Postings of terms whose ``df`` is that of another index; hot terms are cut by their list in this one."""
     if batch.small:
         return lookup_postings(index, known_terms, batch)
-    in_buckets = batch.in_buckets(index.n_buckets)
-    lengths = index.term_stats.where(in_buckets).select("term", F.col("df").alias("list_df"))
-    postings = index.postings.where(in_buckets).drop("bucket")
+    lengths = batch.rows_of(index.term_stats, index.n_buckets).select("term", F.col("df").alias("list_df"))
+    postings = batch.rows_of(index.postings, index.n_buckets)
     return join_terms(postings, known_terms.join(lengths, "term"), index.n_postings, "list_df").drop("list_df")
 
 

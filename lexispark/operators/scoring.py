@@ -32,12 +32,15 @@ def document_tfidf_matrix(weights: DataFrame) -> DataFrame:
     return weights.groupBy("query_id", "doc_id").agg(F.map_from_entries(entries).alias("weights"))
 
 
-def cosine_similarity(weighted: DataFrame, doc_stats: DataFrame) -> DataFrame:
-    """(query_id, doc_id, score) from rows with ``w_d``, ``w_q`` and ``query_norm`` per term."""
+def cosine_similarity(weighted: DataFrame, norms: DataFrame) -> DataFrame:
+    """(query_id, doc_id, score) from rows with ``w_d``, ``w_q`` and ``query_norm`` per term.
+
+    Only the sums of the matching documents move; stored ``norms(doc_id, norm)`` are clustered by document.
+    """
     dots = weighted.groupBy("query_id", "doc_id").agg(
         F.sum(F.col("w_d") * F.col("w_q")).alias("dot"), F.max("query_norm").alias("query_norm"))
     cosine = F.try_divide(F.col("dot"), F.col("norm") * F.col("query_norm"))
-    return (dots.join(doc_stats.select("doc_id", "norm"), "doc_id")
+    return (dots.join(norms, "doc_id")
             .select("query_id", "doc_id", F.round(cosine, DIGITS).alias("score"))
             .where(F.col("score").isNotNull()))
 

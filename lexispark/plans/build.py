@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark.functions.stemming import stem_tokens
 from lexispark.functions.text import regex_tokens, word_count
 from lexispark.operators.postings import N_BUCKETS, anchor_postings, count_tokens
-from lexispark.operators.statistics import doc_norms, inverse_document_frequency
 from lexispark.settings import broadcast_if_small, materialize, small_enough
 from lexispark.sources.index_store import (
-    InvertedIndex, next_generation, read_index, read_table, write_doc_stats, write_postings, write_term_stats)
+    Commit, InvertedIndex, merged_term_stats, next_generation, read_index, read_table, with_norms, write_commit,
+    write_doc_stats, write_postings, write_term_stats)
 
 
 def tokenize_documents(docs: DataFrame, stemming: bool = False) -> DataFrame:
@@ -32,11 +35,14 @@ def build_index(docs: DataFrame, root: str, stemming: bool = False,
                           stemming, n_buckets, idf_base)
 
 
-def add_documents(docs: DataFrame, root: str) -> InvertedIndex:
-    """Add ``docs(doc_id, text)`` to a stored index; ids already indexed are skipped."""
+def add_documents(docs: DataFrame, root: str, refresh: bool = False) -> InvertedIndex:
+    """Add ``docs(doc_id, text)`` to a stored index; ids already indexed are skipped.
+
+    Reads no old postings, unless ``refresh`` asks for new norms at once (see ``refresh_norms``).
+    """
     spark = docs.sparkSession
     index = read_index(spark, root)
-    return publish_tokens(spark, root, one_per_id(tokenize_documents(docs, index.stemming)), index)
+    return publish_tokens(spark, root, one_per_id(tokenize_documents(docs, index.stemming)), index, refresh=refresh)
 
 
 def one_per_id(tokens: DataFrame) -> DataFrame:
@@ -59,76 +65,93 @@ def build_anchor_index(anchors: DataFrame, root: str, stemming: bool = False,
     gen = next_generation(spark, root)
     write_postings(anchor_postings(anchors, stemming), f"{root}/postings/gen={gen}", n_buckets)
     postings = _generation(spark, root, "postings", gen)
-    no_lengths = [F.lit(None).cast("bigint").alias("dl"), F.lit(None).cast("double").alias("norm")]
-    write_doc_stats(postings.select("doc_id").distinct().select("doc_id", *no_lengths),
+    write_doc_stats(postings.select("doc_id").distinct().withColumn("dl", F.lit(None).cast("bigint")),
                     f"{root}/doc_stats/gen={gen}")
     n_docs = _generation(spark, root, "doc_stats", gen).count()
-    _write_term_stats(postings, None, n_docs, f"{root}/term_stats/gen={gen}", n_buckets, idf_base)
-    return _commit(spark, root, gen, gen, n_docs, 0, postings.count(), n_buckets, idf_base, stemming)
+    _write_term_stats(postings, f"{root}/term_stats/gen={gen}", n_buckets)
+    n_postings = postings.count()
+    return write_commit(spark, root, gen, Commit(n_docs, 0, n_postings, n_buckets, idf_base, stemming, (gen,), (n_postings,)))
 
 
 def publish_tokens(spark: SparkSession, root: str, tokens: DataFrame, previous: InvertedIndex | None,
-                   stemming: bool = False, n_buckets: int = N_BUCKETS, idf_base: str = "e") -> InvertedIndex:
+                   stemming: bool = False, n_buckets: int = N_BUCKETS, idf_base: str = "e",
+                   refresh: bool | None = None, inbox_files: Sequence[str] = ()) -> InvertedIndex:
     """Turn tokenised documents into the next generation of the index at ``root``.
 
     The tokens are written first: the text is tokenised once, later steps read only the
     columns they need, and a lost executor costs no second tokenisation. A ``previous``
-    generation keeps its files and its settings.
+    state keeps its files and its settings; of it only the document ids are read. ``refresh``
+    says whether the norms are computed, which takes all postings: by default for a new index only.
     """
     gen = next_generation(spark, root)
-    base = previous.base_gen if previous else gen
     if previous:
         n_buckets, idf_base, stemming = previous.n_buckets, previous.idf_base, previous.stemming
         tokens = tokens.join(_known_ids(tokens, previous), "doc_id", "left_anti")
     tokens.write.mode("overwrite").parquet(f"{root}/tokens/gen={gen}")
     tokens = _generation(spark, root, "tokens", gen)
     added = tokens.agg(F.count("*").alias("docs"), F.coalesce(F.sum("dl"), F.lit(0)).alias("dl")).first()
-    if previous and added.docs == 0:
+    if previous and added.docs == 0 and not inbox_files:
         return previous
 
     write_postings(count_tokens(tokens), f"{root}/postings/gen={gen}", n_buckets)
     postings = _generation(spark, root, "postings", gen)
-
-    n_docs = added.docs + (previous.n_docs if previous else 0)
-    sum_dl = added.dl + (previous.sum_dl if previous else 0)
-    n_postings = postings.count() + (previous.n_postings if previous else 0)
-    _write_term_stats(postings, previous, n_docs, f"{root}/term_stats/gen={gen}", n_buckets, idf_base)
-
-    # The idf of every term moves with the corpus size, so norms are taken over all postings.
-    norms = doc_norms(read_table(spark, root, "postings").where(F.col("gen").between(base, gen)),
-                      _generation(spark, root, "term_stats", gen), n_postings)
-    lengths = read_table(spark, root, "tokens").where(F.col("gen").between(base, gen)).select("doc_id", "dl")
-    write_doc_stats(lengths.join(norms, "doc_id", "left"), f"{root}/doc_stats/gen={gen}")
-    return _commit(spark, root, base, gen, n_docs, sum_dl, n_postings, n_buckets, idf_base, stemming)
+    n_postings = postings.count()
+    _write_term_stats(postings, f"{root}/term_stats/gen={gen}", n_buckets)
+    write_doc_stats(tokens, f"{root}/doc_stats/gen={gen}")
+    _write_log(spark, inbox_files, f"{root}/inbox_log/gen={gen}")
+    old = previous.commit if previous else Commit(0, 0, 0, n_buckets, idf_base, stemming)
+    norms = (old.norms, old.norm_buckets) if added.docs == 0 else (None, 0)
+    commit = replace(old, n_docs=old.n_docs + added.docs, sum_dl=old.sum_dl + added.dl, n_postings=old.n_postings + n_postings,
+                     gens=(*old.gens, gen), sizes=(*old.sizes, n_postings), norms=norms[0], norm_buckets=norms[1])
+    if refresh or refresh is None and not previous:
+        commit = with_norms(InvertedIndex(spark, root, gen, commit))
+    return write_commit(spark, root, gen, commit)
 
 
 def _known_ids(tokens: DataFrame, index: InvertedIndex) -> DataFrame:
     """Ids that are indexed already; for a small addition only those among its own ids."""
-    indexed, added = index.doc_stats.select("doc_id"), tokens.select("doc_id")
+    indexed, added = index.lengths.select("doc_id"), tokens.select("doc_id")
     if small_enough(added):
         return F.broadcast(indexed.join(F.broadcast(added), "doc_id", "left_semi"))
     return indexed
 
 
 def _generation(spark: SparkSession, root: str, table: str, gen: int) -> DataFrame:
-    return read_table(spark, root, table).where(F.col("gen") == gen).drop("gen")
+    return read_table(spark, root, table, [gen]).drop("gen")
 
 
-def _write_term_stats(postings: DataFrame, previous: InvertedIndex | None, n_docs: int, path: str,
-                      n_buckets: int, idf_base: str) -> None:
-    counts = postings.select("term", F.lit(1).cast("bigint").alias("df"), F.col("tf").alias("term_total"))
-    if previous:
-        counts = counts.unionByName(previous.term_stats.select("term", "df", "term_total"))
-    sums = counts.groupBy("term").agg(*[F.sum(c).cast("bigint").alias(c) for c in ("df", "term_total")])
-    write_term_stats(inverse_document_frequency(sums, n_docs, idf_base), path, n_buckets)
-
-
-def _commit(spark: SparkSession, root: str, base: int, gen: int, n_docs: int, sum_dl: int, n_postings: int,
-            n_buckets: int, idf_base: str, stemming: bool) -> InvertedIndex:
-    row = spark.range(1).select(
-        F.lit(n_docs).cast("bigint").alias("n_docs"), F.lit(sum_dl).cast("bigint").alias("sum_dl"),
-        F.lit(n_postings).cast("bigint").alias("n_postings"), F.lit(n_buckets).alias("n_buckets"),
-        F.lit(idf_base).alias("idf_base"), F.lit(stemming).alias("stemming"),
-        F.lit(base).cast("int").alias("base_gen"))
-    row.write.mode("overwrite").parquet(f"{root}/corpus_stats/gen={gen}")
-    return read_index(spark, root)
+def _write_term_stats(postings: DataFrame, path: str, n_buckets: int) -> None:
+    """Frequencies within one generation; those of several are added up when they are read."""
+    sums = postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").cast("bigint").alias("term_total"))
+    write_term_stats(sums, path, n_buckets)
+
+
+def _write_log(spark: SparkSession, files: Sequence[str], path: str) -> None:
+    """The files of an inbox that a generation was made of."""
+    spark.createDataFrame([(f,) for f in files], "file string").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def compact_index(spark: SparkSession, root: str, ratio: float | None = None) -> InvertedIndex:
+    """Merge generations of an index into one; searches give the same before and after.
+
+    Without ``ratio`` all become one. With it the newest ones are merged, and an older one joins
+    as long as it is at most ``ratio`` times as large as those after it together: called after each addition,
+    this leaves a number of generations that grows with the logarithm of the size, and every posting
+    is rewritten about as often. The merged generation is read in place of its parts; files of the
+    parts stay for readers that have them open, but are not read again. The norms stay as they are.
+    """
+    index = read_index(spark, root)
+    first, merged = len(index.gens) - 1, index.commit.sizes[-1]
+    while first > 0 and (ratio is None or index.commit.sizes[first - 1] <= ratio * merged):
+        first -= 1
+        merged += index.commit.sizes[first]
+    chosen = index.gens[first:]
+    if len(chosen) < 2:
+        return index
+    gen = next_generation(spark, root)
+    write_postings(index.table("postings", chosen).drop("bucket"), f"{root}/postings/gen={gen}", index.n_buckets)
+    write_term_stats(merged_term_stats(index, chosen), f"{root}/term_stats/gen={gen}", index.n_buckets)
+    write_doc_stats(index.table("doc_stats", chosen), f"{root}/doc_stats/gen={gen}")
+    index.table("inbox_log", chosen).coalesce(1).write.mode("overwrite").parquet(f"{root}/inbox_log/gen={gen}")
+    return write_commit(spark, root, gen, replace(
+        index.commit, gens=(*index.gens[:first], gen), sizes=(*index.commit.sizes[:first], merged)))

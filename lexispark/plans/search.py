@@ -156,7 +156,7 @@ class SearchEngine:
         known = weigh_query_terms(lookup_statistics(index, counts, batch), index.n_docs)
         matches = lookup_postings(index, known, batch)
         weighted = matches.withColumn("w_d", length_weight()).where(F.col("w_d").isNotNull())
-        hits = scoring.cosine_similarity(weighted, index.doc_stats)
+        hits = scoring.cosine_similarity(weighted, index.norms)
         return Hits(fusion.top_n(hits, n), batch.n_queries * n)
 
     def _bm25(self, index: InvertedIndex, queries: DataFrame, k1: float = 2.0, b: float = 0.75,
@@ -172,7 +172,7 @@ class SearchEngine:
         matches = lookup_postings(index, known, batch)
         if add_anchor:
             linked = lookup_linked(self.anchor, known, batch)
-            candidates = scoring.term_candidates(matches, linked, index.doc_stats)
+            candidates = scoring.term_candidates(matches, linked, index.lengths)
         else:
             candidates = scoring.term_candidates(matches)
         hits = scoring.bm25_score(candidates, index.n_docs, index.avgdl, k1, b)

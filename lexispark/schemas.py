@@ -31,7 +31,8 @@ DOCUMENTS = T.StructType([
 # Tables of a stored index, partition columns last.
 TOKENS = "doc_id bigint, dl bigint, tokens array<string>, gen int"
 POSTINGS = "term string, doc_id bigint, tf bigint, dl bigint, gen int, bucket int"
-TERM_STATS = "bucket int, term string, df bigint, term_total bigint, idf double, gen int"
-DOC_STATS = "doc_id bigint, dl bigint, norm double, gen int"
-CORPUS_STATS = ("n_docs bigint, sum_dl bigint, n_postings bigint, n_buckets int, "
-                "idf_base string, stemming boolean, base_gen int, gen int")
+TERM_STATS = "bucket int, term string, df bigint, term_total bigint, gen int"
+DOC_STATS = "doc_id bigint, dl bigint, gen int"
+INBOX_LOG = "file string, gen int"
+CORPUS_STATS = ("n_docs bigint, sum_dl bigint, n_postings bigint, n_buckets int, idf_base string, stemming boolean, "
+                "gens array<int>, sizes array<bigint>, norms string, norm_buckets int, gen int")

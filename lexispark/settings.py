@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # A table may be broadcast while it stays below both bounds.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Literals of one column filter that Parquet is asked for one by one; above this Spark passes on their range only.
+PUSHED_LITERALS = 256
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -41,3 +43,10 @@ def materialize(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(_shared_folder(spark))
     return df.checkpoint()
+
+
+def push_literals(spark: SparkSession) -> None:
+    """Let filters with up to PUSHED_LITERALS values reach the pages of Parquet files as they are."""
+    key = "spark.sql.parquet.pushdown.inFilterThreshold"
+    if int(spark.conf.get(key)) < PUSHED_LITERALS:
+        spark.conf.set(key, str(PUSHED_LITERALS))
