@@ -10,6 +10,7 @@ import re
 from lexispark.functions.text import FUSED_WORDS, STOPWORDS, TOKEN_PATTERN
 
 from catalog.fixtures import COVERAGE, LINK
+from catalog.porter2 import stem_ctes
 
 
 def quoted(text: str) -> str:
@@ -90,6 +91,22 @@ FROM (SELECT page_id, unnest(texts) AS text, generate_subscripts(texts, 1) AS po
 cte("views_by_doc", "SELECT user_id AS doc_id, count(*)::BIGINT AS views FROM events GROUP BY user_id")
 cte("rank_by_doc", "SELECT c_custkey AS doc_id, c_acctbal AS page_rank FROM customer")
 
+
+
+def statistics_sql(field: str) -> str:
+    return f"""
+SELECT term, count(*)::BIGINT AS df, sum(tf)::BIGINT AS term_total,
+       ln((SELECT n_docs FROM {field}_corpus) / count(*)) AS idf
+FROM {field}_postings GROUP BY term"""
+
+
+def norms_sql(field: str) -> str:
+    return f"""
+SELECT doc_id, sqrt(sum((tf / dl * idf) * (tf / dl * idf))) AS norm
+FROM {field}_postings JOIN {field}_stats USING (term) JOIN {field}_lengths USING (doc_id)
+WHERE dl > 0 GROUP BY doc_id"""
+
+
 for field in ("body", "title"):
     cte(f"{field}_postings", f"""
 SELECT term, doc_id, count(*)::BIGINT AS tf
@@ -97,14 +114,8 @@ FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), {quoted(TOKEN_PATTER
 WHERE term NOT IN ({STOP}) GROUP BY ALL""")
     cte(f"{field}_lengths", f"SELECT doc_id, len({words('text')})::BIGINT AS dl FROM {field}_docs")
     cte(f"{field}_corpus", f"SELECT count(*)::BIGINT AS n_docs, avg(dl) AS avgdl FROM {field}_lengths")
-    cte(f"{field}_stats", f"""
-SELECT term, count(*)::BIGINT AS df, sum(tf)::BIGINT AS term_total,
-       ln((SELECT n_docs FROM {field}_corpus) / count(*)) AS idf
-FROM {field}_postings GROUP BY term""")
-    cte(f"{field}_norms", f"""
-SELECT doc_id, sqrt(sum((tf / dl * idf) * (tf / dl * idf))) AS norm
-FROM {field}_postings JOIN {field}_stats USING (term) JOIN {field}_lengths USING (doc_id)
-WHERE dl > 0 GROUP BY doc_id""")
+    cte(f"{field}_stats", statistics_sql(field))
+    cte(f"{field}_norms", norms_sql(field))
 
 cte("link_counts", f"""
 SELECT source_id, pos, doc_id, term, count(*)::BIGINT AS tf
@@ -119,8 +130,23 @@ for kind in ("words", "patterns"):
     cte(f"query_{kind}", f"""
 SELECT query_id, unnest(tokens) AS term, (generate_subscripts(tokens, 1) - 1)::INTEGER AS pos
 FROM asked_{kind}""")
-cte("pattern_counts", "SELECT query_id, term, count(*)::BIGINT AS qtf FROM query_patterns GROUP BY ALL")
-cte("pattern_lengths", "SELECT query_id, sum(qtf)::BIGINT AS length FROM pattern_counts GROUP BY ALL")
+
+# ---- the same, stemmed ------------------------------------------------------------------
+
+cte("words_to_stem", "SELECT term FROM body_postings UNION SELECT term FROM title_postings "
+    "UNION SELECT term FROM query_words UNION SELECT term FROM query_patterns")
+for name, text in stem_ctes("words_to_stem").items():
+    cte(name, text)
+for kind in ("words", "patterns"):
+    cte(f"query_{kind}_stemmed", f"SELECT query_id, stem AS term, pos FROM query_{kind} JOIN stems USING (term)")
+for field in ("body", "title"):
+    cte(f"{field}_stemmed_postings", f"SELECT stem AS term, doc_id, sum(tf)::BIGINT AS tf FROM {field}_postings "
+        "JOIN stems USING (term) GROUP BY ALL")
+    cte(f"{field}_stemmed_lengths", f"SELECT * FROM {field}_lengths")
+    cte(f"{field}_stemmed_corpus", f"SELECT * FROM {field}_corpus")
+    cte(f"{field}_stemmed_stats", statistics_sql(f"{field}_stemmed"))
+    cte(f"{field}_stemmed_norms", norms_sql(f"{field}_stemmed"))
+
 cte("relevant", f"""
 SELECT query_id, doc_id
 FROM pattern_counts JOIN body_postings USING (term)
@@ -145,24 +171,27 @@ def ranked(hits: str, n: int | None, score: str = "score") -> str:
             f"ORDER BY {score} DESC, doc_id)::{kind} AS rank FROM ({hits}){cut}")
 
 
-def tfidf_weights(field: str) -> str:
+def tfidf_weights(field: str, patterns: str) -> str:
     return f"""
 SELECT query_id, doc_id, term, sum(tf / dl * idf) AS w_d
-FROM (SELECT DISTINCT query_id, term FROM query_patterns) JOIN {field}_postings USING (term)
+FROM (SELECT DISTINCT query_id, term FROM {patterns}) JOIN {field}_postings USING (term)
 JOIN {field}_lengths USING (doc_id) JOIN {field}_stats USING (term)
 WHERE dl > 0 GROUP BY ALL"""
 
 
-cte("document_weights", tfidf_weights("body"))
-cte("query_weights", """
+for field, patterns, tag in (("body", "query_patterns", ""), ("body_stemmed", "query_patterns_stemmed", "_stemmed")):
+    cte(f"pattern_counts{tag}", f"SELECT query_id, term, count(*)::BIGINT AS qtf FROM {patterns} GROUP BY ALL")
+    cte(f"pattern_lengths{tag}", f"SELECT query_id, sum(qtf)::BIGINT AS length FROM pattern_counts{tag} GROUP BY ALL")
+    cte(f"document_weights{tag}", tfidf_weights(field, patterns))
+    cte(f"query_weights{tag}", f"""
 SELECT query_id, term, qtf / length * log10((SELECT n_docs FROM body_corpus) / (df + 0.0000001)) AS w_q
-FROM pattern_counts JOIN pattern_lengths USING (query_id) JOIN body_stats USING (term)""")
-cte("cosines", """
+FROM pattern_counts{tag} JOIN pattern_lengths{tag} USING (query_id) JOIN {field}_stats USING (term)""")
+    cte(f"cosines{tag}", f"""
 SELECT query_id, doc_id, round(sum(w_d * w_q) / (any_value(norm) * any_value(query_norm)), 6) AS score
-FROM document_weights JOIN query_weights USING (query_id, term)
-JOIN (SELECT query_id, sqrt(sum(w_q * w_q)) AS query_norm FROM query_weights GROUP BY ALL) USING (query_id)
-JOIN body_norms USING (doc_id) GROUP BY query_id, doc_id""")
-cte("body_tfidf_100", ranked("SELECT * FROM cosines", 100))
+FROM document_weights{tag} JOIN query_weights{tag} USING (query_id, term)
+JOIN (SELECT query_id, sqrt(sum(w_q * w_q)) AS query_norm FROM query_weights{tag} GROUP BY ALL) USING (query_id)
+JOIN {field}_norms USING (doc_id) GROUP BY query_id, doc_id""")
+    cte(f"{field}_tfidf_100", ranked(f"SELECT * FROM cosines{tag}", 100))
 
 
 def bm25(field: str, k1: float, b: float, terms: str = "query_words", extra: str = "") -> str:
@@ -181,6 +210,8 @@ for name, k1, b in (("default", "2.0::DOUBLE", "0.75::DOUBLE"), ("tuned", "1.5::
     for field in ("body", "title"):
         cte(f"{field}_bm25_{name}", bm25(field, k1, b))
         cte(f"{field}_bm25_{name}_100", ranked(f"SELECT * FROM {field}_bm25_{name}", 100))
+        cte(f"{field}_stemmed_bm25_{name}", bm25(f"{field}_stemmed", k1, b, "query_words_stemmed"))
+        cte(f"{field}_stemmed_bm25_{name}_100", ranked(f"SELECT * FROM {field}_stemmed_bm25_{name}", 100))
 
 
 def with_links(field: str) -> str:
@@ -231,6 +262,9 @@ def signals(name: str, body: str, title: str) -> None:
 
 
 signals("fused", "body_bm25_tuned_100", "title_bm25_tuned_100")
+signals("stemmed", "body_stemmed_bm25_tuned_100", "title_stemmed_bm25_tuned_100")
+cte("ultimate_stemmed", merged({"body_stemmed_bm25_tuned_100": 0.8, "title_stemmed_bm25_tuned_100": 0.8,
+                                "stemmed_ranks": 0.5, "stemmed_views": 0.5}, 5, True))
 signals("linked", "body_bm25_linked_100", "title_bm25_linked_100")
 cte("both_bm25", merged({"body_bm25_default_100": 0.5, "title_bm25_default_100": 0.5}, 20, False))
 cte("tfidf_and_title", merged({"body_tfidf_100": 0.5, "title_bm25_default_100": 0.5}, 20, False))
@@ -276,7 +310,7 @@ SELECT query_id, n_true,
        count(DISTINCT doc_id) FILTER (hit) AS n_common,
        min(rank) FILTER (hit AND rank <= {k}) AS first_hit,
        count(rank) > 0 AS answered,
-       coalesce(round_even(avg({places('so_far / rank')}) FILTER (hit AND rank <= {k}) * 1000, 0) / 1000, 0) AS map,
+       coalesce(round_even(avg(round({places('so_far / rank')} * 1000)) FILTER (hit AND rank <= {k}), 0) / 1000, 0) AS map,
        coalesce({places(f'avg(so_far / rank) FILTER (hit AND rank <= {k})')}, 0) AS ap
 FROM n_relevant LEFT JOIN {judged} USING (query_id, n_true) GROUP BY query_id, n_true"""
 
@@ -323,15 +357,37 @@ FROM {queries} q JOIN {vectors} v ON q.id <> v.id QUALIFY rank <= {n}"""
 
 cte("embedded", "SELECT vec_id AS id, embedding::DOUBLE[] AS vec FROM embeddings")
 cte("embedded_terms", "SELECT term AS id, vec FROM vectors")
-cte("asked_vectors", "SELECT id, vec FROM embedded_terms WHERE id IN (SELECT term FROM query_words)")
+cte("asked_vectors", "SELECT id, vec FROM embedded_terms WHERE id IN (SELECT term FROM query_words) "
+    "OR id IN (SELECT term FROM query_words_stemmed)")
 cte("near_words", neighbours("asked_vectors", "embedded_terms", 6))
-cte("expansions", f"""
-SELECT query_id, pos, rank, near_word FROM query_words q
-JOIN (SELECT query, rank, ({words('id')})[1] AS near_word FROM near_words WHERE similarity > 0.3) n
+for tag, field in (("", "body"), ("_stemmed", "body_stemmed")):
+    for n in (3, 6):
+        cte(f"expansions{tag}_{n}", f"""
+SELECT query_id, pos, rank, near_word FROM query_words{tag} q
+JOIN (SELECT query, rank, ({words('id')})[1] AS near_word FROM near_words WHERE similarity > 0.3 AND rank <= {n}) n
   ON n.query = q.term WHERE near_word IS NOT NULL""")
-cte("expanded_terms", "SELECT query_id, term FROM query_words UNION ALL SELECT query_id, near_word FROM expansions")
-cte("expanded_bm25", bm25("body", "2.0::DOUBLE", "0.75::DOUBLE", "expanded_terms"))
-cte("expanded_bm25_100", ranked("SELECT * FROM expanded_bm25", 100))
+        cte(f"expanded_terms{tag}_{n}", f"SELECT query_id, term FROM query_words{tag} "
+            f"UNION ALL SELECT query_id, near_word FROM expansions{tag}_{n}")
+        cte(f"expanded_bm25{tag}_{n}", bm25(field, "2.0::DOUBLE", "0.75::DOUBLE", f"expanded_terms{tag}_{n}"))
+        cte(f"expanded_bm25{tag}_{n}_100", ranked(f"SELECT * FROM expanded_bm25{tag}_{n}", 100))
+
+
+# ---- the grid over every parameter ------------------------------------------------------
+
+GRID_RUNS = [("body_bm25_default_100", False, (3, 6), False), ("body_stemmed_bm25_default_100", False, (3, 6), True),
+             *[(f"expanded_bm25{'_stemmed' * stemming}_{n}_100", True, (n,), stemming) for stemming in (False, True) for n in (3, 6)]]
+grid_rows = []
+for i, (hits, expand, similar, stemming) in enumerate(GRID_RUNS):
+    for n in (10, 100):
+        cte(f"grid_{i}_{n}", measured("(" + judged_hits(f"(SELECT * FROM {hits} WHERE rank <= {n})") + ")"))
+        grid_rows += [f"SELECT {n} AS num_results, {expand} AS expand, {w} AS similar_words, {stemming} AS stemming, query_id, map "
+                      f"FROM grid_{i}_{n}" for w in similar]
+cte("grid_all", f"""
+SELECT fold, num_results::INTEGER AS num_results, expand, similar_words::INTEGER AS similar_words,
+       0.3::DOUBLE AS min_similarity, stemming,
+       round(coalesce(avg(map) FILTER (is_train), 0), 6) AS train_map,
+       round(coalesce(avg(map) FILTER (NOT is_train), 0), 6) AS test_map
+FROM ({" UNION ALL ".join(grid_rows)}) JOIN splits USING (query_id) GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY fold, num_results, expand, similar_words, stemming"))
 
 
 def posting_list_sql(postings: str, block_docs: int) -> str:
@@ -351,7 +407,8 @@ def statements() -> dict[str, str]:
         "read_page_rank": "SELECT doc_id, page_rank FROM rank_by_doc",
         "read_page_views": "SELECT doc_id, views FROM views_by_doc",
         "read_titles": "SELECT doc_id, title FROM titled",
-        "read_qrels": "SELECT query, doc_id FROM relevant JOIN asked USING (query_id)",
+        "read_qrels": "SELECT query, (row_number() OVER (PARTITION BY query, doc_id // 65536 ORDER BY doc_id) - 1)::INTEGER AS pos, "
+                      "doc_id FROM relevant JOIN asked USING (query_id)",
         "write_index": f"SELECT ({bucket('term', 124)})::INTEGER AS bucket, count(*)::BIGINT AS n_postings, "
                        "count(DISTINCT term)::BIGINT AS n_terms FROM body_postings GROUP BY ALL",
         "write_stats": "SELECT term, df, term_total, round(idf, 6) AS idf FROM body_stats",
@@ -385,12 +442,17 @@ def statements() -> dict[str, str]:
         "re_process_queries": "SELECT query_id, pos, term FROM query_patterns",
         "query_tfidf": "SELECT query_id, term, round(w_q, 6) AS w_q FROM query_weights",
         "expand_query": "SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY pos, rank)::INTEGER AS pos, "
-                        "near_word AS term FROM expansions",
+                        "near_word AS term FROM expansions_6",
         "most_similar": f"SELECT query, id, similarity, rank FROM ({neighbours('embedded', 'embedded', 6)})",
         "candidate_documents": "SELECT DISTINCT query_id, doc_id FROM pattern_counts JOIN body_postings USING (term)",
         "candidate_tfidf": "SELECT query_id, doc_id, term, round(w_d, 6) AS w_d FROM document_weights",
-        "document_tfidf_matrix": "SELECT query_id, doc_id, string_agg(term, ' ' ORDER BY term) AS terms, "
-                                 "round(sum(w_d), 6) AS total FROM document_weights GROUP BY ALL",
+        "document_tfidf_matrix": "SELECT query_id, doc_id, string_agg(term || ':' || round(w_d * 1000000)::BIGINT, ' ' ORDER BY term) "
+                                 "AS weights FROM document_weights GROUP BY ALL",
+        "document_tfidf_dense": "SELECT f.query_id, f.doc_id, string_agg(round(coalesce(w_d, 0) * 1000000)::BIGINT::VARCHAR, ' ' "
+                                "ORDER BY p.term) AS weights FROM (SELECT DISTINCT query_id, doc_id FROM document_weights) f "
+                                "JOIN (SELECT DISTINCT query_id, term FROM document_weights) p USING (query_id) "
+                                "LEFT JOIN document_weights c ON c.query_id = f.query_id AND c.doc_id = f.doc_id "
+                                "AND c.term = p.term GROUP BY f.query_id, f.doc_id",
         "cosine_similarity": "SELECT query_id, doc_id, score FROM cosines",
         "top_n": hit_rows("body_tfidf_100"),
         "binary_ranking": "SELECT query_id, doc_id, score FROM title_matches",
@@ -421,7 +483,7 @@ def statements() -> dict[str, str]:
         "union_candidates": "SELECT query_id, doc_id FROM fused_ids",
         "search_body_tfidf": hit_rows("body_tfidf_100"),
         "search_body_bm25": hit_rows("body_bm25_default_100"),
-        "search_body_bm25_expanded": hit_rows("expanded_bm25_100"),
+        "search_body_bm25_expanded": hit_rows("expanded_bm25_6_100"),
         "search_body": titled_hits("body_tfidf_100"),
         "search_body_type_bm25": titled_hits("body_bm25_default_100"),
         "search_title_bm25": hit_rows("title_bm25_default_100"),
@@ -457,6 +519,14 @@ def statements() -> dict[str, str]:
                          "round(avg(ap) FILTER (answered), 6) AS mean_ap FROM measures",
         "shuffle_split": "SELECT fold, query_id, is_train FROM splits",
         "grid_search": "SELECT * FROM grid_results",
+        "grid_search_all": "SELECT * FROM grid_all",
+        "stem_terms": "SELECT DISTINCT term, stem FROM body_postings JOIN stems USING (term)",
+        "posting_lists_stemmed": posting_list_sql("body_stemmed_postings", 65536),
+        "process_queries_stemmed": "SELECT query_id, pos, term FROM query_words_stemmed",
+        "re_process_queries_stemmed": "SELECT query_id, pos, term FROM query_patterns_stemmed",
+        "search_body_tfidf_stemmed": hit_rows("body_stemmed_tfidf_100"),
+        "search_body_bm25_stemmed": hit_rows("body_stemmed_bm25_default_100"),
+        "ultimate_search": titled_hits("ultimate_stemmed"),
         "best_params": "SELECT num_results, expand, similar_words, min_similarity, stemming, "
                        "round(avg(train_map), 6) AS train_map, round(avg(test_map), 6) AS test_map "
                        "FROM grid_results GROUP BY ALL ORDER BY train_map DESC, num_results LIMIT 1",
@@ -464,7 +534,7 @@ def statements() -> dict[str, str]:
                                "6.0::DOUBLE AS similar_words, 0.7::DOUBLE AS min_similarity, 0.0::DOUBLE AS stemming "
                                "FROM grid_results WHERE train_map > 0",
     }
-    for name in ("add_documents_stream", "rebuild_index", "add_documents_repeated"):
+    for name in ("add_documents_stream", "add_documents_stream_steps", "rebuild_index", "add_documents_repeated", "compact_index"):
         sql[name] = sql["add_documents"]
     return {name: with_ctes(text) for name, text in sql.items()}
 

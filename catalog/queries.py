@@ -14,7 +14,7 @@ from lexispark.operators.matching import inspect_batch, lookup_linked, lookup_po
 from lexispark.operators.postings import (
     anchor_postings, count_words, explode_anchors, merge_posting_lists, posting_lists, term_bucket)
 from lexispark.operators.similarity import most_similar
-from lexispark.plans.build import add_documents, build_index
+from lexispark.plans.build import add_documents, build_index, compact_index
 from lexispark.sources import readers
 from lexispark.sources.index_store import scan_posting_lists
 from lexispark.streaming.ingest import ingest_tokens, publish_inbox, stream_documents
@@ -89,7 +89,7 @@ def read_qrels(spark, sf_dir):
         lines = blocks.select(F.to_json(F.create_map("query", "doc_ids")).alias("value"))
         lines.write.mode("overwrite").text(location)
         return location
-    return readers.read_qrels(spark, fx.once(spark, sf_dir, "qrels_json", write)).select("query", "doc_id")
+    return readers.read_qrels(spark, fx.once(spark, sf_dir, "qrels_json", write))
 
 
 @registered
@@ -281,6 +281,35 @@ def add_documents_stream(spark, sf_dir):
     return _index_rows(fx.once(spark, sf_dir, "streamed", write))
 
 
+@registered
+def add_documents_stream_steps(spark, sf_dir):
+    """An index of the English documents, and the others from two steps of one stream."""
+    def write(location):
+        docs = fx.table(spark, sf_dir, "documents")
+        english = F.coalesce(F.col("lang") == "en", F.lit(False))
+        build_index(docs.where(english).select("doc_id", "text"), location)
+        source, inbox = f"{location}_source", f"{location}_inbox"
+        for part in (F.col("doc_id") % 2 == 0, F.col("doc_id") % 2 == 1):
+            docs.where(part).select("doc_id", "text").write.mode("append").parquet(source)
+            ingest_tokens(stream_documents(spark, source), inbox, f"{location}_checkpoint").awaitTermination()
+            index = publish_inbox(spark, inbox, location)
+        return index
+    return _index_rows(fx.once(spark, sf_dir, "streamed_steps", write))
+
+
+@registered
+def compact_index_query(spark, sf_dir):
+    """An index of four generations, merged into one."""
+    def write(location):
+        docs = fx.table(spark, sf_dir, "documents").select("doc_id", "text")
+        slot = F.pmod(F.xxhash64("doc_id"), F.lit(4))
+        build_index(docs.where(slot == 0), location)
+        for k in (1, 2, 3):
+            add_documents(docs.where(slot <= k), location)
+        return compact_index(spark, location)
+    return _index_rows(fx.once(spark, sf_dir, "compacted", write))
+
+
 # ---- query processing -------------------------------------------------------------------
 
 def _pattern_terms(spark, sf_dir):
@@ -350,13 +379,23 @@ def candidate_tfidf(spark, sf_dir):
     return _rounded(scoring.candidate_tfidf(matches), "w_d")
 
 
+def _millionths(weight):
+    return F.round(weight * 1_000_000).cast("bigint")
+
+
 @registered
 def document_tfidf_matrix(spark, sf_dir):
     matches = _pattern_matches(spark, sf_dir, fx.body_index(spark, sf_dir))
     matrix = scoring.document_tfidf_matrix(scoring.candidate_tfidf(matches))
-    total = F.aggregate(F.map_values("weights"), F.lit(0.0), lambda a, w: a + w)
-    return matrix.select("query_id", "doc_id", F.concat_ws(" ", F.map_keys("weights")).alias("terms"),
-                         F.round(total, 6).alias("total"))
+    cells = F.transform(F.map_entries("weights"), lambda e: F.concat_ws(":", e["key"], _millionths(e["value"])))
+    return matrix.select("query_id", "doc_id", F.concat_ws(" ", cells).alias("weights"))
+
+
+@registered
+def document_tfidf_dense(spark, sf_dir):
+    matches = _pattern_matches(spark, sf_dir, fx.body_index(spark, sf_dir))
+    matrix = scoring.dense_tfidf_matrix(scoring.candidate_tfidf(matches))
+    return matrix.select("query_id", "doc_id", F.concat_ws(" ", F.transform("weights", _millionths)).alias("weights"))
 
 
 def _cosines(spark, sf_dir):

@@ -19,9 +19,9 @@ def _places(value: Column) -> Column:
 
 
 def _mean_of_rounded(value: Column) -> Column:
-    """Mean of an array, rounded by scaling to an integer (half to even)."""
-    total = F.aggregate(value, F.lit(0.0), lambda a, x: a + x)
-    return F.rint(total / F.size(value) * 1000) / 1000
+    """Mean of an array of rounded values, rounded again (half to even); summed as whole thousandths, so that a tie is one."""
+    total = F.aggregate(value, F.lit(0.0), lambda a, x: a + F.rint(x * 1000))
+    return F.rint(total / F.size(value)) / 1000
 
 
 def count_hits(hits: DataFrame, qrels: DataFrame, k: int = K, run: Sequence[str] = ()) -> DataFrame:

@@ -32,6 +32,18 @@ def document_tfidf_matrix(weights: DataFrame) -> DataFrame:
     return weights.groupBy("query_id", "doc_id").agg(F.map_from_entries(entries).alias("weights"))
 
 
+def dense_tfidf_matrix(weights: DataFrame) -> DataFrame:
+    """(query_id, doc_id, terms, weights): the dense form, one weight per candidate term of the query, 0.0 where a document lacks it.
+
+    The columns of a query's matrix are its terms with any candidate, in order: as many as the query has
+    words. Documents are not gathered; the short column list meets each of their rows.
+    """
+    columns = weights.groupBy("query_id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
+    cells = F.transform("terms", lambda t: F.coalesce(F.try_element_at("weights", t), F.lit(0.0)))
+    return document_tfidf_matrix(weights).join(columns, "query_id").select(
+        "query_id", "doc_id", "terms", cells.alias("weights"))
+
+
 def cosine_similarity(weighted: DataFrame, norms: DataFrame) -> DataFrame:
     """(query_id, doc_id, score) from rows with ``w_d``, ``w_q`` and ``query_norm`` per term.
 
