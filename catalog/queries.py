@@ -401,7 +401,7 @@ def document_tfidf_dense(spark, sf_dir):
 def _cosines(spark, sf_dir):
     index = fx.body_index(spark, sf_dir)
     counts = query_terms.term_counts(_pattern_terms(spark, sf_dir))
-    batch = inspect_batch(counts, index.n_buckets)
+    batch = inspect_batch(counts, index.n_buckets, index.n_postings)
     known = query_terms.weigh_query_terms(lookup_statistics(index, counts, batch), index.n_docs)
     weighted = lookup_postings(index, known, batch).withColumn("w_d", statistics.length_weight())
     return scoring.cosine_similarity(weighted.where(F.col("w_d").isNotNull()), index.norms)
@@ -426,7 +426,7 @@ def binary_ranking_distinct(spark, sf_dir):
 def bm25_idf(spark, sf_dir):
     index = fx.body_index(spark, sf_dir)
     terms = _word_terms(spark, sf_dir)
-    known = lookup_statistics(index, terms, inspect_batch(terms, index.n_buckets))
+    known = lookup_statistics(index, terms, inspect_batch(terms, index.n_buckets, index.n_postings))
     return known.select("query_id", "term", F.round(scoring.bm25_idf(index.n_docs), 6).alias("idf"))
 
 
@@ -441,7 +441,7 @@ def term_candidates_anchor(spark, sf_dir):
     """Title postings plus the documents found by link text only."""
     index, anchor = fx.title_index(spark, sf_dir), fx.anchor_index(spark, sf_dir)
     terms = _word_terms(spark, sf_dir)
-    batch = inspect_batch(terms, index.n_buckets)
+    batch = inspect_batch(terms, index.n_buckets, index.n_postings)
     known = lookup_statistics(index, terms, batch)
     candidates = scoring.term_candidates(
         lookup_postings(index, known, batch), lookup_linked(anchor, known, batch), index.lengths)

@@ -1,6 +1,6 @@
 """Query terms against a stored index.
 
-A batch of up to LITERAL_TERMS distinct terms is turned into filters: groups of terms that are next to
+A batch of up to LITERAL_TERMS distinct terms, few for the size of the index, is turned into filters: groups of terms that are next to
 each other in the order of the files, each read by a scan of its own with the buckets and the terms as
 literals. Buckets prune folders and terms skip pages, also where a batch touches every bucket.
 """
@@ -19,6 +19,8 @@ from lexispark.sources.index_store import InvertedIndex
 
 # Distinct terms of a batch that become literals of its plan, and the bytes they may take.
 LITERAL_TERMS, LITERAL_BYTES = 4096, 1 << 20
+# Postings of an index for each literal: in a smaller index a scan costs less than so many filters. The rows are the same.
+POSTINGS_PER_LITERAL = 20_000
 
 
 @dataclass(frozen=True)
@@ -42,13 +44,19 @@ class Batch:
         if self.terms is None or n_buckets != self.n_buckets:
             return table.where(self.in_buckets(n_buckets)).drop("bucket")
         groups = [self.terms[i:i + PUSHED_LITERALS] for i in range(0, len(self.terms), PUSHED_LITERALS)]
-        scans = [table.where(F.col("bucket").isin(sorted({b for b, _ in group})) & F.col("term").isin([t for _, t in group]))
+        scans = [table.where(F.col("bucket").isin(sorted({b for b, _ in group})) & F.expr(f"term IN ({_literals(group)})"))
                  for group in groups]
         return (reduce(DataFrame.unionByName, scans) if scans else table.where(F.lit(False))).drop("bucket")
 
 
-def inspect_batch(terms: DataFrame, n_buckets: int) -> Batch:
-    """Rows, bytes, touched buckets and, if they are few, distinct terms of ``terms(query_id, term)``."""
+def _literals(group: tuple[tuple[int, str], ...]) -> str:
+    """The terms of a group as SQL: one expression, not a call for each literal."""
+    return ", ".join("'" + term.replace("\\", "\\\\").replace("'", "\\'") + "'" for _, term in group)
+
+
+def inspect_batch(terms: DataFrame, n_buckets: int, n_postings: int | None = None) -> Batch:
+    """Rows, bytes, touched buckets and, if they are few for ``n_postings``, distinct terms of ``terms(query_id, term)``."""
+    most = LITERAL_TERMS if n_postings is None else min(LITERAL_TERMS, n_postings // POSTINGS_PER_LITERAL)
     row = terms.agg(
         F.count("*").alias("rows"), F.count_distinct("query_id").alias("queries"),
         F.approx_count_distinct("term").alias("terms"),
@@ -56,10 +64,10 @@ def inspect_batch(terms: DataFrame, n_buckets: int) -> Batch:
         F.array_sort(F.collect_set(term_bucket("term", n_buckets))).alias("buckets")).first()
     small = row.rows <= BROADCAST_ROWS and row.bytes <= BROADCAST_BYTES
     known = None
-    if small and row.terms <= 2 * LITERAL_TERMS:
+    if small and row.terms <= 2 * most:
         found = terms.where("term is not null").select(term_bucket("term", n_buckets).alias("bucket"), "term").distinct().limit(
-            LITERAL_TERMS + 1).collect()
-        if len(found) <= LITERAL_TERMS and sum(len(r.term) for r in found) <= LITERAL_BYTES:
+            most + 1).collect()
+        if len(found) <= most and sum(len(r.term) for r in found) <= LITERAL_BYTES:
             known = tuple(sorted((r.bucket, r.term) for r in found))
     return Batch(row.queries, small, n_buckets, tuple(row.buckets), known)
 
@@ -93,5 +101,5 @@ def lookup_linked(index: InvertedIndex, known_terms: DataFrame, batch: Batch) ->
 
 def match_terms(index: InvertedIndex, terms: DataFrame, batch: Batch | None = None) -> DataFrame:
     """Postings of the query terms that occur in the index, statistics attached."""
-    batch = batch or inspect_batch(terms, index.n_buckets)
+    batch = batch or inspect_batch(terms, index.n_buckets, index.n_postings)
     return lookup_postings(index, lookup_statistics(index, terms, batch), batch)

@@ -152,7 +152,7 @@ class SearchEngine:
     def _tfidf(self, queries: DataFrame, stemming: bool, n: int) -> Hits:
         index = self.body_stemmed if stemming else self.body
         counts = term_counts(re_process_queries(queries, stemming))
-        batch = inspect_batch(counts, index.n_buckets)
+        batch = inspect_batch(counts, index.n_buckets, index.n_postings)
         known = weigh_query_terms(lookup_statistics(index, counts, batch), index.n_docs)
         matches = lookup_postings(index, known, batch)
         weighted = matches.withColumn("w_d", length_weight()).where(F.col("w_d").isNotNull())
@@ -167,7 +167,7 @@ class SearchEngine:
         if expand:
             # The neighbour search is the costly part; the size check must not repeat it.
             terms = materialize(terms)
-        batch = inspect_batch(terms, index.n_buckets)
+        batch = inspect_batch(terms, index.n_buckets, index.n_postings)
         known = lookup_statistics(index, terms, batch)
         matches = lookup_postings(index, known, batch)
         if add_anchor:

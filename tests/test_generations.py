@@ -51,6 +51,7 @@ def scanned(df, column):
 
 def test_a_batch_in_every_bucket_reads_few_postings(spark, rows, tmp_path, monkeypatch):
     monkeypatch.setattr(index_store, "PAGE_ROWS", 50)
+    monkeypatch.setattr(matching, "POSTINGS_PER_LITERAL", 100)
     index = build_index(spark.createDataFrame(corpus(800), DOCS).repartition(4), str(tmp_path / "index"), n_buckets=8)
     names = [r.term for r in index.term_stats.orderBy("df", "term").limit(40).collect()]
     terms = spark.createDataFrame([(i % 7, t) for i, t in enumerate(names + ["missing"])], "query_id bigint, term string")
@@ -63,6 +64,8 @@ def test_a_batch_in_every_bucket_reads_few_postings(spark, rows, tmp_path, monke
     monkeypatch.setattr(matching, "LITERAL_TERMS", 10)
     whole = match_terms(index, terms)
     assert inspect_batch(terms, index.n_buckets).terms is None
+    monkeypatch.setattr(matching, "LITERAL_TERMS", 4096)
+    assert inspect_batch(terms, index.n_buckets, 41 * 100 - 1).terms is None and inspect_batch(terms, index.n_buckets, 41 * 100).terms
     columns = ["query_id", "term", "doc_id", "tf", "dl", "df", "term_total"]
     assert rows(found, *columns) == rows(whole, *columns) and sum(scanned(whole, "tf")) >= index.n_postings
 
@@ -72,6 +75,7 @@ def test_groups_of_terms_cover_the_batch_once(spark, rows, tmp_path, monkeypatch
     names = [r.term for r in index.term_stats.collect()]
     terms = spark.createDataFrame([(1, t) for t in names] + [(2, names[0]), (3, None)], "query_id bigint, term string")
     want = rows(index.postings.select("term", "doc_id"))
+    monkeypatch.setattr(matching, "POSTINGS_PER_LITERAL", 1)
     for size in (1000, 7):
         monkeypatch.setattr(matching, "PUSHED_LITERALS", size)
         assert rows(match_terms(index, terms).where("query_id = 1").select("term", "doc_id")) == want
@@ -82,6 +86,13 @@ def test_groups_of_terms_cover_the_batch_once(spark, rows, tmp_path, monkeypatch
     assert rows(matched, "query_id", "term", "doc_id") == rows(match_terms(index, terms), "query_id", "term", "doc_id")
 
 
+def test_terms_with_quotes_are_literals(spark):
+    odd = ["it's", "a\\b", "'", "\\'", "x\"y"]
+    table = spark.createDataFrame([(i % 2, t) for i, t in enumerate([*odd, "its", "b"])], "bucket int, term string")
+    batch = matching.Batch(1, True, 2, (0, 1), tuple(sorted((i % 2, t) for i, t in enumerate(odd))))
+    assert sorted(r.term for r in batch.rows_of(table, 2).collect()) == sorted(odd)
+
+
 # ---- additions and compaction -----------------------------------------------------------
 
 def searches(spark, index, rows):
