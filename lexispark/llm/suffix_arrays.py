@@ -17,10 +17,11 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     key = np.zeros(n, np.uint64)
     for i in range(8):
         key = (key << np.uint64(8)) | padded[i:n + i]
-    order = np.argsort(key, kind="stable").astype(np.int64)
+    order = np.argsort(key, kind="stable").astype(np.int32)
     new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]]) if n else np.empty(0, bool)
-    heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank = np.empty(n + 1, np.int64)
+    del key, padded
+    heads = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
+    rank = np.empty(n + 1, np.int32)
     rank[order] = heads
     rank[n] = -1
     sorted_to = 8
@@ -31,7 +32,7 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         suffix = order[open_at]
         group = rank[suffix]
         after = rank[np.minimum(suffix + reach - sorted_to, n)]
-        place = np.argsort(group * (n + 1) + after + 1, kind="stable")
+        place = np.argsort(group.astype(np.int64) * (n + 1) + after + 1, kind="stable")
         suffix, group, after = suffix[place], group[place], after[place]
         order[open_at] = suffix
         new = np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])

@@ -15,8 +15,8 @@ from .segments import dealt, repeated_segments, runs, segments, spans_of, varian
 from .suffix_arrays import window_classes
 from .tables import stored, tasks_for
 
-#: Bytes of one suffix array.
-SHARD_BYTES = 2 * 1024 * 1024
+#: Bytes of one suffix array: a task that sorts it takes about a hundred times as much.
+SHARD_BYTES = 512 * 1024
 #: Rows of one merge task.
 MERGE_ROWS = 200_000
 _FOUND = "anchor bigint, content bigint, lo int, hi int, print bigint, shard bigint"
