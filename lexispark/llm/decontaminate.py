@@ -19,7 +19,7 @@ GRAM, EDIT_RATE = 10, 0.08
 SEGMENT, STEP = 200, 25
 #: Characters of benchmark items that one pass holds in memory.
 BLOCK_CHARS = 2_000_000
-#: Hits that are dealt to regions at once, besides those of one text and item.
+#: Pairs of a place in a text and a place in an item that are held at once.
 HITS = 50_000
 _FILTER_BITS = 22
 
@@ -103,12 +103,17 @@ class GramIndex:
     item_of: np.ndarray
     place_of: np.ndarray
     present: np.ndarray
+    short: dict[str, list[int]]
 
     @classmethod
     def build(cls, rows: list[tuple[int, str]], segment: int = SEGMENT) -> GramIndex:
         line, starts = normalised([t or "" for _, t in rows])
         whole = [line[a:b - 1] for a, b in zip(starts[:-1], starts[1:])]
         whole = [c[:-1] if len(c) and c[-1] == 32 else c for c in whole]
+        short: dict[str, list[int]] = {}
+        for (i, _), c in zip(rows, whole):
+            if 0 < len(c) < GRAM:
+                short.setdefault(_string(c), []).append(i)
         kept = [(i, c) for (i, _), c in zip(rows, whole) if len(c) >= GRAM]
         items = [c for _, c in kept]
         size = [len(c) - GRAM + 1 for c in items]
@@ -122,7 +127,7 @@ class GramIndex:
         lengths = np.array([len(c) for c in items], np.int64)
         edits = np.array([[edit_budget(n), edit_budget(min(n, segment))] for n in lengths], np.int64).reshape(-1, 2)
         need = shared_grams(np.stack([lengths, np.minimum(lengths, segment)], 1), edits)
-        return cls([i for i, _ in kept], items, segment, lengths, edits, need, grams[order], item_of[order], place_of[order], present)
+        return cls([i for i, _ in kept], items, segment, lengths, edits, need, grams[order], item_of[order], place_of[order], present, short)
 
     def regions(self, item: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The regions that hold each gram, given by item and place: number of the gram, and region."""
@@ -145,58 +150,115 @@ class GramIndex:
     def matches(self, texts: list[str]) -> list[tuple[int, int, int, int]]:
         """(text number, item id, edits, start in the normalised text) of every text and item it holds."""
         line, starts = normalised(texts)
+        found = self._short(texts, line, starts)
         grams = gram_hashes(line)
         hit = np.flatnonzero(self.present[grams >> np.uint64(64 - _FILTER_BITS)])
         lo = np.searchsorted(self.grams, grams[hit], "left")
         count = np.searchsorted(self.grams, grams[hit], "right") - lo
-        total = int(count.sum())
-        if not total:
-            return []
-        entry = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(total)
-        place = np.repeat(hit, count)
-        item = self.item_of[entry]
-        text = np.searchsorted(starts, place, "right") - 1
+        hit, lo, count = hit[count > 0], lo[count > 0], count[count > 0]
+        text = np.searchsorted(starts, hit, "right") - 1
         # a pair with too few grams for its smallest region has no match
-        _, pair, hits = np.unique(text * len(self.items) + item, return_inverse=True, return_counts=True)
-        near = np.flatnonzero(hits[pair] >= self.need.min(1)[item])
-        near = near[np.argsort(pair[near], kind="stable")]
-        ends = np.flatnonzero(np.diff(pair[near])) + 1
-        ends = ends[np.unique(ends // HITS, return_index=True)[1]]
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for some in np.split(near, ends):
-            self._align(line, starts, text[some], item[some], place[some], self.place_of[entry[some]], best)
-        return [(t, self.ids[i], edits, max(low, 0)) for (t, i), (edits, low) in sorted(best.items())]
-
-    def _align(self, line: np.ndarray, starts: np.ndarray, text: np.ndarray, item: np.ndarray, place: np.ndarray,
-               at: np.ndarray, best: dict[tuple[int, int], tuple[int, int]]) -> None:
-        """Add to ``best`` the edits and start of all pairs of text and item among the hits that match."""
-        n_items, n_bands = len(self.items), 2 * len(line) + 2
-        gram, number = self.regions(item, at)
-        place, item, text, at = place[gram], item[gram], text[gram], at[gram]
-        # bands of width 2 (k + 1) overlap by half, so that all diagonals within k of each other share one
-        diagonal = place - at - starts[text] + len(line)
-        part = (number > 0).astype(np.int64)
-        band = diagonal // (self.edits[item, part] + 1)
-        n_regions = int(number.max(initial=0)) + 1
-        of, pair = np.unique(text * n_items + item, return_inverse=True)
-        own = (pair * n_regions + number) * n_bands + band
-        keys, counts = np.unique(np.concatenate([own, own - 1]), return_counts=True)
+        pairs, hits = _summed(text[own] * len(self.items) + self.item_of[entry] for own, entry in _expanded(lo, count))
+        pairs = pairs[hits >= self.need.min(1)[pairs % max(len(self.items), 1)]]
+        if len(pairs):
+            found += self._aligned(line, starts, hit, lo, count, text, pairs)
+        return sorted(found)
+
+    def _short(self, texts: list[str], line: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Items shorter than a gram: too little to be known inside running text, they have to be a line of their own."""
+        if not self.short:
+            return []
+        rows = [(number, row) for number, text in enumerate(texts) for row in text.split("\n")]
+        chars, bounds = normalised([row for _, row in rows])
+        size = np.diff(bounds) - 1
+        found = {}
+        for r in np.flatnonzero((size > 0) & (size <= GRAM)).tolist():
+            words = _string(chars[bounds[r]:bounds[r + 1] - 1]).rstrip(" ")
+            if words in self.short:
+                found[rows[r][0], words] = None
+        return [(number, item, 0, f" {_string(line[starts[number]:starts[number + 1] - 1])} ".find(f" {words} "))
+                for number, words in found for item in self.short[words]]
+
+    def _aligned(self, line: np.ndarray, starts: np.ndarray, hit: np.ndarray, lo: np.ndarray, count: np.ndarray,
+                 text_of_hit: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Count the hits of the given pairs of text and item in each region and band, and align where they are enough."""
+        n_items, longest = len(self.items), int(self.lengths.max())
+        zero = len(line) + longest  # diagonals are counted from here: none is negative
+        n_bands = 2 * zero + 2
+        n_regions = max(-(-(longest - self.segment) // STEP), 0) + 2
+
+        def bands():
+            for own, entry in _expanded(lo, count):
+                pair = text_of_hit[own] * n_items + self.item_of[entry]
+                at = np.searchsorted(pairs, pair)
+                near = np.flatnonzero(pairs[np.minimum(at, len(pairs) - 1)] == pair)
+                item, place = self.item_of[entry[near]], self.place_of[entry[near]]
+                gram, number = self.regions(item, place)
+                item, place, text, pair = item[gram], place[gram], text_of_hit[own[near]][gram], at[near][gram]
+                # bands of width 2 (k + 1) overlap by half, so that all diagonals within k of each other share one
+                diagonal = hit[own[near]][gram] - place - starts[text] + zero
+                band = diagonal // (self.edits[item, (number > 0).astype(np.int64)] + 1)
+                key = (pair * n_regions + number) * n_bands + band
+                yield np.concatenate([key, key - 1])
+
+        keys, counts = _summed(bands())
         pair, band = np.divmod(keys, n_bands)
         pair, number = np.divmod(pair, n_regions)
-        text, item = np.divmod(of[pair], n_items)
+        text, item = np.divmod(pairs[pair], n_items)
         good = np.flatnonzero(counts >= self.need[item, (number > 0).astype(np.int64)])
+        best: dict[tuple[int, int], tuple[int, int]] = {}
         whole: set[tuple[int, int]] = set()
         for t, i, n, b in zip(text[good].tolist(), item[good].tolist(), number[good].tolist(), band[good].tolist()):
             if best.get((t, i), (1, 0))[0] == 0 or n > 0 and (t, i) in whole:  # a pair's whole item comes first
                 continue
             start, size = self.region(i, n)
             k = int(self.edits[i, min(n, 1)])
-            low = b * (k + 1) - len(line) + start
+            low = b * (k + 1) - zero + start
             found = fitting_distance(self.items[i][start:start + size], line[starts[t]:starts[t + 1]], low - k, low + 2 * (k + 1) + k)
             if found <= k:
                 best[t, i] = min(best.get((t, i), (found, low)), (found, low))
                 if n == 0:
                     whole.add((t, i))
+        return [(t, self.ids[i], edits, max(low, 0)) for (t, i), (edits, low) in best.items()]
+
+
+def _string(chars: np.ndarray) -> str:
+    return chars.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _expanded(lo: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of the hits and their index entries, all pairs of one hit together, about HITS pairs at a time."""
+    ends = np.cumsum(count)
+    first = 0
+    while first < len(count):
+        last = max(int(np.searchsorted(ends, (ends[first - 1] if first else 0) + HITS, "right")), first + 1)
+        some = count[first:last]
+        before = np.cumsum(some) - some
+        yield (np.repeat(np.arange(first, last), some),
+               np.repeat(lo[first:last] - before, some) + np.arange(int(some.sum())))
+        first = last
+
+
+def _summed(parts: Iterator[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of all parts, ascending, and how often they occur; holds distinct keys and one part."""
+    keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def merge() -> tuple[np.ndarray, np.ndarray]:
+        every = np.concatenate([keys, *(k for k, _ in waiting)])
+        distinct, place = np.unique(every, return_inverse=True)
+        weight = np.concatenate([counts, *(c for _, c in waiting)])
+        return distinct, np.bincount(place, weight, len(distinct)).astype(np.int64)
+
+    for part in parts:
+        own = np.unique(part, return_counts=True)
+        waiting.append(own)
+        size += len(own[0])
+        if size > max(len(keys), 8 * HITS):
+            keys, counts = merge()
+            waiting, size = [], 0
+    return merge() if waiting else (keys, counts)
 
 
 def gram_hashes(chars: np.ndarray) -> np.ndarray:
@@ -228,7 +290,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, segment: int = SEGMENT) -> Data
     aligned. The benchmark is a stated query set: it passes over the documents in blocks of bounded
     size, whatever its own size. ``rid`` is the key of ``tables.row_key``.
 
-    Defined cases: items with null text or id, or shorter than a gram, match nothing; a null text
+    Items shorter than a gram are held where they are a line of their own. What is found in a text depends on that
+    text alone, not on those processed with it.
+
+    Defined cases: items with null text or id, or without letters and digits, match nothing; a null text
     holds nothing; repeated rows of documents are all reported, repeated items count once; other columns
     are ignored; with either table empty there are no rows.
     """
