@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
@@ -24,8 +24,8 @@ RIDGE = 1e-3
 #: of them reach.
 CLEAN_QUANTILE, LEEWAY = 0.01, 0.6
 _BUCKET_BITS = 18
-_LETTER = re.compile(r"[^\W\d_]")
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTER = regex.compile(r"\p{L}")
+_LETTERS = regex.compile(r"\p{L}+")
 _BATCH = 64
 
 
@@ -143,12 +143,14 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks: int
     those the first ``landmarks`` are landmarks. Texts without letters teach nothing. No rows: a
     model that answers ``und``.
     """
-    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.length("text")), "doc_id")
-    ids = usable.select("doc_id", "lang", F.row_number().over(order).alias("rank"), F.xxhash64("text").alias("hash")).where(
-        F.col("rank") <= per_language)
-    rows = usable.withColumn("hash", F.xxhash64("text")).join(
-        F.broadcast(ids), ["doc_id", "lang", "hash"]).select("text", "lang", "rank").collect()
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "doc_id", "text", "lang", F.xxhash64("text").alias("hash"), F.length("text").alias("size"))
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "size"), "doc_id", "hash")
+    ids = usable.select("doc_id", "lang", "hash", "size").distinct().withColumn("rank", F.row_number().over(order)).where(
+        F.col("rank") <= per_language).select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "lang", "hash")], "rank")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("lang") == F.col("__lang")) & (F.col("hash") == F.col("__hash"))
+    # A repeated row is one training text.
+    rows = usable.join(F.broadcast(ids), same).groupBy("lang", "rank").agg(F.min("text").alias("text")).collect()
     if not rows:
         return LanguageModel([], np.zeros(1 << _BUCKET_BITS, np.int32), np.zeros((1, 1), np.float32), np.zeros(1))
     rows.sort(key=lambda r: (r["lang"], r["rank"], r["text"]))

@@ -254,3 +254,24 @@ def test_alignment_against_full_table():
             row = new
         full = decontaminate.fitting_distance(np.array(item, np.uint32), np.array(text, np.uint32), -25, len(text) + 5)
         assert full == min(row)
+
+
+def test_language_of_signs_that_are_no_letters(spark):
+    """Fractions, circled and Roman numeral signs are no letters; a repeated row is one training text."""
+    rng = random.Random(8)
+    rows = [(i, t, lang, "s", 1) for lang, letters in (("aa", "abcde"), ("bb", "fghij")) for i, t in enumerate(texts(rng, letters, 12))]
+    df = docs(spark, rows)
+    model = language_id.fit(df, per_language=8, landmarks=4)
+    signs = docs(spark, [(i, t, None, "s", 1) for i, t in enumerate(["½ ²", "①", "Ⅷ", "12 _", "a½"])])
+    got = {r["doc_id"]: r["p"]["lang"] for r in signs.select("doc_id", language_id.language(F.col("text"), model).alias("p")).collect()}
+    assert [got[i] for i in range(4)] == ["und"] * 4 and got[4] != "und"
+    again = language_id.fit(docs(spark, rows + rows + [(None, rows[0][1], "aa", None, None)] * 3), per_language=50, landmarks=4)
+    once = language_id.fit(docs(spark, rows + [(None, rows[0][1], "aa", None, None)]), per_language=50, landmarks=4)
+    assert again.languages == once.languages and np.array_equal(again.weights, once.weights)
+
+
+def test_pipeline_stage_without_labels_keeps_documents(spark):
+    import corpus_pipeline
+
+    df = docs(spark, [(1, "some words", None, "s", 1), (2, "123", None, "s", 1), (3, None, None, "s", 1)])
+    assert [r["doc_id"] for r in corpus_pipeline.identify(spark, df, "").collect()] == [1]
