@@ -17,8 +17,13 @@ ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of ``docs`` (see ``language_id.recognised``); a missing ``lang`` becomes the one found."""
+    """Documents in one of the languages of ``docs`` (see ``language_id.recognised``); a missing ``lang`` becomes the one found.
+
+    Without a labelled text there is nothing to learn from, and all documents with a letter stay.
+    """
     model = language_id.fit(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     found = docs.withColumn("__found", language_id.recognised(F.col("text"), model))
     kept = found.where("__found.clear")
     return kept.withColumn("lang", F.coalesce("lang", "__found.lang")).select(*docs.columns)
@@ -27,13 +32,13 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Of rows that share an id one stays; rows without an id are in no group.
+    Of rows that share id and text one stays, different texts under one id all stay; rows without an id are in no group.
     """
     first = parity_join.similar_documents(docs).where("doc_id = component_id").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("__rows"))
     kept = docs.join(stored(first), "doc_id")
     return (kept.where(F.col("__rows") == 1)
-            .unionByName(kept.where(F.col("__rows") > 1).dropDuplicates(["doc_id"])).select(*docs.columns)
+            .unionByName(kept.where(F.col("__rows") > 1).dropDuplicates(["doc_id", "text"])).select(*docs.columns)
             .unionByName(docs.where(F.col("doc_id").isNull())))
 
 
