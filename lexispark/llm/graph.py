@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .tables import stored
+from .tables import finished, stored
 
 
 def _star(pairs: DataFrame, keep: str) -> DataFrame:
@@ -23,6 +23,10 @@ def components(links: DataFrame) -> DataFrame:
     Alternates large and small stars until the table of links no longer changes; each round is
     written to the shared folder. Nodes without links to others, and null nodes, are not listed.
     """
+    return finished(lambda: _components(links))
+
+
+def _components(links: DataFrame) -> DataFrame:
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                    .where("u > v").distinct())
     state = None

@@ -13,7 +13,7 @@ from lexispark.settings import broadcast_if_small
 from .graph import components
 from .hashing import joined, mix, shingle_sets
 from .segments import pieces, text_of
-from .tables import stored
+from .tables import finished, stored
 
 #: A sketch word with more components than this is common.
 WORD_NODES = 16
@@ -205,6 +205,10 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     are one node, each with its own n_shingles; a null doc_id is no node, its component_id is
     null; other columns are ignored; an empty table gives no rows.
     """
+    return finished(lambda: _similar(docs, percent))
+
+
+def _similar(docs: DataFrame, percent: int) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     facts = stored(texts.mapInArrow(_facts(percent), FACTS))
     sizes = facts.select("doc_id", "n_shingles", "need")
@@ -215,17 +219,7 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     heads = rows.join(same, ["key_a", "key_b"], "left").where("first is null or first = doc_id").select(
         "doc_id", F.explode("heads").alias("word"))
-    repeated = stored(heads.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word"))
-    alive = stored(heads.join(broadcast_if_small(repeated), "word").select("doc_id").distinct())
-    words = stored(texts.join(broadcast_if_small(alive), "doc_id", "left_semi").mapInArrow(_words(percent), "doc_id bigint, word bigint"))
-    shared = words.groupBy("word").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
-        "first < last").select("word")
-    near = stored(words.join(broadcast_if_small(stored(shared)), "word"))
-
-    # the first document of a word is the one with most shared words, the centre of its near copies
-    degree = stored(near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree")).join(
-        sizes.groupBy("doc_id").agg(F.min("need").alias("need")), "doc_id").where("degree >= need").drop("need"))
-    near = stored(near.join(broadcast_if_small(degree), "doc_id"))
+    near = finished(lambda: _near(texts, heads, sizes, percent))
     centre = near.groupBy("word").agg(F.max_by("doc_id", F.struct("degree", -F.col("doc_id"))).alias("first"))
     counted = near.join(centre, "word").where("doc_id <> first").groupBy("doc_id", "first").agg(F.count(F.lit(1)).alias("n"))
     best = counted.groupBy("doc_id").agg(F.max_by("first", F.struct("n", -F.col("first"))).alias("first"))
@@ -247,6 +241,21 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
+def _near(texts: DataFrame, heads: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(word, doc_id, degree): sketch words that occur twice, of documents that share a head word and hold as many as a link needs."""
+    repeated = stored(heads.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word"))
+    alive = stored(heads.join(broadcast_if_small(repeated), "word").select("doc_id").distinct())
+    words = stored(texts.join(broadcast_if_small(alive), "doc_id", "left_semi").mapInArrow(_words(percent), "doc_id bigint, word bigint"))
+    shared = words.groupBy("word").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
+        "first < last").select("word")
+    near = stored(words.join(broadcast_if_small(stored(shared)), "word"))
+
+    # the first document of a word is the one with most shared words, the centre of its near copies
+    degree = stored(near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree")).join(
+        sizes.groupBy("doc_id").agg(F.min("need").alias("need")), "doc_id").where("degree >= need").drop("need"))
+    return near.join(broadcast_if_small(degree), "doc_id")
+
+
 def _rest(near: DataFrame, roots: DataFrame, texts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Rows of ``near`` (word, doc_id) whose word occurs under several roots (n), of documents that can have a link."""
     rest = near.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 from .hashing import byte_values, joined, running, slices
 from .segments import dealt, repeated_segments, runs, segments, spans_of, variant_texts
 from .suffix_arrays import window_classes
-from .tables import stored, tasks_for
+from .tables import finished, stored, tasks_for
 
 #: Bytes of one suffix array: a task that sorts it takes about a hundred times as much.
 SHARD_BYTES = 512 * 1024
@@ -88,6 +88,11 @@ def repeated_spans(docs: DataFrame, window: int = 200, gram: int = 32) -> DataFr
     repeated row is a second occurrence of all its strings; null ids are ordinary documents;
     other columns are kept; an empty table gives no rows.
     """
+    return spans_of(docs, finished(lambda: _marks(docs, window, gram)), window)
+
+
+def _marks(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """(rid, lo, hi): ranges of window starts that are repeated."""
     found = stored(segments(docs, byte_values, window, gram).drop("doc_id"))
     near = stored(repeated_segments(found))
     plain = near.where(~F.col("variants")).select("rid", F.col("start").alias("lo"), (F.col("start") + F.col("windows")).alias("hi"))
@@ -106,7 +111,7 @@ def repeated_spans(docs: DataFrame, window: int = 200, gram: int = 32) -> DataFr
     ranges = sorted_.where(F.col("print").isNull()).select("anchor", "content", "lo", "hi").unionByName(merged)
     marks = mixed.join(ranges, ["anchor", "content"]).select(
         "rid", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
-    return spans_of(docs, plain.unionByName(marks), window)
+    return plain.unionByName(marks)
 
 
 def kept_bytes(data: bytes, spans) -> bytes:

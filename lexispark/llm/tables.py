@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -20,9 +21,31 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{work_dir(df.sparkSession)}/llm/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _steps:
+        _steps[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Paths that the steps under way have stored, the innermost step last.
+_steps: list[list[str]] = []
+
+
+def finished(step: Callable[[], DataFrame]) -> DataFrame:
+    """Store the result of ``step``, and remove what it stored on the way: nothing reads that any more."""
+    own: list[str] = []
+    _steps.append(own)
+    try:
+        result = step()
+    finally:
+        _steps.pop()
+    kept = stored(result)
+    spark = kept.sparkSession
+    for path in own:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return kept
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """64-bit key of a row from its id and whole text; repeated rows share their key."""
     return F.xxhash64(F.col(doc_id), F.col(text))
