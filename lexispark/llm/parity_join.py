@@ -15,8 +15,10 @@ from .hashing import joined, mix, shingle_sets
 from .segments import pieces, text_of
 from .tables import finished, stored
 
-#: A sketch word with more components than this is common.
-WORD_NODES = 16
+#: Documents of one word that a task compares with as many others at a time; it changes the work, not the links.
+BLOCK_DOCS = 256
+#: Bytes of a bit sketch that travel with a document's words, and pairs that are compared at a time.
+BRIEF_BYTES, COMPARED = 256, 50_000
 #: Centres that a document is compared with before its other candidates; it changes the work, not the links.
 CENTRES = 4
 #: Bits of a sketch for each token; it changes how many pairs are read in full, not the links.
@@ -86,6 +88,14 @@ def bit_sketch(tokens: np.ndarray) -> bytes:
     return np.packbits(flips & 1).tobytes()
 
 
+def brief(sketch: bytes) -> bytes:
+    """A bit sketch folded to at most BRIEF_BYTES; distances of folded sketches are bounds of the same kind."""
+    bits = np.frombuffer(sketch, np.uint8)
+    while len(bits) > BRIEF_BYTES:
+        bits = bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+    return bits.tobytes()
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """Hamming distance of two bit sketches, at most the size of the symmetric difference of their sets.
 
@@ -103,7 +113,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
             yield piece, shingle_sets(*joined(text_of(piece)))
 
 
-FACTS = ("doc_id bigint, n_shingles bigint, need bigint, key_a bigint, key_b bigint, sketch binary, heads array<bigint>")
+FACTS = ("doc_id bigint, n_shingles bigint, need bigint, key_a bigint, key_b bigint, sketch binary, brief binary, heads array<bigint>")
 
 
 def _facts(percent: int):
@@ -115,10 +125,11 @@ def _facts(percent: int):
                     np.array([np.bitwise_xor.reduce(m) for m in mixed], np.uint64).view(np.int64),
                     np.array([m.sum(dtype=np.uint64) for m in mixed], np.uint64).view(np.int64))
             heads = [head_words(s, percent) for s in sets]
+            sketches = [bit_sketch(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), *(pa.array(x, pa.int64()) for x in ints), pa.array([bit_sketch(s) for s in sets], pa.binary()),
-                 pa.array(heads, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "need", "key_a", "key_b", "sketch", "heads"])
+                [piece.column(0), *(pa.array(x, pa.int64()) for x in ints), pa.array(sketches, pa.binary()),
+                 pa.array([brief(s) for s in sketches], pa.binary()), pa.array(heads, pa.list_(pa.int64()))],
+                names=["doc_id", "n_shingles", "need", "key_a", "key_b", "sketch", "brief", "heads"])
     return measure
 
 
@@ -195,10 +206,10 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     2. Stars: each document is compared with the first document of the words it shares, the one it
        shares most words with. This connects groups of near copies with one pair each. A second
        round compares what can still have a link with the centres of larger components.
-    3. The rest: all pairs of documents that share a word and are not connected yet, but for pairs
-       that share too few words for a link, or have too few shingles that occur outside of their own
-       component (see ``_able``). Words of more than WORD_NODES components are common:
-       only documents with many of them need them, and then in pairs (see ``_common_pairs``).
+    3. The rest: documents that share a word and are not connected yet. Of its words, each document
+       keeps the rarest: with h of them, of which a link shares m, the first h - m + 1 (see ``_firsts``).
+       Documents with a word in common are compared in blocks, in the tasks that hold them: only pairs that
+       sizes, shared shingles (see ``_able``) and bit sketches leave become rows (see ``_candidates``).
     4. Every pair is verified on the whole texts; the links give the components.
 
     Defined cases: no words, or a null text: no shingles, linked with nothing; rows that share a doc_id
@@ -231,10 +242,7 @@ def _similar(docs: DataFrame, percent: int) -> DataFrame:
     rest = _rest(near, roots, texts, sizes, percent)
     links = stored(links.unionByName(_verified(texts, facts, stored(_to_centres(rest)), percent)))
     rest = _rest(rest.select("word", "doc_id"), components(links), texts, sizes, percent)
-    common = rest.where(F.col("n") > WORD_NODES)
-    most = F.col("n") + F.col("held")
-    pairs = _pairs(rest.where(F.col("n") <= WORD_NODES), percent).where(most >= F.col("need")).select("a", "b").unionByName(
-        _pairs(_common_pairs(common), percent).select("a", "b")).distinct()
+    pairs = _candidates(_firsts(rest), facts, percent).distinct()
     links = links.unionByName(_verified(texts, facts, stored(pairs), percent))
     roots = components(stored(links)).withColumnRenamed("node", "doc_id")
     return sizes.join(roots, "doc_id", "left").select(
@@ -257,12 +265,13 @@ def _near(texts: DataFrame, heads: DataFrame, sizes: DataFrame, percent: int) ->
 
 
 def _rest(near: DataFrame, roots: DataFrame, texts: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Rows of ``near`` (word, doc_id) whose word occurs under several roots (n), of documents that can have a link."""
-    rest = near.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "word", "doc_id", F.coalesce("root", "doc_id").alias("root")).distinct()
-    apart = rest.groupBy("word", "root").agg(F.lit(1).alias("one")).groupBy("word").agg(F.count("one").alias("n")).where("n > 1")
-    rest = stored(rest.join(apart, "word"))
-    return stored(rest.drop("root").join(_able(texts, rest, sizes, percent), "doc_id"))
+    """Rows of ``near`` (word, doc_id) whose word occurs under several roots, n times in all, of documents that can have a link."""
+    rooted = near.join(broadcast_if_small(roots.withColumnRenamed("node", "doc_id")), "doc_id", "left").select(
+        "word", "doc_id", F.coalesce("root", "doc_id").alias("root"))
+    apart = stored(rooted.groupBy("word").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("word", "n"))
+    rest = stored(rooted.join(broadcast_if_small(apart), "word"))
+    return stored(rest.drop("root").join(broadcast_if_small(_able(texts, rest, sizes, percent)), "doc_id"))
 
 
 def _to_centres(rest: DataFrame) -> DataFrame:
@@ -282,15 +291,15 @@ def _to_centres(rest: DataFrame) -> DataFrame:
 
 
 def _able(texts: DataFrame, rest: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(doc_id, root, need, size, held, overlap) of the documents of ``rest`` that can still have a link.
+    """(doc_id, root, need, size, words, overlap) of the documents of ``rest`` that can still have a link.
 
-    ``held`` counts their common words. ``overlap`` counts their shingles that a document of another root
+    ``words`` counts their rows. ``overlap`` counts their shingles that a document of another root
     has too: no intersection is larger, so one below ``percent`` of the own size rules out every link.
     """
     facts = sizes.where("doc_id is not null").groupBy("doc_id").agg(
         F.min("need").alias("need"), F.min("n_shingles").alias("size"))
     docs = stored(rest.groupBy("doc_id", "root").agg(
-        F.count(F.lit(1)).alias("words"), F.count(F.when(F.col("n") > WORD_NODES, 1)).alias("held")).join(
+        F.count(F.lit(1)).alias("words")).join(
         facts, "doc_id").where("words >= need"))
     few = broadcast_if_small(docs.select("doc_id", "root"))
     tokens = texts.join(few.select("doc_id"), "doc_id", "left_semi").mapInArrow(
@@ -299,32 +308,99 @@ def _able(texts: DataFrame, rest: DataFrame, sizes: DataFrame, percent: int) ->
         "low < high").select("token")
     overlap = tokens.join(apart, "token").groupBy("doc_id").agg(F.count(F.lit(1)).alias("overlap"))
     return stored(docs.join(overlap, "doc_id").where(100 * F.col("overlap") >= percent * F.col("size")).select(
-        "doc_id", "root", "need", "size", "held", "overlap"))
+        "doc_id", "root", "need", "size", "words", "overlap"))
 
 
-def _common_pairs(common: DataFrame) -> DataFrame:
-    """Rows of common words with pairs of words as words, for documents that need them.
+def _firsts(rest: DataFrame) -> DataFrame:
+    """The rows of the rarest words of each document, as many as make sure that linked documents share one.
 
-    A link shares the ``need`` m of both sides (``sketch_words``). If one side holds fewer than m common words, some shared word
-    is not common and finds the link. If both sides hold m or more, and share only common ones,
-    then in any order of all words the first two that they share are among the first h - m + 2 of
-    the h that each holds; the rarest go first.
+    All documents order words by (n, word). Of the h words of a document a link shares at least m = ``need``, so m - 1
+    of them come after the first that is shared: that is one of the first h - m + 1, on both sides. Rows that
+    repeat a word only make the list longer.
     """
     rare = Window.partitionBy("doc_id").orderBy("n", "word")
-    first = common.where("held >= need").withColumn(
-        "at", F.row_number().over(rare)).where("at <= held - need + 2").drop("at")
-    first = stored(first)
-    other = first.select(F.col("word").alias("second"), "doc_id")
-    return first.join(other, "doc_id").where("word < second").withColumn("word", F.xxhash64("word", "second")).drop("second")
+    return rest.withColumn("at", F.row_number().over(rare)).where("at <= words - need + 1").select(
+        "word", "doc_id", "root", "size", "overlap").distinct()
 
 
-def _pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """(a, b, need, held, n): pairs a < b of documents with different roots, and how many words they share.
-
-    Pairs whose overlaps (see ``_able``) are too small for their sizes are no candidates.
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that come sorted by (word, low, high), in tables that end where a group ends."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(c).to_numpy() for c in ("word", "low", "high")]
+        last = np.logical_and.reduce([k == k[-1] for k in keys])
+        begin = int(np.flatnonzero(~last)[-1]) + 1 if not last.all() else 0
+        if held and (begin or any(held[-1].column(c)[-1].as_py() != k[0] for c, k in zip(("word", "low", "high"), keys))):
+            whole = [*held, batch.slice(0, begin)]
+            yield pa.Table.from_batches(whole)
+            held = []
+        elif begin:
+            yield pa.Table.from_batches([batch.slice(0, begin)])
+        held.append(batch.slice(begin))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _folded(sketches: list[bytes], size: int) -> np.ndarray:
+    """Sketches of ``size`` bytes or more, folded to that size, as rows of 32-bit words; zero for shorter ones."""
+    out = np.zeros((len(sketches), size), np.uint8)
+    for i, sketch in enumerate(sketches):
+        bits = np.frombuffer(sketch, np.uint8)
+        if len(bits) >= size:
+            out[i] = np.bitwise_xor.reduce(bits.reshape(-1, size), 0)
+    return out.view(np.uint32)
+
+
+def _compare(percent: int):
+    """Of rows sorted by (word, low, high): the pairs of each group that can be linked."""
+    def compare(batches):
+        for table in _groups(batches):
+            word, low, high, own, doc, root, size, overlap = (
+                table.column(c).to_numpy() for c in ("word", "low", "high", "own", "doc_id", "root", "size", "overlap"))
+            sketches = table.column("brief").to_pylist()
+            length = np.array([len(s) for s in sketches])
+            folded = {}
+            change = (word[1:] != word[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            ends = np.append(np.flatnonzero(change) + 1, len(word))
+            end = ends[np.searchsorted(ends, np.arange(len(word)), side="right")]
+            partners = end - np.arange(len(word)) - 1
+            begin = np.concatenate([[0], np.cumsum(partners)])
+            for at in range(0, int(begin[-1]), COMPARED):
+                pair = np.arange(at, min(at + COMPARED, int(begin[-1])))
+                i = np.searchsorted(begin, pair, side="right") - 1
+                j = i + 1 + pair - begin[i]
+                both = size[i] + size[j]
+                good = (root[i] != root[j]) & (doc[i] != doc[j]) & ((low[i] == high[i]) | (own[i] != own[j]))
+                good &= np.minimum(overlap[i], overlap[j]) * (100 + percent) >= percent * both
+                i, j, both = i[good], j[good], both[good]
+                least = np.minimum(length[i], length[j])
+                near = np.zeros(len(i), bool)
+                for width in np.unique(least).tolist():
+                    if width not in folded:
+                        folded[width] = _folded(sketches, width)
+                    of = least == width
+                    far = np.bitwise_count(folded[width][i[of]] ^ folded[width][j[of]]).sum(1, dtype=np.int64)
+                    near[of] = far * (100 + percent) <= both[of] * (100 - percent)
+                found = np.unique(np.sort(np.stack([doc[i[near]], doc[j[near]]], 1), 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+    return compare
+
+
+def _candidates(rows: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of different roots that share a word of ``rows`` and that sizes, overlaps and sketches do not rule out.
+
+    The documents of a word are cut by a hash into blocks of about BLOCK_DOCS. Two blocks, or one by itself, meet in a
+    group, which a task goes through with a bounded number of pairs at a time; only what is left becomes rows.
     """
-    other = rows.select("word", *[F.col(c).alias(f"{c}_b") for c in ("doc_id", "root", "need", "size", "held", "overlap")])
-    enough = F.least("overlap", "overlap_b") * (100 + percent) >= percent * (F.col("size") + F.col("size_b"))
-    return rows.join(other, "word").where(F.expr("doc_id < doc_id_b and root <> root_b") & enough).groupBy(
-        F.col("doc_id").alias("a"), F.col("doc_id_b").alias("b"), F.greatest("need", "need_b").alias("need"),
-        F.least("held", "held_b").alias("held")).agg(F.count(F.lit(1)).alias("n"))
+    rows = stored(rows)
+    blocks = rows.groupBy("word").agg(F.count(F.lit(1)).alias("docs")).where("docs > 1").select(
+        "word", F.ceil(F.col("docs") / BLOCK_DOCS).cast("int").alias("blocks"))
+    briefs = facts.where("doc_id is not null").groupBy("doc_id", "n_shingles", "brief").agg(F.lit(1).alias("one")).drop("one")
+    dealt = rows.join(blocks, "word").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(briefs, "doc_id").select(
+        "word", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "doc_id", "root",
+        F.col("n_shingles").alias("size"), "overlap", "brief")
+    order = ["word", "low", "high"]
+    return dealt.repartition(*order).sortWithinPartitions(*order).mapInArrow(_compare(percent), "a bigint, b bigint")

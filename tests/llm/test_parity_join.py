@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexispark.llm import parity_join
@@ -56,15 +57,46 @@ def corpus(seed):
     return rows + [rows[0], rows[1], (None, texts[0], None, None, None), (None, texts[0], None, None, None)]
 
 
-@pytest.mark.parametrize("seed, nodes", [(1, 16), (2, 2)])
-def test_components(spark, monkeypatch, seed, nodes):
-    monkeypatch.setattr(parity_join, "WORD_NODES", nodes)
+@pytest.mark.parametrize("seed, block", [(1, 256), (2, 2)])
+def test_components(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(parity_join, "BLOCK_DOCS", block)
     rows = corpus(seed)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     got = sorted(map(tuple, similar_documents(df).collect()), key=str)
     assert got == brute(rows)
 
 
+def test_almost_linked_groups(spark, monkeypatch):
+    """Two large groups around texts that share just under the limit, and a few documents between them."""
+    monkeypatch.setattr(parity_join, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(parity_join, "COMPARED", 100)
+    monkeypatch.setattr(parity_join, "BRIEF_BYTES", 32)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    other = base[:262] + [f"v{i}" for i in range(38)]
+    rows = []
+    for text in (base, other):
+        for _ in range(80):
+            copy = list(text)
+            for _ in range(3):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10 ** 6)}"
+            rows.append(" ".join(copy))
+    rows = [(i, t, 1, 2, "x") for i, t in enumerate(rows)]
+    got = sorted(map(tuple, similar_documents(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_blocks_across_batches():
+    """Groups that end inside of a batch, at its end, or fill several batches."""
+    keys = [1] * 5 + [2] * 3 + [3] * 9 + [4] + [5] * 2
+    table = pa.table({"word": keys, "low": [0] * 20, "high": [0] * 20, "row": list(range(20))})
+    for size in range(1, 21):
+        got = list(parity_join._groups(iter(table.to_batches(max_chunksize=size))))
+        assert [r for t in got for r in t.column("row").to_pylist()] == list(range(20))
+        words = [w for t in got for w in set(t.column("word").to_pylist())]
+        assert sorted(words) == [1, 2, 3, 4, 5]
+
+
 def test_empty(spark):
     assert similar_documents(spark.createDataFrame([], SCHEMA)).count() == 0
 
