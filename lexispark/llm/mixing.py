@@ -6,14 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from lexispark.operators.skew import number_rows
 from lexispark.settings import broadcast_if_small
 
 from .tables import WORD, stored
 
 #: Weights of the sources in code point order, repeating, and the share of all words to take.
 WEIGHTS, TOTAL_SHARE, MOST_REPEATS = (3, 1, 2), 1.5, 2.0
-#: A document larger than this share of its source's target is taken by words, others by whole copies.
-GRAIN = 2e-4
 _NEWTON_STEPS = 60
 
 
@@ -36,7 +35,7 @@ def _numbered(sources: DataFrame) -> DataFrame:
 
 def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = TOTAL_SHARE,
                    most: float = MOST_REPEATS) -> DataFrame:
-    """(source, source_size, target): words to take of each source.
+    """(source, number, source_size, target): words to take of each source.
 
     Sources share ``share`` of all words by weight; a target stops at ``most`` times its source,
     and the excess is shared anew. The shares are least(most * size, level * weight); the level rises
@@ -55,7 +54,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
         if not everything or not weight:
             break
         level = max(level, (everything * share - given) / weight)
-    return rows.select("source", "source_size", F.least(cap, F.col("weight") * F.lit(level)).alias("target"))
+    return rows.select("source", "number", "source_size", F.least(cap, F.col("weight") * F.lit(level)).alias("target"))
 
 
 def balanced_rates(targets: DataFrame) -> DataFrame:
@@ -74,29 +73,28 @@ def balanced_rates(targets: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, part_words, taken) of every document.
-
-    ``copies`` are whole copies and ``part_words`` the first words of one more; ``taken`` counts the
-    words of all. The rate is rounded to copies by a threshold from the hash of the id, so reruns
-    agree and the expected words are exact. A document of more than GRAIN of its
-    source's target would move the total by itself: its words, not its copies, are rounded. No
-    document exceeds MOST_REPEATS times its size.
-
-    Defined cases: null or empty texts have size 0 and are taken 0 times; a null source is a source, the
-    last one; rows that share an id share the threshold, a null id has one too; other columns are
-    ignored; no rows, no result.
+    """(doc_id, source, size, source_size, target, rate, copies, taken) of every document.
+
+    ``copies`` are whole copies and ``taken`` their words. The documents of a source are ordered by size, then by a
+    hash of the id, and the i-th is taken floor(i * rate + u) - floor((i - 1) * rate + u) times, u from a hash of
+    the source's number: its rate rounded down or up, the error carried on to documents of like size. Any run of
+    neighbours is off by less than one copy, so by partial sums a source is off its target by less than
+    the size of its largest document, whatever the number of documents; reruns agree. No document
+    exceeds MOST_REPEATS times its size. Places in the order are counted in pieces of one size and hash slice.
+
+    Defined cases: null or empty texts have size 0, and their copies 0 words; a null source is a source, the
+    last one; rows that share an id stand side by side if their sizes agree, a null id has its place too; other
+    columns are ignored; no rows, no result.
     """
-    sizes = sized(docs, "doc_id", "source")
+    sizes = stored(sized(docs, "doc_id", "source"))
     rates = broadcast_if_small(stored(balanced_rates(source_targets(sizes)))).withColumnRenamed("source", "of")
-    joined = sizes.join(rates, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    chance = F.conv(F.substring(key, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
-    whole = F.floor(F.col("rate") + chance)
-    words = F.floor(F.col("rate") * F.col("size") + chance)
-    taken = F.when(F.col("size") > F.col("target") * F.lit(GRAIN), words).otherwise(whole * F.col("size")).cast("bigint")
-    copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("bigint")
-    return joined.withColumn("taken", taken).withColumn("copies", copies).withColumn(
-        "part_words", F.col("taken") - F.col("copies") * F.col("size"))
+    joined = sizes.join(rates, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("key", key)
+    placed = number_rows(joined, ["number"], [F.col("size"), F.substring("key", 1, 2)], [F.col("key")], "place")
+    shift = F.conv(F.substring(F.md5(F.col("number").cast("string")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
+    copies = F.floor(F.col("rate") * F.col("place") + shift) - F.floor(F.col("rate") * (F.col("place") - 1) + shift)
+    return placed.withColumn("copies", copies.cast("bigint")).withColumn(
+        "taken", F.col("copies") * F.col("size")).drop("number", "key", "place")
 
 
 def mix_sql() -> str:
@@ -106,8 +104,10 @@ WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{WORD}')), 0)::BIGINT AS size FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number FROM sources),
 weighed AS (
-  SELECT *, [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM sources),
+  SELECT *, [3.0, 1.0, 2.0][(number % 3 + 1)::INT]::DOUBLE AS weight FROM numbered),
 ordered AS (
   SELECT *, 2.0 * source_size / weight AS ratio, sum(2.0 * source_size) OVER up AS full_size, sum(weight) OVER up AS full_weight,
          sum(source_size) OVER () AS words, sum(weight) OVER () AS weights
@@ -116,11 +116,11 @@ level AS (
   SELECT min_by(level, full_weight) FILTER (WHERE level <= ratio) AS level FROM (
     SELECT *, (1.5 * words - (full_size - 2.0 * source_size)) / (weights - (full_weight - weight)) AS level FROM ordered)),
 targets AS (
-  SELECT source, source_size, least(2.0 * source_size, level * weight)::DOUBLE AS target FROM weighed, level),
+  SELECT source, number, source_size, least(2.0 * source_size, level * weight)::DOUBLE AS target FROM weighed, level),
 rates AS (
-  SELECT *, CASE WHEN source_size > 0 THEN round(target / source_size, 12) ELSE 0 END AS rate FROM targets),
-chances AS (
-  SELECT *, ('0x' || substring(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS chance FROM sized)
+  SELECT *, ('0x' || substring(md5(number::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS shift, CASE WHEN source_size > 0 THEN round(target / source_size, 12) ELSE 0 END AS rate FROM targets),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, md5(coalesce(doc_id::VARCHAR, ''))) AS place FROM sized)
 SELECT d.doc_id, d.size, r.source_size, round(r.target, 6) AS target,
-       CASE WHEN d.size > r.target * {GRAIN} THEN floor(r.rate * d.size + d.chance) ELSE floor(r.rate + d.chance) * d.size END::BIGINT AS taken
-FROM chances d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source"""
+       (d.size * (floor(r.rate * d.place + r.shift) - floor(r.rate * (d.place - 1) + r.shift)))::BIGINT AS taken
+FROM placed d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source"""
