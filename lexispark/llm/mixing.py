@@ -72,17 +72,39 @@ def balanced_rates(targets: DataFrame) -> DataFrame:
     return targets.withColumn("rate", rate)
 
 
+def _evened(placed: DataFrame) -> DataFrame:
+    """``placed`` with ``taken``: its copies, and what a source then lacks or has too much, in words of its largest documents.
+
+    From the last place down, each document takes or gives what it can until the source holds its target; sums of
+    pieces of one size and hash slice are added up before places inside of them.
+    """
+    first = F.col("copies") * F.col("size")
+    lack = placed.groupBy("number").agg((F.floor(F.max("target") + F.lit(1e-6)) - F.sum(first)).alias("lack"))
+    most = F.floor(F.lit(MOST_REPEATS) * F.col("size"))
+    rows = placed.join(broadcast_if_small(lack), "number").withColumn(
+        "room", F.when(F.col("lack") > 0, most - first).otherwise(first)).withColumn("slice", F.substring("key", 1, 2))
+    piece = ["number", "size", "slice"]
+    above = Window.partitionBy("number").orderBy(F.desc("size"), F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy(*piece).agg(F.sum("room").alias("held")).select(
+        *piece, F.coalesce(F.sum("held").over(above), F.lit(0)).alias("above"))
+    inside = Window.partitionBy(*piece).orderBy(F.desc("place")).rowsBetween(Window.unboundedPreceding, -1)
+    summed = rows.withColumn("inside", F.coalesce(F.sum("room").over(inside), F.lit(0))).join(offsets, piece)
+    moved = F.least("room", F.greatest(F.abs("lack") - F.col("above") - F.col("inside"), F.lit(0)))
+    return summed.withColumn("taken", (first + F.signum("lack") * moved).cast("bigint"))
+
+
 def mixed(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, taken) of every document.
+    """(doc_id, source, size, source_size, target, rate, copies, part_words, taken) of every document.
 
-    ``copies`` are whole copies and ``taken`` their words. The documents of a source are ordered by size, then by a
-    hash of the id, and the i-th is taken floor(i * rate + u) - floor((i - 1) * rate + u) times, u from a hash of
-    the source's number: its rate rounded down or up, the error carried on to documents of like size. Any run of
-    neighbours is off by less than one copy, so by partial sums a source is off its target by less than
-    the size of its largest document, whatever the number of documents; reruns agree. No document
-    exceeds MOST_REPEATS times its size. Places in the order are counted in pieces of one size and hash slice.
+    ``copies`` are whole copies and ``part_words`` the first words of one more; ``taken`` counts the words of all.
+    The documents of a source are ordered by size, then by a hash of the id, and the i-th is taken floor(i * rate + u)
+    - floor((i - 1) * rate + u) times, u from a hash of the source's number: its rate rounded down or up, the
+    error carried on to documents of like size. Any run of neighbours is off by less than one copy, so by partial sums
+    a source is off its target by less than the size of its largest document, whatever the number of
+    documents. The largest even that out by words (``_evened``). Reruns agree; no document exceeds MOST_REPEATS
+    times its size. Places in the order are counted in pieces of one size and hash slice.
 
-    Defined cases: null or empty texts have size 0, and their copies 0 words; a null source is a source, the
+    Defined cases: null or empty texts have size 0, and no words; a null source is a source, the
     last one; rows that share an id stand side by side if their sizes agree, a null id has its place too; other
     columns are ignored; no rows, no result.
     """
@@ -93,8 +115,10 @@ def mixed(docs: DataFrame) -> DataFrame:
     placed = number_rows(joined, ["number"], [F.col("size"), F.substring("key", 1, 2)], [F.col("key")], "place")
     shift = F.conv(F.substring(F.md5(F.col("number").cast("string")), 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
     copies = F.floor(F.col("rate") * F.col("place") + shift) - F.floor(F.col("rate") * (F.col("place") - 1) + shift)
-    return placed.withColumn("copies", copies.cast("bigint")).withColumn(
-        "taken", F.col("copies") * F.col("size")).drop("number", "key", "place")
+    taken = _evened(stored(placed.withColumn("copies", copies.cast("bigint"))))
+    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0).cast("bigint")
+    return taken.withColumn("copies", whole).withColumn("part_words", F.col("taken") - F.col("copies") * F.col("size")).select(
+        "doc_id", "source", "size", "source_size", "target", "rate", "copies", "part_words", "taken")
 
 
 def mix_sql() -> str:
@@ -120,7 +144,18 @@ targets AS (
 rates AS (
   SELECT *, ('0x' || substring(md5(number::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS shift, CASE WHEN source_size > 0 THEN round(target / source_size, 12) ELSE 0 END AS rate FROM targets),
 placed AS (
-  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, md5(coalesce(doc_id::VARCHAR, ''))) AS place FROM sized)
-SELECT d.doc_id, d.size, r.source_size, round(r.target, 6) AS target,
-       (d.size * (floor(r.rate * d.place + r.shift) - floor(r.rate * (d.place - 1) + r.shift)))::BIGINT AS taken
-FROM placed d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source"""
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, md5(coalesce(doc_id::VARCHAR, ''))) AS place FROM sized),
+copied AS (
+  SELECT d.doc_id, d.source, d.size, d.place, r.number, r.source_size, r.target,
+         (d.size * (floor(r.rate * d.place + r.shift) - floor(r.rate * (d.place - 1) + r.shift)))::BIGINT AS first
+  FROM placed d JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
+lacking AS (
+  SELECT *, (floor(target + 1e-6) - sum(first) OVER (PARTITION BY number))::BIGINT AS lack FROM copied),
+rooms AS (
+  SELECT *, CASE WHEN lack > 0 THEN 2 * size - first ELSE first END AS room FROM lacking),
+summed AS (
+  SELECT *, coalesce(sum(room) OVER (PARTITION BY number ORDER BY place DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above
+  FROM rooms)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+       (first + sign(lack) * least(room, greatest(abs(lack) - above, 0)))::BIGINT AS taken
+FROM summed"""
