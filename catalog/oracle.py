@@ -389,6 +389,19 @@ SELECT fold, num_results::INTEGER AS num_results, expand, similar_words::INTEGER
        round(coalesce(avg(map) FILTER (NOT is_train), 0), 6) AS test_map
 FROM ({" UNION ALL ".join(grid_rows)}) JOIN splits USING (query_id) GROUP BY ALL""".replace("GROUP BY ALL", "GROUP BY fold, num_results, expand, similar_words, stemming"))
 
+bm25_rows = []
+for i, (k1, b) in enumerate((k1, b) for k1 in (1.2, 1.5, 2.0) for b in (0.2, 0.75)):
+    cte(f"grid_bm25_{i}", bm25("body", f"{k1}::DOUBLE", f"{b}::DOUBLE"))
+    for n in (10, 100):
+        cte(f"grid_bm25_{i}_{n}", measured("(" + judged_hits("(" + ranked(f"SELECT * FROM grid_bm25_{i}", n) + ")") + ")"))
+        bm25_rows.append(f"SELECT {n} AS num_results, {k1}::DOUBLE AS k1, {b}::DOUBLE AS b, query_id, map FROM grid_bm25_{i}_{n}")
+cte("grid_bm25", f"""
+SELECT fold, num_results::INTEGER AS num_results, false AS expand, 6::INTEGER AS similar_words,
+       0.7::DOUBLE AS min_similarity, false AS stemming, k1, b,
+       round(coalesce(avg(map) FILTER (is_train), 0), 6) AS train_map,
+       round(coalesce(avg(map) FILTER (NOT is_train), 0), 6) AS test_map
+FROM ({" UNION ALL ".join(bm25_rows)}) JOIN splits USING (query_id) GROUP BY fold, num_results, k1, b""")
+
 
 def posting_list_sql(postings: str, block_docs: int) -> str:
     return f"""
@@ -520,6 +533,7 @@ def statements() -> dict[str, str]:
         "shuffle_split": "SELECT fold, query_id, is_train FROM splits",
         "grid_search": "SELECT * FROM grid_results",
         "grid_search_all": "SELECT * FROM grid_all",
+        "grid_search_bm25": "SELECT * FROM grid_bm25",
         "stem_terms": "SELECT DISTINCT term, stem FROM body_postings JOIN stems USING (term)",
         "posting_lists_stemmed": posting_list_sql("body_stemmed_postings", 65536),
         "process_queries_stemmed": "SELECT query_id, pos, term FROM query_words_stemmed",

@@ -607,13 +607,25 @@ def grid_search(spark, sf_dir):
                                  num_results=[10, 100])
 
 
+GRID_K1, GRID_B = [1.2, 1.5, 2.0], [0.2, 0.75]
+
+
 @registered
 def grid_search_all(spark, sf_dir):
-    """Every parameter of the grid, stemming and expansion included."""
+    """Every parameter of the searches but k1 and b, stemming and expansion included; one search for each kind of terms."""
     engine = fx.engine(spark, sf_dir, "body", "body_stemmed", "word_vectors")
-    return selection.grid_search(engine.search_body_bm25, fx.queries(spark, sf_dir), fx.qrels(spark, sf_dir),
-                                 num_results=[10, 100], expand=[False, True], similar_words=[3, 6],
-                                 min_similarity=[0.3], stemming=[False, True])
+    return selection.grid_search_variants(
+        engine.search_body_bm25_variants, fx.queries(spark, sf_dir), fx.qrels(spark, sf_dir), num_results=[10, 100],
+        expand=[False, True], similar_words=[3, 6], min_similarity=[0.3], stemming=[False, True]).drop("k1", "b")
+
+
+@registered
+def grid_search_bm25(spark, sf_dir):
+    """k1, b and the length of the list, all scored in one plan."""
+    engine = fx.engine(spark, sf_dir, "body")
+    return selection.grid_search_variants(
+        engine.search_body_bm25_variants, fx.queries(spark, sf_dir), fx.qrels(spark, sf_dir), num_results=[10, 100],
+        k1=GRID_K1, b=GRID_B)
 
 
 QUERIES["best_params"] = lambda spark, sf_dir: selection.best_params(grid_search(spark, sf_dir))

@@ -17,9 +17,9 @@ DIGITS = 6
 RANK_BLOCK_DOCS = 65_536
 
 
-def top_n(hits: DataFrame, n: int = 100) -> DataFrame:
-    """Best ``n`` hits per query with their rank; each task forwards at most ``n`` per query."""
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
+def top_n(hits: DataFrame, n: int = 100, run: Sequence[str] = ()) -> DataFrame:
+    """Best ``n`` hits per query (and ``run`` key) with their rank; each task forwards at most ``n`` of each."""
+    order = Window.partitionBy(*run, "query_id").orderBy(F.desc("score"), "doc_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 

@@ -70,21 +70,27 @@ def query_tfidf(terms: DataFrame, term_stats: DataFrame, n_docs: Column | int) -
     return weigh_query_terms(known, n_docs).select("query_id", "term", "w_q")
 
 
-def expand_query(terms: DataFrame, word_vectors: DataFrame,
-                 similar_words: int = 6, similarity: float = 0.7) -> DataFrame:
-    """Similar words per token, in token order then by similarity, ``pos`` from 1.
+def similar_terms(terms: DataFrame, word_vectors: DataFrame, similar_words: int = 6,
+                  similarity: float = 0.7) -> DataFrame:
+    """(term, rank, similarity, similar) of the distinct ``term``: the words a token brings, nearest first.
 
     Only the ``similar_words`` nearest vectors with a cosine above ``similarity`` count;
-    each is tokenised and its first word token kept. Tokens without a vector add nothing.
+    each is tokenised and its first word token kept. Tokens without a vector have no row.
     """
     vectors = word_vectors.select(F.col("term").alias("id"), "vec")
     wanted = terms.select(F.col("term").alias("id")).distinct()
     known = vectors.join(broadcast_if_small(wanted), "id")
     near = most_similar(known, vectors, similar_words).where(F.col("similarity") > similarity)
-    # Every token occurrence brings its own copy of the similar words.
-    words = near.select(F.col("query").alias("term"), "rank",
+    words = near.select(F.col("query").alias("term"), "rank", "similarity",
                         F.try_element_at(word_tokens("id"), F.lit(1)).alias("similar"))
-    words = words.where(F.col("similar").isNotNull())
+    return words.where(F.col("similar").isNotNull())
+
+
+def expand_query(terms: DataFrame, word_vectors: DataFrame,
+                 similar_words: int = 6, similarity: float = 0.7) -> DataFrame:
+    """The similar words of :func:`similar_terms` per token, in token order then by similarity, ``pos`` from 1."""
+    # Every token occurrence brings its own copy of the similar words.
+    words = similar_terms(terms, word_vectors, similar_words, similarity)
     order = Window.partitionBy("query_id").orderBy("token_pos", "rank")
     return (terms.withColumnRenamed("pos", "token_pos").join(words, "term")
             .select("query_id", F.row_number().over(order).alias("pos"), F.col("similar").alias("term")))

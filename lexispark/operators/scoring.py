@@ -7,11 +7,15 @@ that the order of summation cannot change a rank.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexispark.operators.statistics import length_weight
 
 DIGITS = 6
+# Scores that are summed side by side in one row.
+SCORE_COLUMNS = 32
 
 
 def candidate_documents(matches: DataFrame) -> DataFrame:
@@ -93,7 +97,38 @@ def term_candidates(matches: DataFrame, anchor_matches: DataFrame | None = None,
 def bm25_score(candidates: DataFrame, n_docs: Column | int, avgdl: Column | float,
                k1: float = 1.5, b: float = 0.75) -> DataFrame:
     """(query_id, doc_id, score); how often a word occurs in the query does not count."""
+    part = _bm25_part(n_docs, avgdl, k1, b)
+    return candidates.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), DIGITS).alias("score"))
+
+
+def _bm25_part(n_docs: Column | int, avgdl: Column | float, k1: float, b: float) -> Column:
+    """What one term adds to the score of a document."""
     avgdl = avgdl if isinstance(avgdl, Column) else F.lit(avgdl)
     saturation = F.col("tf") + k1 * (1 - b + b * F.try_divide(F.col("dl"), avgdl))
-    part = bm25_idf(n_docs) * F.col("tf") * (k1 + 1) / saturation
-    return candidates.groupBy("query_id", "doc_id").agg(F.round(F.sum(part), DIGITS).alias("score"))
+    return bm25_idf(n_docs) * F.col("tf") * (k1 + 1) / saturation
+
+
+def bm25_scores(candidates: DataFrame, n_docs: Column | int, avgdl: Column | float,
+                variants: Sequence[tuple[float, float, int]]) -> DataFrame:
+    """(variant, query_id, doc_id, score): the scores of all ``variants`` (k1, b, term set), numbered from 0.
+
+    ``candidates`` name in ``term_sets`` the term sets that hold the term. A posting is not repeated per
+    variant: up to SCORE_COLUMNS of them are summed side by side, so the exchange by query and document
+    carries one row with a score for each.
+    """
+    groups = [range(i, min(i + SCORE_COLUMNS, len(variants))) for i in range(0, len(variants), SCORE_COLUMNS)]
+    none = F.lit(None).cast("double")
+
+    def part(v: int) -> Column:
+        k1, b, terms = variants[v]
+        return F.when(F.array_contains("term_sets", terms), _bm25_part(n_docs, avgdl, k1, b))
+
+    width = range(min(SCORE_COLUMNS, len(variants)))
+    parts = F.array(*[F.struct(F.lit(g).alias("group"), *[(part(group[i]) if i < len(group) else none).alias(f"part{i}")
+                                                          for i in width]) for g, group in enumerate(groups)])
+    rows = candidates.select("query_id", "doc_id", F.explode(parts).alias("p")).select("query_id", "doc_id", "p.*")
+    sums = rows.groupBy("query_id", "doc_id", "group").agg(*[F.round(F.sum(f"part{i}"), DIGITS).alias(f"score{i}") for i in width])
+    scores = F.array(*[F.struct((F.col("group") * SCORE_COLUMNS + i).alias("variant"), F.col(f"score{i}").alias("score"))
+                       for i in width])
+    return sums.select("query_id", "doc_id", F.explode(scores).alias("s")).where("s.score is not null").select(
+        "s.variant", "query_id", "doc_id", "s.score")

@@ -7,6 +7,7 @@ the query batch is looked at beforehand.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from lexispark.operators import fusion, scoring
 from lexispark.operators.matching import inspect_batch, lookup_linked, lookup_postings, lookup_statistics, match_terms
 from lexispark.operators.query_terms import (
-    process_queries, re_process_queries, term_counts, weigh_query_terms)
+    process_queries, re_process_queries, similar_terms, term_counts, weigh_query_terms)
 from lexispark.operators.statistics import length_weight
 from lexispark.settings import materialize
 from lexispark.sources.index_store import InvertedIndex
@@ -87,6 +88,36 @@ class SearchEngine:
         """Binary matching of link texts; targets without a title are dropped."""
         return self._binary(self.anchor, queries, distinct_terms)
 
+    def search_body_bm25_variants(self, queries: DataFrame, variants: Sequence[tuple[float, float, int, float]],
+                                  stemming: bool = False, n: int = 100, expand: bool = False) -> DataFrame:
+        """(variant, query_id, rank, doc_id, score): ``search_body_bm25`` for all ``variants`` in one plan.
+
+        A variant is (k1, b, similar_words, similarity), numbered from 0; without ``expand`` only k1 and b
+        matter. Neighbours are searched once, with the loosest of the settings, and the postings of all terms are
+        read once; a term carries the settings that it belongs to.
+        """
+        index = self.body_stemmed if stemming else self.body
+        tokens = process_queries(queries, stemming)
+        settings = list(dict.fromkeys((words, near) if expand else () for _, _, words, near in variants))
+        every = F.array(*[F.lit(i) for i in range(len(settings))])
+        terms = tokens.select("query_id", "term", every.alias("term_sets"))
+        if expand:
+            offers = similar_terms(tokens, self.word_vectors, max(w for w, _ in settings), min(s for _, s in settings))
+            within = F.array_compact(F.array(*[F.when((F.col("rank") <= w) & (F.col("similarity") > s), i)
+                                               for i, (w, s) in enumerate(settings)]))
+            added = tokens.join(offers, "term").select("query_id", F.col("similar").alias("term"), within.alias("term_sets"))
+            terms = terms.unionByName(added)
+        terms = terms.groupBy("query_id", "term").agg(
+            F.array_distinct(F.flatten(F.collect_set("term_sets"))).alias("term_sets")).where(F.size("term_sets") > 0)
+        if expand:
+            # The neighbour search is the costly part; the size check must not repeat it.
+            terms = materialize(terms)
+        batch = inspect_batch(terms, index.n_buckets, index.n_postings)
+        matches = lookup_postings(index, lookup_statistics(index, terms, batch), batch)
+        asked = [(k1, b, settings.index((words, near) if expand else ())) for k1, b, words, near in variants]
+        hits = scoring.bm25_scores(scoring.term_candidates(matches), index.n_docs, index.avgdl, asked)
+        return fusion.top_n(hits, n, run=["variant"]).select("variant", *HITS)
+
     # ---- fused sources --------------------------------------------------------------
 
     def search_body_and_title_bm25(self, queries: DataFrame, stemming: bool = False, n: int = 100,

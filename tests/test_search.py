@@ -1,8 +1,11 @@
+from dataclasses import replace
+
 import pytest
 
 from brute import Index, fuse, top
 from lexispark.functions.stemming import stem_tokens
 from lexispark.functions.text import regex_tokens, word_tokens
+from lexispark.operators import scoring
 from lexispark.operators.postings import explode_anchors
 from lexispark.plans.build import add_documents, build_anchor_index, build_index
 from lexispark.plans.search import SearchEngine
@@ -149,3 +152,25 @@ def test_lists_cover_all_postings(corpus):
         assert [tuple(p) for p in r.postings] == sorted(tuple(p) for p in r.postings)
         lists.setdefault(r.term, {}).update({p.doc_id: p.tf for p in r.postings})
     assert lists == dict(brute["body"].lists)
+
+
+def test_variants_in_one_plan_equal_single_searches(corpus, spark, monkeypatch):
+    """One reading of the postings and one neighbour search answer every setting, whatever fits in a row."""
+    engine, queries, _ = corpus
+    monkeypatch.setattr(scoring, "SCORE_COLUMNS", 3)
+    vectors = spark.createDataFrame(
+        [("java", [1.0, 0.0]), ("coffee", [0.9, 0.1]), ("island", [0.7, 0.7]), ("python", [0.0, 1.0]), ("snakes", [0.1, 0.9])],
+        "term string, vec array<double>")
+    engine = replace(engine, word_vectors=vectors)
+    for expand, stemming in ((False, False), (True, False), (True, True)):
+        variants = [(k1, b, words, near) for k1 in (1.2, 2.0) for b in (0.2,) for words, near in ((1, 0.3), (3, 0.3), (3, 0.95))]
+        found = engine.search_body_bm25_variants(queries, variants, stemming=stemming, n=4, expand=expand)
+        got = {}
+        for r in found.collect():
+            got.setdefault(r.variant, set()).add((r.query_id, r["rank"], r.doc_id, r.score))
+        for i, (k1, b, words, near) in enumerate(variants):
+            single = engine.search_body_bm25(queries, k1, b, stemming, 4, expand, words, near)
+            assert got.get(i, set()) == {(r.query_id, r["rank"], r.doc_id, r.score) for r in single.collect()}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        scans = [line for line in plan.splitlines() if "Relation" in line and ",tf#" in line]
+        assert len(scans) == 1, plan
