@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexispark.operators.skew import number_rows
+from lexispark.operators.splitters import block_of
 from lexispark.settings import BROADCAST_ROWS
 
 DIGITS = 6
@@ -23,14 +24,15 @@ def top_n(hits: DataFrame, n: int = 100, run: Sequence[str] = ()) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def rank_all(hits: DataFrame, block_docs: int = RANK_BLOCK_DOCS) -> DataFrame:
+def rank_all(hits: DataFrame, block_docs: int = RANK_BLOCK_DOCS, splitters: Sequence[int] | None = None) -> DataFrame:
     """Rank of every hit of lists with whole-number scores, however long the list is.
 
-    ``block_docs`` should cut the id range into some ten thousand blocks, as the default does
-    for 32-bit ids.
+    A list is cut by score and by blocks of ids: at ``splitters`` measured on the documents of the index
+    (``InvertedIndex.splitters``), which bounds blocks and their number for any ids; without them at every
+    ``block_docs``, which should cut the range of the ids into some ten thousand blocks.
     """
-    return number_rows(hits, ["query_id"], [-F.col("score"), F.floor(F.col("doc_id") / block_docs)],
-                       [F.col("doc_id")])
+    block = F.floor(F.col("doc_id") / block_docs) if splitters is None else block_of(F.col("doc_id"), splitters)
+    return number_rows(hits, ["query_id"], [-F.col("score"), block], [F.col("doc_id")])
 
 
 def _provably_small(max_rows: int | None) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexispark.functions.stemming import stem_tokens
 from lexispark.functions.text import regex_tokens
+from lexispark.operators.splitters import block_of
 
 N_BUCKETS = 124          # fixed value: number of hash buckets of an index
 # Doc-id width of one posting-list block; 32-bit ids give at most 65,536 blocks per term.
@@ -61,13 +62,18 @@ def anchor_postings(anchors: DataFrame, stemming: bool = False) -> DataFrame:
     return count_words(anchors.select("doc_id", "text"), stemming=stemming).select("term", "doc_id", "tf").distinct()
 
 
-def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS) -> DataFrame:
+def posting_lists(postings: DataFrame, block_docs: int = BLOCK_DOCS,
+                  splitters: Sequence[int] | None = None) -> DataFrame:
     """Posting lists sorted by (doc_id, tf), cut into doc-id blocks.
 
-    A block holds the documents of one ``block_docs`` wide id range, so no array and no
-    task grows with the frequency of a term. Blocks in ascending order are the full list.
+    A block holds the documents of one ``block_docs`` wide id range, or with ``splitters`` those from one
+    splitter to the next, so no array and no task grows with the frequency of a term. Splitters measured on
+    the documents keep blocks even, and their number bounded, where ids are sparse. Blocks in ascending
+    order are the full list.
     """
-    blocked = postings.withColumn("block", F.floor(F.col("doc_id") / block_docs).cast("bigint"))
+    doc_id = F.col("doc_id")
+    block = F.floor(doc_id / block_docs) if splitters is None else block_of(doc_id, splitters)
+    blocked = postings.withColumn("block", block.cast("bigint"))
     return blocked.groupBy("term", "block").agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
 

@@ -213,4 +213,4 @@ class SearchEngine:
         matches = match_terms(index, term_counts(re_process_queries(queries)))
         # Targets without a title leave the list before it is numbered.
         hits = fusion.attach_titles(scoring.binary_ranking(matches, distinct_terms), self.titles)
-        return fusion.rank_all(hits).select(*TITLED_HITS)
+        return fusion.rank_all(hits, splitters=index.splitters()).select(*TITLED_HITS)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexispark import schemas
 from lexispark.operators.postings import N_BUCKETS, posting_lists, term_bucket
+from lexispark.operators.splitters import BLOCK_DOCS, id_splitters
 from lexispark.operators.statistics import doc_norms, inverse_document_frequency
 from lexispark.settings import push_literals
 
@@ -76,6 +77,10 @@ class InvertedIndex:
         gens = self.commit.gens if gens is None else gens
         return read_table(self.spark, self.root, name, gens).where(F.col("gen").isin(list(gens))).drop("gen")
 
+    def splitters(self, block_docs: int = BLOCK_DOCS) -> list[int]:
+        """First ids of even blocks of the documents; one pass over the ids, none over an index of a single block."""
+        return id_splitters(self.lengths, self.n_docs, block_docs)
+
     @property
     def postings(self) -> DataFrame:
         """bucket, term, doc_id, tf, dl"""
@@ -225,9 +230,11 @@ def refresh_norms(spark: SparkSession, root: str) -> InvertedIndex:
 
 # ---- reading ----------------------------------------------------------------------------
 
-def scan_posting_lists(index: InvertedIndex, block_docs: int | None = None) -> DataFrame:
-    """All posting lists of terms that have statistics."""
+def scan_posting_lists(index: InvertedIndex, block_docs: int | None = None, measured: bool = False) -> DataFrame:
+    """All posting lists of terms that have statistics; ``measured`` cuts them into blocks of documents, not of the id range."""
     known = index.postings.join(index.term_stats.select("term"), "term", "left_semi")
+    if measured:
+        return posting_lists(known, splitters=index.splitters(block_docs or BLOCK_DOCS))
     return posting_lists(known, block_docs) if block_docs else posting_lists(known)
 
 

@@ -1,4 +1,5 @@
 import random
+from bisect import bisect_right
 
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from lexispark.operators import fusion, metrics, selection, skew, statistics
 from lexispark.operators.postings import (
     anchor_postings, count_words, merge_posting_lists, posting_lists, term_bucket, unnest_posting_lists)
 from lexispark.operators.similarity import most_similar
+from lexispark.operators.splitters import block_of, id_splitters
 
 
 def hits(spark, *lists):
@@ -92,6 +94,25 @@ def test_numbering_in_pieces_equals_one_window(spark, rows):
     assert rows(fusion.rank_all(df, block_docs=7), "query_id", "doc_id", "score", "rank") == sorted(want)
 
 
+def test_measured_blocks_bound_pieces_and_their_number(spark, rows):
+    rng = random.Random(4)
+    ids = sorted({rng.randint(-2 ** 63, 2 ** 63 - 1) for _ in range(4000)} | set(range(1000)))   # sparse, and a dense spot
+    docs = spark.createDataFrame([(d,) for d in ids], "doc_id bigint")
+    splitters = id_splitters(docs, len(ids), 100)
+    assert 40 <= len(splitters) < 50
+    assert id_splitters(docs, 100, 100) == [] and id_splitters(docs.limit(0), 0) == []
+
+    blocks = docs.withColumn("block", block_of(F.col("doc_id"), splitters))
+    assert rows(blocks, "doc_id", "block") == sorted((d, bisect_right(splitters, d)) for d in ids)
+    assert all(r["count"] <= 125 for r in blocks.groupBy("block").count().collect())
+
+    hits = docs.selectExpr("1 AS query_id", "doc_id", "7 AS score")
+    assert rows(fusion.rank_all(hits, splitters=splitters), "doc_id", "rank") == [(d, i + 1) for i, d in enumerate(ids)]
+    lists = posting_lists(docs.selectExpr("'hot' AS term", "doc_id", "1L AS tf"), splitters=splitters)
+    whole = [p.doc_id for r in lists.orderBy("block").collect() for p in r.postings]
+    assert whole == ids and lists.count() == len(splitters) + 1
+
+
 # ---- fusion -----------------------------------------------------------------------------
 
 def test_scaling(spark, rows):

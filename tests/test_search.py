@@ -145,10 +145,11 @@ def test_unfinished_generation_stays_invisible(spark, corpus, tmp_path, rows):
     assert grown.postings.groupBy("term", "doc_id").count().where("count > 1").count() == 0
 
 
-def test_lists_cover_all_postings(corpus):
+@pytest.mark.parametrize("measured", [False, True])
+def test_lists_cover_all_postings(corpus, measured):
     engine, _, brute = corpus
     lists = {}
-    for r in scan_posting_lists(engine.body, block_docs=3).collect():
+    for r in scan_posting_lists(engine.body, block_docs=3, measured=measured).collect():
         assert [tuple(p) for p in r.postings] == sorted(tuple(p) for p in r.postings)
         lists.setdefault(r.term, {}).update({p.doc_id: p.tf for p in r.postings})
     assert lists == dict(brute["body"].lists)
