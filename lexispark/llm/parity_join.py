@@ -279,8 +279,11 @@ def _to_centres(rest: DataFrame) -> DataFrame:
 
     Of each word, the centre is the document nearest to the others of the largest component, by its overlap.
     """
-    members = rest.select("doc_id", "root").distinct().groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    sized = stored(rest.join(members, "root"))
+    # rows of documents, not of words, meet their component: one component may hold a large share of all rows
+    docs = stored(rest.select("doc_id", "root").distinct())
+    members = stored(docs.groupBy("root").agg(F.count(F.lit(1)).alias("members")))
+    each = stored(docs.join(broadcast_if_small(members), "root").select("doc_id", "members"))
+    sized = stored(rest.join(broadcast_if_small(each), "doc_id"))
     order = F.struct("members", -F.col("root"), F.col("overlap") / F.col("size"), -F.col("doc_id"))
     centre = sized.groupBy("word").agg(F.max_by(F.struct(F.col("doc_id").alias("centre"), F.col("root").alias("other")), order).alias("c"))
     shared = sized.join(centre.select("word", "c.centre", "c.other"), "word").where("root <> other").groupBy(
