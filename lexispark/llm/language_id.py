@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 UNDETERMINED = "und"
 #: At most this many training texts of each language are read, chosen by a hash of their id.
 SAMPLE_PER_LANGUAGE = 400
+#: Slices of a language that are ranked apart first; it changes the work, not the sample.
+SLICES = 32
 #: Of these, so many are Nyström landmarks.
 LANDMARKS_PER_LANGUAGE = 40
 #: Character n-grams of 1 to this length are blended.
@@ -145,9 +147,13 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, landmarks: int
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         "doc_id", "text", "lang", F.xxhash64("text").alias("hash"), F.length("text").alias("size"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "size"), "doc_id", "hash")
-    ids = usable.select("doc_id", "lang", "hash", "size").distinct().withColumn("rank", F.row_number().over(order)).where(
-        F.col("rank") <= per_language).select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "lang", "hash")], "rank")
+    first = [F.xxhash64("doc_id", "size"), F.col("doc_id"), F.col("hash")]
+    # The first of each slice of a language are ranked before the language meets in one task, as SLICES x per_language rows.
+    ids = usable.select("doc_id", "lang", "hash", "size").distinct().withColumn("slice", F.pmod(F.xxhash64("hash", "doc_id"), F.lit(SLICES)))
+    for keys in (["lang", "slice"], ["lang"]):
+        ids = ids.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*first))).where(
+            F.col("rank") <= per_language)
+    ids = ids.select(*[F.col(c).alias(f"__{c}") for c in ("doc_id", "lang", "hash")], "rank")
     same = F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("lang") == F.col("__lang")) & (F.col("hash") == F.col("__hash"))
     # A repeated row is one training text.
     rows = usable.join(F.broadcast(ids), same).groupBy("lang", "rank").agg(F.min("text").alias("text")).collect()
