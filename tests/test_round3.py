@@ -6,7 +6,8 @@ from collections import Counter
 import numpy as np
 
 from lexispark.functions import stemming
-from lexispark.operators import postings
+from lexispark.operators import postings, similarity
+from lexispark.operators.similarity import most_similar
 
 
 def plan(df):
@@ -35,3 +36,25 @@ def test_stems_are_counted_in_one_python_step(spark, rows, monkeypatch):
     assert text.count("Python") + text.count("MapInArrow") == 1 and "Exchange" not in text
     monkeypatch.setattr(stemming, "MEMO_LIMIT", 2)
     assert rows(postings.count_words(docs, stemming=True)) == rows(counted) == [(1, "cat", 1), (1, "run", 3), (2, "cat", 2)]
+
+
+def test_best_of_rows_with_ties_and_missing_scores():
+    rng = np.random.default_rng(6)
+    scores = np.round(rng.normal(size=(20, 50)), 1) + rng.normal(size=(20, 50)) * 1e-8
+    scores[3], scores[4, 2:] = -np.inf, -np.inf
+    for n in (1, 4, 50, 60):
+        row, column, found = similarity._best_of_rows(scores.copy(), n)
+        for i in range(len(scores)):
+            want = [(s, c) for s, c in sorted((-round(s, 6), c) for c, s in enumerate(scores[i]) if s > -np.inf)][:n]
+            assert [(-s, c) for s, c in zip(found[row == i], column[row == i])] == want
+
+
+def test_neighbours_travel_in_large_blocks(spark, rows, monkeypatch):
+    vectors = spark.createDataFrame([(i, [float(i % 5), 1.0]) for i in range(40)] + [(7, [9.0, 1.0]), (None, [1.0, 1.0]), (99, [float("nan"), 1.0])],
+                                    "id bigint, vec array<double>")
+    key = lambda df: sorted((tuple(r) for r in df.select("query", "rank", "id", "similarity").collect()), key=str)
+    one = key(most_similar(vectors, vectors, 3))
+    assert not [r for r in one if r[0] is not None and (r[0] == r[2] or 99 in r[::2])]
+    monkeypatch.setattr(similarity, "SCORE_ROWS", 7)
+    assert key(most_similar(vectors, vectors, 3)) == one
+    assert similarity.QUERY_BLOCK >= 8192 and similarity.VECTOR_BLOCK >= 16384
