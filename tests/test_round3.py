@@ -4,9 +4,10 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from lexispark.functions import stemming
-from lexispark.operators import postings, similarity
+from lexispark.operators import postings, scoring, similarity
 from lexispark.operators.similarity import most_similar
 
 
@@ -38,6 +39,28 @@ def test_stems_are_counted_in_one_python_step(spark, rows, monkeypatch):
     assert rows(postings.count_words(docs, stemming=True)) == rows(counted) == [(1, "cat", 1), (1, "run", 3), (2, "cat", 2)]
 
 
+def test_matches_are_summed_behind_the_exchange(spark, rows):
+    matches = spark.createDataFrame([(1, 5, "a", 2), (1, 5, "b", 1), (1, 6, "a", 2), (None, 6, "a", 2)],
+                                    "query_id bigint, doc_id bigint, term string, qtf bigint")
+    for distinct, expected in ((True, [(1, 5, 2), (1, 6, 1), (None, 6, 1)]), (False, [(1, 5, 3), (1, 6, 2), (None, 6, 2)])):
+        ranked = scoring.binary_ranking(matches, distinct_terms=distinct)
+        # No sums below the exchange, where they would hold all matches of a scan.
+        assert "Aggregate" not in plan(ranked).split("Exchange hashpartitioning(query_id")[1]
+        assert sorted((tuple(r) for r in ranked.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_scores_of_variants_travel_as_frequencies(spark, rows):
+    data = [(1, d, 1 + d % 3, 10 + d % 7, 4, [0]) for d in range(50)] + [(1, d, 2, 10 + d % 7, 9, [0]) for d in range(0, 50, 3)]
+    candidates = spark.createDataFrame(data, "query_id bigint, doc_id bigint, tf bigint, dl bigint, df bigint, term_sets array<int>")
+    asked = [(1.2, 0.2, 0), (2.0, 0.75, 0)]
+    scores = scoring.bm25_scores(candidates, 60, 12.0, asked, len(data))
+    below = plan(scores).split("Exchange hashpartitioning(query_id")[1]
+    assert "Aggregate" not in below and "part0" not in below
+    for v, (k1, b, _) in enumerate(asked):
+        alone = rows(scoring.bm25_score(candidates, 60, 12.0, k1, b), "query_id", "doc_id", "score")
+        assert rows(scores.where(F.col("variant") == v), "query_id", "doc_id", "score") == alone
+
+
 def test_best_of_rows_with_ties_and_missing_scores():
     rng = np.random.default_rng(6)
     scores = np.round(rng.normal(size=(20, 50)), 1) + rng.normal(size=(20, 50)) * 1e-8
