@@ -39,6 +39,21 @@ def test_stems_are_counted_in_one_python_step(spark, rows, monkeypatch):
     assert rows(postings.count_words(docs, stemming=True)) == rows(counted) == [(1, "cat", 1), (1, "run", 3), (2, "cat", 2)]
 
 
+def test_dense_rows_stay_where_they_are(spark, rows):
+    rng = random.Random(4)
+    weights = [(q, d, f"t{t}", float(rng.randint(1, 9))) for q in range(3) for d in range(40)
+               for t in rng.sample(range(12), rng.randint(1, 5))]
+    matches = spark.createDataFrame(weights, "query_id bigint, doc_id bigint, term string, idf double").withColumns(
+        {"tf": F.lit(1).cast("bigint"), "dl": F.lit(1).cast("bigint")})
+    dense = scoring.dense_tfidf_matrix(scoring.candidate_tfidf(matches))
+    # The rows of the documents move once, by query and document; not again to meet the columns of their query.
+    assert plan(dense).count("Exchange hashpartitioning") == 1
+    terms = {q: sorted({t for p, _, t, _ in weights if p == q}) for q in range(3)}
+    found = {(q, d, t): w for q, d, t, w in weights}
+    assert sorted((r.query_id, r.doc_id, r.terms, r.weights) for r in dense.collect()) == [
+        (q, d, terms[q], [found.get((q, d, t), 0.0) for t in terms[q]]) for q, d in sorted({(q, d) for q, d, _, _ in weights})]
+
+
 def test_matches_are_summed_behind_the_exchange(spark, rows):
     matches = spark.createDataFrame([(1, 5, "a", 2), (1, 5, "b", 1), (1, 6, "a", 2), (None, 6, "a", 2)],
                                     "query_id bigint, doc_id bigint, term string, qtf bigint")
