@@ -14,7 +14,7 @@ from lexispark import schemas
 from lexispark.plans.build import one_per_id, publish_tokens, tokenize_documents
 from lexispark.sources.index_store import InvertedIndex, read_index
 
-_INBOX = schemas.TOKENS.rpartition(", ")[0]
+_INBOX = schemas.INBOX
 
 
 def stream_documents(spark: SparkSession, path: str, **options: str) -> DataFrame:
