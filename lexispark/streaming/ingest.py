@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from lexispark import schemas
-from lexispark.plans.build import one_per_id, publish_tokens, tokenize_documents
+from lexispark.plans.build import not_indexed, one_per_id, publish_tokens, tokenize_documents
 from lexispark.sources.index_store import InvertedIndex, read_index
 
 _INBOX = schemas.INBOX
@@ -44,5 +44,7 @@ def publish_inbox(spark: SparkSession, inbox: str, root: str, first: bool = Fals
     if previous and not new:
         return previous
     tokens = spark.read.schema(_INBOX).parquet(*new) if new else spark.createDataFrame([], _INBOX)
+    if previous:
+        tokens = not_indexed(tokens, previous)
     return publish_tokens(spark, root, one_per_id(tokens), previous, refresh=refresh,
                           inbox_files=[name(f) for f in new], **settings)

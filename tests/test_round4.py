@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from lexispark.operators.postings import count_tokens, term_bucket
+from lexispark.plans import build
 from lexispark.sources import index_store
 from lexispark.sources.index_store import write_postings
 
@@ -40,3 +41,17 @@ def test_postings_are_taken_once_and_spread_over_files(spark, rows, tmp_path, mo
     assert stored.where(F.col("bucket") != term_bucket("term", 4)).isEmpty()
     assert stored.where("term = 'hot'").select(F.input_file_name()).distinct().count() == 3  # 1000 rows, 4 buckets, 100 each
     write_postings(postings.limit(0), str(tmp_path / "none"), 0, 4)
+
+
+def test_equal_rows_are_tokenised_once(spark, rows, tmp_path, monkeypatch):
+    seen, whole = [], build.tokenize_documents
+    monkeypatch.setattr(build, "tokenize_documents", lambda docs, *args: seen.append(docs.count()) or whole(docs, *args))
+    docs = [(1, "java"), (2, "tea pot"), (3, "x"), (None, "null"), (None, "null")]
+    build.build_index(spark.createDataFrame(docs[:1], "doc_id bigint, text string"), str(tmp_path / "i"), n_buckets=4)
+    seen.clear()
+    more = docs * 2 + [(2, "tea"), (4, None), (4, "red blue"), (4, "blue red"), (5, "alone")]
+    index = build.add_documents(spark.createDataFrame(more, "doc_id bigint, text string"), str(tmp_path / "i"))
+    # Known ids are not tokenised, equal rows once; rows without an id are rows of their own.
+    assert sorted(seen) == [5, 6]
+    assert sorted(map(str, rows(index.lengths.na.fill(-1)))) == sorted(map(str, [(1, 1), (2, 2), (3, 1), (4, 2), (5, 1)] + [(-1, 1)] * 4))
+    assert rows(index.postings.where("doc_id = 4 or doc_id = 2"), "doc_id", "term") == [(2, "pot"), (2, "tea"), (4, "blue"), (4, "red")]
