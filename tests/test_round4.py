@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from lexispark.operators.postings import count_tokens, term_bucket
+from lexispark.operators.scoring import term_candidates
 from lexispark.plans import build
 from lexispark.sources import index_store
 from lexispark.sources.index_store import write_postings
@@ -55,3 +56,16 @@ def test_equal_rows_are_tokenised_once(spark, rows, tmp_path, monkeypatch):
     assert sorted(seen) == [5, 6]
     assert sorted(map(str, rows(index.lengths.na.fill(-1)))) == sorted(map(str, [(1, 1), (2, 2), (3, 1), (4, 2), (5, 1)] + [(-1, 1)] * 4))
     assert rows(index.postings.where("doc_id = 4 or doc_id = 2"), "doc_id", "term") == [(2, "pot"), (2, "tea"), (4, "blue"), (4, "red")]
+
+
+def test_link_candidates_are_merged_behind_the_exchange(spark, rows):
+    schema = "query_id bigint, term string, doc_id bigint, df bigint, tf bigint, dl bigint"
+    own = spark.createDataFrame([(1, "a", d, 9, 2, 5) for d in range(6)] + [(None, "a", 1, 9, 2, 5)], schema)
+    linked = spark.createDataFrame([(1, "a", d, 9, d, None) for d in range(4, 9)] + [(1, "a", 7, 9, 9, None)], schema)
+    lengths = spark.createDataFrame([(d, 7) for d in range(8)], "doc_id bigint, dl bigint")
+    merged = term_candidates(own, linked, lengths)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # A scan meets no posting twice: sums below the exchange would hold all of its matches.
+    assert "Aggregate" not in plan.split("Exchange hashpartitioning(query_id", 1)[1].split("Exchange")[0].split("Scan")[0]
+    assert sorted(str(tuple(r)) for r in merged.select("query_id", "doc_id", "tf", "dl").collect()) == sorted(map(str, [
+        *[(1, d, 2, 5) for d in range(6)], (None, 1, 2, 5), (1, 6, 6, 7), (1, 7, 9, 7)]))
