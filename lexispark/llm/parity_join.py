@@ -23,6 +23,18 @@ BRIEF_BYTES, COMPARED = 256, 50_000
 CENTRES = 4
 #: Bits of a sketch for each token; it changes how many pairs are read in full, not the links.
 SKETCH_BITS = 4
+#: Tokens from which on sketch words count as equally full; it changes which words are heads, not the links.
+FULL_WORD = 15
+
+
+def _keys(value: np.ndarray, at: np.ndarray, upper: int, held: np.ndarray) -> np.ndarray:
+    """Keys of sketch words by value, place and band: 48 bits of a hash below how few tokens a word holds.
+
+    Words agree where all their tokens do, so equal words hold equally many, and order by key is the same for all
+    documents. Words of many tokens come first: texts that share passages only, or stock phrases, seldom agree in them.
+    """
+    few = FULL_WORD - np.minimum(held, FULL_WORD)
+    return (few << 48) | (mix(value ^ mix(at + np.uint64(upper << 32))) >> np.uint64(16)).view(np.int64)
 
 
 def bands(tokens: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
@@ -35,7 +47,8 @@ def bands(tokens: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
     tokens, hence in at most k words: of the words of a that are not zero, all but k agree with b.
     The keys are these words, of its own band and, where a partner can be larger than that, of
     the next. If all but k are too few, the keys are all words, zero ones too, which has the same
-    guarantee. A word is held as the XOR of hashes of its set bits.
+    guarantee. A word is held as the XOR of hashes of its set bits. Keys of words with more tokens are
+    smaller (see ``_keys``).
     """
     n = len(tokens)
     if not n:
@@ -55,14 +68,14 @@ def bands(tokens: np.ndarray, percent: int) -> list[tuple[np.ndarray, int]]:
         words = 64 * upper if upper <= 64 else most + most // 8 + 16
         place = (high * np.uint64(words)) >> np.uint64(32)
         begin = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        value, at = np.bitwise_xor.reduceat(bits, begin), place[begin]
-        value, at = value[value != 0], at[value != 0]
+        value, at, held = np.bitwise_xor.reduceat(bits, begin), place[begin], np.diff(begin, append=n)
+        value, at, held = value[value != 0], at[value != 0], held[value != 0]
         need = max(len(value) - differ, 2)
         if len(value) - differ < 2:
-            full = np.zeros(words, np.uint64)
-            full[at] = value
-            value, at = full, np.arange(words, dtype=np.uint64)
-        out.append((mix(value ^ mix(at + np.uint64(upper << 32))).view(np.int64) >> 16, need))
+            full, tokens_at = np.zeros(words, np.uint64), np.zeros(words, np.int64)
+            full[at], tokens_at[at] = value, held
+            value, at, held = full, np.arange(words, dtype=np.uint64), tokens_at
+        out.append((_keys(value, at, upper, held), need))
     return out
 
 
@@ -200,7 +213,7 @@ def similar_documents(docs: DataFrame, percent: int = 80) -> DataFrame:
     (with fewer words, all of them as one). Two documents are linked if 100 * intersection >= percent *
     union; ``component_id`` is the smallest doc_id that links lead to, its own included.
 
-    1. Equal sets are merged. Linked documents share a head word (see ``head_words``); those that
+    1. Equal sets are merged. Linked documents share a head word (see ``head_words``), one of the fullest; those that
        share one with nobody are done. Of the others, all sketch words (see ``bands``) are taken;
        words that occur once are dropped, and documents that are left with fewer words than a link needs.
     2. Stars: each document is compared with the first document of the words it shares, the one it
@@ -249,14 +262,18 @@ def _similar(docs: DataFrame, percent: int) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("root", "doc_id").alias("component_id"))
 
 
+def _repeated(words: DataFrame) -> DataFrame:
+    """The rows (doc_id, word) whose word several documents have. All rows move once, whatever the number of such words."""
+    same = Window.partitionBy("word")
+    return words.withColumns({"low": F.min("doc_id").over(same), "high": F.max("doc_id").over(same)}).where(
+        "low < high").select("word", "doc_id")
+
+
 def _near(texts: DataFrame, heads: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """(word, doc_id, degree): sketch words that occur twice, of documents that share a head word and hold as many as a link needs."""
-    repeated = stored(heads.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("word"))
-    alive = stored(heads.join(broadcast_if_small(repeated), "word").select("doc_id").distinct())
-    words = stored(texts.join(broadcast_if_small(alive), "doc_id", "left_semi").mapInArrow(_words(percent), "doc_id bigint, word bigint"))
-    shared = words.groupBy("word").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where(
-        "first < last").select("word")
-    near = stored(words.join(broadcast_if_small(stored(shared)), "word"))
+    alive = stored(_repeated(heads).select("doc_id").distinct())
+    words = texts.join(broadcast_if_small(alive), "doc_id", "left_semi").mapInArrow(_words(percent), "doc_id bigint, word bigint")
+    near = stored(_repeated(words))
 
     # the first document of a word is the one with most shared words, the centre of its near copies
     degree = stored(near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree")).join(

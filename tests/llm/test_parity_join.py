@@ -131,3 +131,25 @@ def test_head_words_and_bit_sketches(size):
             assert parity_join.least_difference(x, y) == parity_join.least_difference(y, x) <= len(np.setxor1d(a, b))
     assert len(parity_join.head_words(np.empty(0, np.uint64), 80)) == 0
     assert parity_join.least_difference(parity_join.bit_sketch(a), parity_join.bit_sketch(a)) == 0
+
+
+def test_repeated_words_move_once(spark):
+    """Which words several documents have is found without a join: the rows are exchanged once."""
+    rows = [(1, 7), (2, 7), (1, 8), (1, 8), (3, 9), (4, 9), (5, 9), (6, 5)]
+    found = parity_join._repeated(spark.createDataFrame(rows, "doc_id bigint, word bigint"))
+    assert sorted((r.doc_id, r.word) for r in found.collect()) == [(1, 7), (2, 7), (3, 9), (4, 9), (5, 9)]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_head_words_are_full_words():
+    """Sets that share half of their tokens, too few for a link, share fewer heads than any choice by chance would."""
+    rng = np.random.default_rng(3)
+    heads = words = share = 0
+    for size in range(140, 250, 2):
+        tokens = rng.integers(0, 1 << 63, 3 * size // 2, dtype=np.uint64) * np.uint64(2)
+        a, b = np.unique(tokens[:size]), np.unique(tokens[size // 2:])
+        heads += len(np.intersect1d(parity_join.head_words(a, 80), parity_join.head_words(b, 80)))
+        words += len(np.intersect1d(sketch_words(a, 80)[0], sketch_words(b, 80)[0]))
+        share += len(parity_join.head_words(a, 80)) / len(sketch_words(a, 80)[0])
+    assert heads < 0.6 * words * share / 55
