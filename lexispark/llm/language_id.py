@@ -182,7 +182,11 @@ def language(text: Column, model: LanguageModel) -> Column:
 
 
 def recognised(text: Column, model: LanguageModel) -> Column:
-    """Column struct<lang, score, clear>: as ``language``, and whether the text is in one of the languages at all."""
+    """Column struct<lang, score, clear>: as ``language``, and whether the text is in one of the languages at all.
+
+    Spark copies a deterministic function into a filter on its result, and would classify each text twice, in two
+    Python workers for each task.
+    """
     shared = SparkSession.getActiveSession().sparkContext.broadcast(model)
 
     @F.pandas_udf(StructType().add("lang", "string").add("score", "double").add("clear", "boolean"))
@@ -192,4 +196,4 @@ def recognised(text: Column, model: LanguageModel) -> Column:
             labels, scores, clear = own.recognised(batch.tolist())
             yield pd.DataFrame({"lang": labels, "score": scores, "clear": clear})
 
-    return predict(text)
+    return predict.asNondeterministic()(text)

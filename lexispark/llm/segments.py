@@ -133,11 +133,11 @@ def merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[new], end[np.append(np.flatnonzero(new)[1:] - 1, len(end) - 1)]
 
 
-def spans_of(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
-    """Every document with all its columns, and ``__spans``, the union of its marked windows.
+def row_spans(marks: DataFrame, window: int) -> DataFrame:
+    """(__rid, __spans) of the documents that ``marks`` (rid, lo, hi), ranges of window starts, lie in.
 
-    ``marks`` (rid, lo, hi) are ranges of window starts; ``__spans`` are array<struct<lo,hi>> of values,
-    ascending and apart, empty where nothing is marked.
+    ``__spans`` is the union of the marked windows, array<struct<lo,hi>> of values, ascending and apart. Store it before
+    ``with_spans``: a stage that also cuts the texts would hold two Python workers for each of its tasks.
     """
     @F.pandas_udf("array<struct<lo:int,hi:int>>")
     def union(lists: pd.Series) -> pd.Series:
@@ -145,8 +145,12 @@ def spans_of(docs: DataFrame, marks: DataFrame, window: int) -> DataFrame:
             marks >> 32, (marks & 0xFFFFFFFF) + window - 1)))] for marks in lists])
 
     packed = F.col("lo").cast("bigint") * F.lit(1 << 32) + F.col("hi")
-    by_row = marks.groupBy(F.col("rid").alias("__rid")).agg(F.collect_set(packed).alias("marks")).select(
+    return marks.groupBy(F.col("rid").alias("__rid")).agg(F.collect_set(packed).alias("marks")).select(
         "__rid", union("marks").alias("__spans"))
+
+
+def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """Every document with all its columns, and ``__spans`` of the result of ``row_spans``, empty where nothing is marked."""
     none = F.array().cast("array<struct<lo:int,hi:int>>")
-    return docs.withColumn("__rid", row_key()).join(by_row, "__rid", "left").withColumn(
+    return docs.withColumn("__rid", row_key()).join(spans, "__rid", "left").withColumn(
         "__spans", F.coalesce("__spans", none)).drop("__rid")

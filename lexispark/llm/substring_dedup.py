@@ -12,8 +12,8 @@ from pyspark.sql.types import StringType, StructType
 
 from .automata import SuffixAutomaton
 from .hashing import joined, running, slices, word_bounds, word_hashes
-from .segments import dealt, repeated_segments, runs, segments, spans_of, variant_texts
-from .tables import stored
+from .segments import dealt, repeated_segments, row_spans, runs, segments, variant_texts, with_spans
+from .tables import finished, stored
 
 #: Words of one automaton.
 SHARD_WORDS = 100_000
@@ -73,6 +73,11 @@ def earlier_spans(docs: DataFrame, window: int = 50, gram: int = 16) -> DataFram
     repeated rows share their id, so none is earlier than the other; other columns are
     kept; an empty table gives no rows.
     """
+    return with_spans(docs, finished(lambda: row_spans(_marks(docs, window, gram), window)))
+
+
+def _marks(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """(rid, lo, hi): ranges of window starts that repeat an earlier document."""
     found = stored(segments(docs.where(F.col("doc_id").isNotNull()), word_hashes, window, gram))
     near = stored(repeated_segments(found))
     variants = stored(near.groupBy("anchor", "content", "variants").agg(
@@ -88,9 +93,8 @@ def earlier_spans(docs: DataFrame, window: int = 50, gram: int = 16) -> DataFram
               .unionByName(dealt_out.join(least, ["anchor", "print"]).withColumn("first_doc", F.col("least")).select(ranges))
               .unionByName(variants.where(~F.col("variants")).select(
                   "anchor", "content", F.lit(0).alias("lo"), F.col("rep.windows").alias("hi"), "first_doc")))
-    marks = near.join(ranges, ["anchor", "content"]).where(F.col("first_doc") < F.col("doc_id")).select(
+    return near.join(ranges, ["anchor", "content"]).where(F.col("first_doc") < F.col("doc_id")).select(
         "rid", (F.col("start") + F.col("lo")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
-    return spans_of(docs, marks, window)
 
 
 def kept_words(text: str, spans) -> list[bytes]:

@@ -5,6 +5,22 @@ from __future__ import annotations
 import numpy as np
 
 
+#: Suffixes that are sorted at once in a round, with the rest of their last group; it changes the memory, not the order.
+SORTED = 1 << 16
+
+
+def _first_of_run(new: np.ndarray) -> np.ndarray:
+    """For each place, where the run that it lies in begins; ``new`` marks where runs begin."""
+    return np.maximum.accumulate(np.where(new, np.arange(len(new), dtype=np.int32), np.int32(0)))
+
+
+def _alone(new: np.ndarray) -> np.ndarray:
+    """Which places are runs by themselves."""
+    alone = new.copy()
+    alone[:-1] &= new[1:]
+    return alone
+
+
 def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of ``text`` (uint8), sorted by the first ``depth`` bytes, and the ranks.
 
@@ -16,30 +32,37 @@ def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
     key = np.zeros(n, np.uint64)
     for i in range(8):
-        key = (key << np.uint64(8)) | padded[i:n + i]
+        key <<= np.uint64(8)
+        key |= padded[i:n + i]
     order = np.argsort(key, kind="stable").astype(np.int32)
-    new = np.concatenate([[True], key[order[1:]] != key[order[:-1]]]) if n else np.empty(0, bool)
+    key = key[order]
+    new = np.ones(n, bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
     del key, padded
-    heads = np.maximum.accumulate(np.where(new, np.arange(n, dtype=np.int32), 0))
     rank = np.empty(n + 1, np.int32)
-    rank[order] = heads
+    rank[order] = _first_of_run(new)
     rank[n] = -1
     sorted_to = 8
-    single = new & np.append(new[1:], True)
-    open_at = np.flatnonzero(~single)
+    open_at = np.flatnonzero(~_alone(new)).astype(np.int32)
     while sorted_to < depth and len(open_at):
         reach = min(2 * sorted_to, depth)
-        suffix = order[open_at]
-        group = rank[suffix]
-        after = rank[np.minimum(suffix + reach - sorted_to, n)]
-        place = np.argsort(group.astype(np.int64) * (n + 1) + after + 1, kind="stable")
-        suffix, group, after = suffix[place], group[place], after[place]
-        order[open_at] = suffix
-        new = np.concatenate([[True], (group[1:] != group[:-1]) | (after[1:] != after[:-1])])
-        heads = open_at[np.maximum.accumulate(np.where(new, np.arange(len(open_at)), 0))]
-        rank[suffix] = heads
-        single = new & np.append(new[1:], True)
-        open_at = open_at[~single]
+        # ranks of the last round, read before this one writes any; groups lie in the order of their ranks
+        group = rank[order[open_at]]
+        after = rank[np.minimum(order[open_at] + np.int32(reach - sorted_to), n)]
+        alone = np.empty(len(open_at), bool)
+        begin = 0
+        while begin < len(open_at):
+            end = int(np.searchsorted(group, group[min(begin + SORTED, len(open_at)) - 1], side="right"))
+            at, own, then = open_at[begin:end], group[begin:end], after[begin:end]
+            place = np.argsort(own.astype(np.int64) * (n + 1) + then + 1, kind="stable")
+            suffix, then = order[at][place], then[place]
+            new = np.ones(end - begin, bool)
+            new[1:] = (own[1:] != own[:-1]) | (then[1:] != then[:-1])
+            order[at] = suffix
+            rank[suffix] = at[_first_of_run(new)]
+            alone[begin:end] = _alone(new)
+            begin = end
+        open_at = open_at[~alone]
         sorted_to = reach
     return order, rank[:n]
 
@@ -87,20 +110,24 @@ def window_classes(strings: list[bytes], window: int) -> tuple[np.ndarray, np.nd
     text = np.frombuffer(b"".join(strings), np.uint8)
     sizes = np.array([len(s) for s in strings], np.int64)
     ends = np.cumsum(sizes)
-    room = np.repeat(ends, sizes) - np.arange(len(text))
+    room = np.repeat(ends.astype(np.int32), sizes) - np.arange(len(text), dtype=np.int32)
     order, rank = suffix_order(text, window)
     order = order[room[order] >= window]
     if not len(order):
         empty = np.empty(0, np.int64)
         return empty, empty, empty
-    near = np.flatnonzero(rank[order[1:]] == rank[order[:-1]])  # candidates for a common window
+    rank = rank[order]
+    near = np.flatnonzero(rank[1:] == rank[:-1])  # candidates for a common window
+    del rank
     suffix, other = order[near + 1], order[near]
     by_place = np.argsort(suffix)
     shared = np.empty(len(near), np.int64)
     shared[by_place] = common_prefixes(text, room, suffix[by_place], other[by_place], window)
     starts = np.ones(len(order), bool)
     starts[near + 1] = shared < window
-    in_text = np.argsort(order)
-    classes, place = (np.cumsum(starts) - 1)[in_text], order[in_text]
-    number = np.searchsorted(ends, place, side="right")
+    del near, suffix, other, by_place, shared
+    in_text = np.argsort(order).astype(np.int32)
+    classes, place = np.cumsum(starts, dtype=np.int32)[in_text] - np.int32(1), order[in_text]
+    del in_text, order
+    number = np.searchsorted(ends, place, side="right").astype(np.int32)
     return number, place - (ends - sizes)[number], classes

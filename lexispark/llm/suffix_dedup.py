@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from .hashing import byte_values, joined, running, slices
-from .segments import dealt, repeated_segments, runs, segments, spans_of, variant_texts
+from .segments import dealt, repeated_segments, row_spans, runs, segments, variant_texts, with_spans
 from .suffix_arrays import window_classes
 from .tables import finished, stored, tasks_for
 
@@ -88,7 +88,7 @@ def repeated_spans(docs: DataFrame, window: int = 200, gram: int = 32) -> DataFr
     repeated row is a second occurrence of all its strings; null ids are ordinary documents;
     other columns are kept; an empty table gives no rows.
     """
-    return spans_of(docs, finished(lambda: _marks(docs, window, gram)), window)
+    return with_spans(docs, finished(lambda: row_spans(_marks(docs, window, gram), window)))
 
 
 def _marks(docs: DataFrame, window: int, gram: int) -> DataFrame:

@@ -31,3 +31,16 @@ def test_unlearned_language(spark):
     kept = corpus_pipeline.identify(spark, clean.unionByName(more), SF).collect()
     assert {r["doc_id"] for r in kept} == {r["doc_id"] for r in clean.collect()}
     assert all(r["lang"] in ("en", "fr", "de", "es") for r in kept)
+
+
+def python_nodes(df):
+    """How many nodes of the physical plan run Python."""
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return sum(plan.count(node) for node in ("ArrowEvalPython", "InPandas", "MapInArrow"))
+
+
+def test_one_python_worker_per_task(spark):
+    texts = ["the quick brown fox jumps over the lazy dog and runs away from all of them " * 8 + str(i % 3) for i in range(12)]
+    docs = corpus_pipeline.stored(spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string"))
+    assert python_nodes(corpus_pipeline.remove_repeats(spark, docs, SF)) == 1  # was 2: the union of the spans and the cut texts
+    assert python_nodes(corpus_pipeline.identify(spark, docs, SF)) == 1  # was 2: a filter on the answer had its own

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 
-from lexispark.llm import segments, substring_dedup, suffix_dedup
+from lexispark.llm import segments, substring_dedup, suffix_arrays, suffix_dedup
 
 SCHEMA = "doc_id bigint, text string, rid string, lo int, spans string"
 
@@ -87,3 +89,19 @@ def test_empty(spark):
     assert substring_dedup.earlier_spans(df).count() == 0
     nothing = spark.createDataFrame([(1, None, "", 0, ""), (2, "", "", 0, "")], SCHEMA)
     assert [tuple(r)[1:4] for r in suffix_dedup.digest(suffix_dedup.repeated_spans(nothing)).collect()] == [(0, 0, 0)] * 2
+
+
+def test_suffix_order_memory():
+    rng = np.random.default_rng(1)
+    base = [rng.integers(97, 123, 900, dtype=np.uint8).tobytes() for _ in range(150)]
+    text = np.frombuffer(b"".join(base[i % 150][i % 97:] for i in range(300)), np.uint8)
+    tracemalloc.start()
+    order, rank = suffix_arrays.suffix_order(text, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 * len(text)  # was 59 bytes for each byte of text
+    data = text.tobytes()
+    prefix = [data[i:i + 200] for i in order.tolist()]
+    assert prefix == sorted(prefix) and sorted(order.tolist()) == list(range(len(data)))
+    # nothing is cut off before the last 200 bytes, so ranks agree just where 200 bytes do
+    assert all((a == b) == (rank[i] == rank[j]) for a, b, i, j in zip(prefix, prefix[1:], order, order[1:]) if max(i, j) < len(data) - 200)
