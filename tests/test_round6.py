@@ -7,8 +7,9 @@ import time
 from pyspark.sql import functions as F
 
 from lexispark.operators import matching, scoring, selection
-from lexispark.operators.matching import document_partitions, inspect_batch, lookup_postings, lookup_statistics, match_terms
-from lexispark.plans.build import build_index
+from lexispark.operators.matching import (
+    document_partitions, inspect_batch, lookup_linked, lookup_postings, lookup_statistics, match_terms)
+from lexispark.plans.build import build_anchor_index, build_index
 from lexispark.settings import CLEAN_SHUFFLES, released_shuffles
 
 DOCS = "doc_id bigint, text string"
@@ -81,3 +82,32 @@ def test_grid_holds_the_exchanges_of_one_search(spark, rows):
     assert result.count() == 5 * 8 and "Range" not in plan(result)  # the searches are done
     with released_shuffles(spark):
         assert spark.conf.get(CLEAN_SHUFFLES) == "true"
+
+
+def test_own_and_linked_postings_move_once(spark, rows, tmp_path):
+    data = [*texts(60), (None, "word1 word2"), (None, "word1")]
+    index = build_index(spark.createDataFrame(data, DOCS), str(tmp_path / "index"), n_buckets=4)
+    rng = random.Random(7)
+    links = [(s, 0, rng.choice([*range(40, 75), None]), rng.choice(["word1", "word2 word2", "word2 word1 word1", "other"])) for s in range(90)]
+    anchor = build_anchor_index(spark.createDataFrame(links, "source_id bigint, pos int, doc_id bigint, text string"),
+                                str(tmp_path / "anchor"), n_buckets=4)
+    terms = spark.createDataFrame([(q, f"word{t}") for q in range(5) for t in (1, 2, 3 + q)], "query_id bigint, term string")
+    batch = inspect_batch(terms, 4, index.n_postings)
+    known = lookup_statistics(index, terms, batch)
+    columns, key = ["query_id", "term", "doc_id", "tf", "dl", "df"], lambda df, names: sorted(map(str, df.select(*names).collect()))
+    want = scoring.term_candidates(lookup_postings(index, known, batch), lookup_linked(anchor, known, batch), index.lengths)
+    own = lookup_postings(index, known, batch, 3)
+    merged = scoring.term_candidates(own, lookup_linked(anchor, known, batch, 3), index.lengths, dealt=True)
+    assert key(merged, columns) == key(want, columns) and merged.count() > own.count()
+    # Linked documents that are not in the index, and those without an id, have no length.
+    assert merged.where("doc_id >= 60").isEmpty() and not own.where("doc_id is null").isEmpty()
+    names, scores = ["query_id", "doc_id", "score"], scoring.bm25_score(merged, 60, 9.0, dealt=True)
+    assert key(scores, names) == key(scoring.bm25_score(want, 60, 9.0), names)
+    # Own postings, linked ones and lengths move by document, nothing by query.
+    text = plan(scores).split("BroadcastExchange")
+    assert plan(scores).count("Exchange hashpartitioning(doc_id") == 2 and plan(scores).count("Exchange hashpartitioning(__id") == 1
+    assert "Exchange hashpartitioning(query_id" not in text[0]
+    # A document with two lengths counts for its linked rows only, as ever.
+    twice = index.lengths.unionByName(index.lengths.withColumn("dl", F.lit(99).cast("bigint")))
+    split = scoring.term_candidates(lookup_postings(index, known, batch), lookup_linked(anchor, known, batch), twice)
+    assert key(scoring.term_candidates(own, lookup_linked(anchor, known, batch, 3), twice, dealt=True), columns) == key(split, columns)
