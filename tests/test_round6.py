@@ -4,12 +4,14 @@ import glob
 import random
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from lexispark.operators import matching, scoring, selection
+from lexispark.operators import fusion, matching, scoring, selection
 from lexispark.operators.matching import (
     document_partitions, inspect_batch, lookup_linked, lookup_postings, lookup_statistics, match_terms)
 from lexispark.plans.build import build_anchor_index, build_index
+from lexispark.plans.search import SearchEngine
 from lexispark.settings import CLEAN_SHUFFLES, released_shuffles
 
 DOCS = "doc_id bigint, text string"
@@ -111,3 +113,24 @@ def test_own_and_linked_postings_move_once(spark, rows, tmp_path):
     twice = index.lengths.unionByName(index.lengths.withColumn("dl", F.lit(99).cast("bigint")))
     split = scoring.term_candidates(lookup_postings(index, known, batch), lookup_linked(anchor, known, batch), twice)
     assert key(scoring.term_candidates(own, lookup_linked(anchor, known, batch, 3), twice, dealt=True), columns) == key(split, columns)
+
+
+@pytest.mark.parametrize("search", ["search_title", "search_title_binary", "search_anchor"])
+def test_lists_are_ranked_without_their_titles(spark, rows, tmp_path, monkeypatch, search):
+    data = [*texts(40), (None, "word1 word2"), (10 ** 15, "word1 word1 word2")]
+    index = build_index(spark.createDataFrame(data, DOCS), str(tmp_path / "index"), n_buckets=4)
+    named = [(i, f"title {i}" if i % 5 else None) for i, _ in data[:38]] + [(10 ** 15, "far"), (3, "other 3"), (3, "title 3"), (None, "none"), (99, "x")]
+    titles = spark.createDataFrame(named, "doc_id bigint, title string")
+    queries = spark.createDataFrame([(1, "word1 word2 word1"), (2, "word3"), (3, "none"), (4, ""), (None, "word1")], "query_id bigint, query string")
+    seen, whole = [], fusion.rank_all
+    monkeypatch.setattr(fusion, "rank_all", lambda hits, **options: seen.append(hits.columns) or whole(hits, **options))
+    monkeypatch.setattr(matching, "PARTITION_MATCHES", 10)
+    engine = SearchEngine(title=index, anchor=index, titles=titles)
+    found = [tuple(r) for r in getattr(engine, search)(queries).collect()]
+    assert seen and not any("title" in columns for columns in seen)
+    want = []
+    for query, words in ((1, ["word1", "word1", "word2"]), (2, ["word3"])):
+        scored = [(-sum(w in text.split() for w in words), doc) for doc, text in data if doc is not None and set(words) & set(text.split())]
+        hits = [(s, doc, title) for s, doc in sorted(scored) for title in sorted((t for i, t in named if i == doc), key=lambda t: t or "")]
+        want += [(query, rank, doc, title, -s) for rank, (s, doc, title) in enumerate(hits, 1)]
+    assert sorted(found, key=str) == sorted(want, key=str)
