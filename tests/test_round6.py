@@ -134,3 +134,28 @@ def test_lists_are_ranked_without_their_titles(spark, rows, tmp_path, monkeypatc
         hits = [(s, doc, title) for s, doc in sorted(scored) for title in sorted((t for i, t in named if i == doc), key=lambda t: t or "")]
         want += [(query, rank, doc, title, -s) for rank, (s, doc, title) in enumerate(hits, 1)]
     assert sorted(found, key=str) == sorted(want, key=str)
+
+
+def test_dense_rows_are_filled_in_across_batches(spark, tmp_path):
+    words = [f"term{chr(97 + i)}" for i in range(26)]  # words of letters: others have no length
+    rng = random.Random(8)
+    data = [(i, " ".join(rng.choices(words, k=rng.randrange(1, 12)))) for i in range(60)] + [(None, "terma termb"), (None, "termc termc"), (70, "")]
+    index = build_index(spark.createDataFrame(data, DOCS), str(tmp_path / "index"), n_buckets=4)
+    terms = spark.createDataFrame([(q, words[t]) for q in range(5) for t in (1, 2, 3 + q, 5 * q)] + [(None, words[1]), (8, "none")],
+                                  "query_id bigint, term string").distinct()
+    weights = scoring.candidate_tfidf(match_terms(index, terms))
+    found = {(r.query_id, r.doc_id, r.term): r.w_d for r in weights.collect() if r.query_id is not None}
+    wanted = {q: sorted({t for p, _, t in found if p == q}) for q, _, _ in found}
+    want = sorted(((q, d, wanted[q], [round(found.get((q, d, t), 0.0), 9) for t in wanted[q]]) for q, d in {(q, d) for q, d, _ in found}), key=str)
+    dealt = scoring.candidate_tfidf(match_terms(index, terms, by_document=True), dealt=True)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for size in ("1", "3", before):
+            spark.conf.set(key, size)
+            for matrix in (scoring.dense_tfidf_matrix(weights), scoring.dense_tfidf_matrix(dealt, terms.join(weights, ["query_id", "term"], "left_semi"), True)):
+                assert "transform" not in plan(matrix) and "collect_list" not in plan(matrix)
+                assert sorted(((r.query_id, r.doc_id, r.terms, [round(w, 9) for w in r.weights]) for r in matrix.collect()), key=str) == want
+    finally:
+        spark.conf.set(key, before)
+    assert scoring.dense_tfidf_matrix(weights.limit(0)).isEmpty() and any(d is None for _, d, _, _ in want)
